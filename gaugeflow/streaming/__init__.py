@@ -1,0 +1 @@
+"""Nothing is built here: the data model is batch only, with a full reload on every run."""
