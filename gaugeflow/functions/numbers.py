@@ -2,65 +2,59 @@
 
 from __future__ import annotations
 
-import math
+# The alphabet of decimal numbers and the ways infinity may be spelled.
+NUMBER_ALPHABET = "0123456789+-.eE"
+INFINITY = "'inf', '+inf', 'infinity', '+infinity'"
+MINUS_INFINITY = "'-inf', '-infinity'"
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-# How infinity may be spelled in numeric text.
-INFINITY = ["inf", "+inf", "infinity", "+infinity"]
-MINUS_INFINITY = ["-inf", "-infinity"]
-
-
-def parse_number(c: Column) -> Column:
+def parse_number(c: str) -> str:
     """Decimal text -> double, anything else -> null.
 
     A plain ``try_cast`` also takes ``1.0d``, hexadecimal floats and NaN; restricting the alphabet
     first leaves only digits, sign, point and exponent for the cast to judge.
     """
-    plain = F.translate(c, "0123456789+-.eE", "") == ""
     return (
-        F.when(plain, c.try_cast("double"))
-        .when(F.lower(c).isin(INFINITY), F.lit(math.inf))
-        .when(F.lower(c).isin(MINUS_INFINITY), F.lit(-math.inf))
+        f"CASE WHEN translate({c}, '{NUMBER_ALPHABET}', '') = '' THEN try_cast({c} AS double)"
+        f" WHEN lower({c}) IN ({INFINITY}) THEN double('Infinity')"
+        f" WHEN lower({c}) IN ({MINUS_INFINITY}) THEN double('-Infinity') END"
     )
 
 
-def round_to_long(c: Column) -> Column:
+def round_to_long(c: str) -> str:
     """Nearest integer, ties to even."""
-    return F.rint(c).cast("long")
+    return f"cast(rint({c}) AS bigint)"
 
 
-def scaled(c: Column, digits: int = 6) -> Column:
+def scaled(c: str, digits: int = 6) -> str:
     """A double as an integer count of 10^-digits, so that sums are exact in any order."""
-    return F.floor(c * (10**digits) + 0.5)
+    return f"cast(floor({c} * {10**digits} + 0.5D) AS bigint)"
 
 
-def ratio(numerator: Column, denominator: Column, places: int) -> Column:
+def ratio(numerator: str, denominator: str, places: int) -> str:
     """``numerator / denominator`` rounded half away from zero, by integer arithmetic.
 
-    Both are integer columns. Averages and percentages computed this way do not depend on the
-    order of summation. Null where the denominator is zero.
+    Both are integers. Averages and percentages computed this way do not depend on the order of
+    summation. Null where the denominator is zero.
     """
     unit = 10**places
-    twice = F.nullif(denominator.cast("long") * 2, F.lit(0).cast("long"))
-    grown = F.abs(numerator.cast("long")) * (2 * unit) + denominator.cast("long")
-    rounded = F.call_function("div", grown, twice)
-    return F.when(numerator < 0, -rounded).otherwise(rounded) / F.lit(float(unit))
+    rounded = (
+        f"((abs({numerator}) * {2 * unit} + ({denominator}))"
+        f" div nullif(cast(2 * ({denominator}) AS bigint), 0L))"
+    )
+    return f"CASE WHEN ({numerator}) < 0 THEN -{rounded} ELSE {rounded} END / {unit}.0D"
 
 
-def percent(hits: Column, total: Column, places: int = 2) -> Column:
+def percent(hits: str, total: str, places: int = 2) -> str:
     """``100 * hits / total``, rounded."""
-    return ratio(hits * 100, total, places)
+    return ratio(f"100 * {hits}", total, places)
 
 
-def celsius(kelvin: Column) -> Column:
+def celsius(kelvin: str) -> str:
     """Kelvin -> Celsius with two decimals, subtracted as decimal rather than double."""
-    return F.round(kelvin.cast("decimal(18,6)") - F.lit("273.15").cast("decimal(5,2)"), 2).cast(
-        "decimal(14,2)"
-    )
+    return f"cast(round(cast({kelvin} AS decimal(18,6)) - 273.15, 2) AS decimal(14,2))"
 
 
-def power_watts(torque_nm: Column, rpm: Column) -> Column:
+def power_watts(torque_nm: str, rpm: str) -> str:
     """Mechanical power of a shaft."""
-    return torque_nm * rpm * (2 * math.pi / 60)
+    return f"({torque_nm} * {rpm} * 2 * pi() / 60)"

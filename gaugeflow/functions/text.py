@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from gaugeflow import contract as C
+from gaugeflow.functions import name, one_of, quote
 
 # Every character a Unicode-aware strip removes.
 WHITESPACE = (
@@ -15,56 +13,55 @@ WHITESPACE = (
 )
 
 
-def strip(c: Column) -> Column:
+def strip(c: str) -> str:
     """Remove all Unicode whitespace on both sides (plain ``trim`` only removes spaces)."""
-    return F.btrim(c, F.lit(WHITESPACE))
+    return f"btrim({c}, {quote(WHITESPACE)})"
 
 
-def is_blank(c: Column) -> Column:
+def is_blank(c: str) -> str:
     """Null or empty; expects text that was already stripped."""
-    return c.isNull() | (c == "")
+    return f"({c} IS NULL OR {c} = '')"
 
 
-def null_tokens(c: Column) -> Column:
+def null_tokens(c: str) -> str:
     """Turn the usual missing-value tokens of text files into null."""
-    return F.when(~c.isin(C.NA_TOKENS), c)
+    return f"CASE WHEN NOT {one_of(c, C.NA_TOKENS)} THEN {c} END"
 
 
-def day_text(timestamp: Column) -> Column:
+def day_text(timestamp: str) -> str:
     """First ten characters of the raw timestamp text; anything shorter has no date."""
-    prefix = F.substring(timestamp, 1, 10)
-    return F.coalesce(F.when(F.length(prefix) == 10, prefix), F.lit(C.NO_DATE))
+    prefix = f"substring({timestamp}, 1, 10)"
+    return f"CASE WHEN length({prefix}) = 10 THEN {prefix} ELSE {quote(C.NO_DATE)} END"
 
 
-def padded_id(prefix: str, number: Column, width: int) -> Column:
+def padded_id(prefix: str, number: str, width: int) -> str:
     """``prefix`` and the number, zero-padded to at least ``width`` digits."""
-    digits = number.cast("string")
-    return F.concat(
-        F.lit(prefix), F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
-    )
+    digits = f"cast({number} AS string)"
+    return f"{quote(prefix)} || lpad({digits}, greatest(length({digits}), {width}), '0')"
 
 
-def flags_to_text(names: list[str]) -> Column:
+def flags_to_text(columns: list[str]) -> str:
     """Names of the columns holding '1', joined by a pipe; null when none is set."""
-    return F.nullif(F.concat_ws("|", *[F.when(F.col(n) == "1", F.lit(n)) for n in names]), F.lit(""))
+    named = ", ".join(f"CASE WHEN {name(c)} = '1' THEN {quote(c)} END" for c in columns)
+    return f"nullif(concat_ws('|', {named}), '')"
 
 
-def known_modes(c: Column) -> Column:
+def known_modes(c: str) -> str:
     """Pipe-separated text -> distinct known modes; the fallback mode when none is known.
 
     Tokens are compared as they are: no inner trim, case-sensitive.
     """
-    tokens = F.split(F.coalesce(c, F.lit("")), r"\|")
-    known = F.array_distinct(F.filter(tokens, lambda t: t.isin(C.FAILURE_MODES)))
-    return F.when(F.size(known) == 0, F.array(F.lit(C.UNKNOWN_MODE))).otherwise(known)
+    tokens = f"split(coalesce({c}, ''), '[|]')"
+    known = f"array_distinct(filter({tokens}, t -> {one_of('t', C.FAILURE_MODES)}))"
+    return f"CASE WHEN size({known}) = 0 THEN array({quote(C.UNKNOWN_MODE)}) ELSE {known} END"
 
 
-def listed_modes(c: Column) -> Column:
+def listed_modes(c: str) -> str:
     """Text of mode sets ('HDF, PWF; OSF') -> distinct trimmed modes, empty parts dropped."""
-    parts = F.transform(F.split(F.coalesce(c, F.lit("")), "[;,]"), strip)
-    return F.array_distinct(F.filter(parts, lambda p: p != ""))
+    parts = f"transform(split(coalesce({c}, ''), '[;,]'), p -> {strip('p')})"
+    return f"array_distinct(filter({parts}, p -> p <> ''))"
 
 
-def true_false_text(c: Column) -> Column:
+def true_false_text(c: str) -> str:
     """Boolean as ``t``/``f`` for bulk-load files."""
-    return F.when(c, F.lit("t")).when(~c, F.lit("f"))
+    return f"CASE WHEN {c} THEN 't' WHEN NOT {c} THEN 'f' END"

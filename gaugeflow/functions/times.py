@@ -2,34 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Fixed value: the one accepted shape of a timestamp.
-TIMESTAMP_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
+TIMESTAMP_SHAPE = "^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
 
 
-def parse_timestamp(c: Column) -> Column:
+def parse_timestamp(c: str) -> str:
     """Strict ``yyyy-MM-dd HH:mm:ss`` -> timestamp without zone; null when it is not one."""
-    return F.when(c.rlike(TIMESTAMP_SHAPE), c.try_cast("timestamp_ntz"))
+    return f"CASE WHEN {c} RLIKE '{TIMESTAMP_SHAPE}' THEN try_cast({c} AS timestamp_ntz) END"
 
 
-def format_timestamp(c: Column) -> Column:
+def format_timestamp(c: str) -> str:
     """``yyyy-MM-dd HH:mm:ss`` text (``date_format`` would go through the session time zone)."""
-    return F.substring(c.cast("string"), 1, 19)
+    return f"substring(cast({c} AS string), 1, 19)"
 
 
-def epoch_minute(ts: Column) -> Column:
+def epoch_minute(ts: str) -> str:
     """Minutes since 1970-01-01 on the wall clock."""
-    return F.unix_date(ts.cast("date")).cast("long") * 1440 + F.hour(ts) * 60 + F.minute(ts)
+    return f"(unix_date(cast({ts} AS date)) * 1440L + hour({ts}) * 60 + minute({ts}))"
 
 
-def epoch_micros(ts: Column) -> Column:
+def epoch_micros(ts: str) -> str:
     """Microseconds since 1970-01-01 on the wall clock."""
-    micros = (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("long")
-    return epoch_minute(ts) * 60_000_000 + micros
+    return f"({epoch_minute(ts)} * 60000000L + cast(extract(SECOND FROM {ts}) * 1000000 AS bigint))"
 
 
-def plus_minutes(start: str, minutes: Column) -> Column:
+def plus_minutes(start: str, minutes: str) -> str:
     """A fixed start plus a number of minutes."""
-    return F.timestamp_add("MINUTE", minutes, F.lit(start).cast("timestamp_ntz"))
+    return f"timestampadd(MINUTE, {minutes}, timestamp_ntz'{start}')"

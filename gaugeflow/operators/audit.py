@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow import contract as C
+from gaugeflow.functions import quote
 from gaugeflow.functions.text import is_blank, strip
 
 # Sections and keys that are reported even when their count is zero.
@@ -21,9 +22,12 @@ class AccountingError(ValueError):
     """Input rows and valid plus rejected rows do not add up."""
 
 
-def _entry(section: str, key: Column | str, n: Column) -> Column:
-    name = F.lit(key) if isinstance(key, str) else key
-    return F.struct(F.lit(section).alias("secao"), name.alias("chave"), n.alias("n"))
+def _as_rows(entries: list[tuple[str, str, str]]) -> str:
+    """(section, key expression, count expression) triples as rows (secao, chave, n)."""
+    structs = [
+        f"named_struct('secao', {quote(s)}, 'chave', {key}, 'n', cast({n} AS bigint))" for s, key, n in entries
+    ]
+    return f"inline(array({', '.join(structs)}))"
 
 
 def audit(classified: DataFrame, failures: DataFrame) -> DataFrame:
@@ -33,94 +37,89 @@ def audit(classified: DataFrame, failures: DataFrame) -> DataFrame:
     on those few cells. Rows, not one nested value, because sources are not checked at this stage
     and there may be any number of them.
     """
-    accepted = F.col("motivo").isNull()
-    failed = strip(F.col("falha")) == "1"
-    has_mode = ~is_blank(strip(F.col("modo_falha")))
-    cells = classified.groupBy(strip(F.col("fonte")).alias("fonte"), "motivo").agg(
-        F.count("*").alias("n"),
-        F.count_if(accepted & failed).alias("com_falha"),
-        F.count_if(accepted & ~failed & has_mode).alias("modo_ignorado"),
+    failed, has_mode = f"{strip('falha')} = '1'", f"NOT {is_blank(strip('modo_falha'))}"
+    cells = classified.groupBy(F.expr(f"{strip('fonte')} AS fonte"), "motivo").agg(
+        F.expr("count(*) AS n"),
+        F.expr(f"count_if(motivo IS NULL AND {failed}) AS com_falha"),
+        F.expr(f"count_if(motivo IS NULL AND NOT ({failed}) AND {has_mode}) AS modo_ignorado"),
     )
-    valid = F.when(accepted, F.col("n")).otherwise(0)
-    entries = F.array(
-        _entry("linhas", "entrada", F.col("n")),
-        _entry("linhas", "validas", valid),
-        _entry("linhas", "descartadas", F.col("n") - valid),
-        _entry("descartadas_por_motivo", F.col("motivo"), F.col("n")),
-        _entry("avisos", "modo_ignorado_sem_falha", F.col("modo_ignorado")),
-        _entry("falhas", "leituras_com_falha", F.col("com_falha")),
-        _entry("entrada_por_fonte", F.col("fonte"), F.col("n")),
-        _entry("validas_por_fonte", F.col("fonte"), valid),
-    )
-    of_rows = cells.select(F.inline(entries)).filter(F.col("chave").isNotNull())
-
-    of_modes = failures.agg(
-        F.count("*").alias("total"), F.count_if(F.col("modo") == C.UNKNOWN_MODE).alias("sem_modo")
-    ).select(
-        F.inline(
-            F.array(
-                _entry("falhas", "registros_de_falha", F.col("total")),
-                _entry("avisos", "falhas_sem_modo_informado", F.col("sem_modo")),
-            )
+    valid = "if(motivo IS NULL, n, 0)"
+    of_rows = cells.selectExpr(
+        _as_rows(
+            [
+                ("linhas", "'entrada'", "n"),
+                ("linhas", "'validas'", valid),
+                ("linhas", "'descartadas'", f"n - {valid}"),
+                ("descartadas_por_motivo", "motivo", "n"),
+                ("avisos", "'modo_ignorado_sem_falha'", "modo_ignorado"),
+                ("falhas", "'leituras_com_falha'", "com_falha"),
+                ("entrada_por_fonte", "fonte", "n"),
+                ("validas_por_fonte", "fonte", valid),
+            ]
+        )
+    ).filter("chave IS NOT NULL")
+    of_modes = failures.selectExpr(
+        "count(*) AS total", f"count_if(modo = {quote(C.UNKNOWN_MODE)}) AS sem_modo"
+    ).selectExpr(
+        _as_rows(
+            [
+                ("falhas", "'registros_de_falha'", "total"),
+                ("avisos", "'falhas_sem_modo_informado'", "sem_modo"),
+            ]
         )
     )
-    zeros = classified.sparkSession.createDataFrame(
-        [(s, k, 0) for s, k in FIXED_ROWS], "secao string, chave string, n long"
-    )
-    return (
-        of_rows.unionByName(of_modes)
-        .unionByName(zeros)
-        .groupBy("secao", "chave")
-        .agg(F.sum("n").alias("n"))
+    zeros = classified.sparkSession.range(1).selectExpr(
+        _as_rows([(s, quote(k), "0") for s, k in FIXED_ROWS])
     )
+    return of_rows.union(of_modes).union(zeros).groupBy("secao", "chave").agg(F.expr("sum(n) AS n"))
 
 
 def accounting_by_source(classified: DataFrame) -> DataFrame:
     """Per source: input, valid and rejected rows."""
-    accepted = F.col("motivo").isNull()
-    return classified.groupBy(strip(F.col("fonte")).alias("fonte")).agg(
-        F.count("*").alias("entrada"),
-        F.count_if(accepted).alias("validas"),
-        F.count_if(~accepted).alias("descartadas"),
+    return classified.groupBy(F.expr(f"{strip('fonte')} AS fonte")).agg(
+        F.expr("count(*) AS entrada"),
+        F.expr("count_if(motivo IS NULL) AS validas"),
+        F.expr("count_if(motivo IS NOT NULL) AS descartadas"),
     )
 
 
 def document(report: DataFrame) -> DataFrame:
     """The report as one JSON text column, nested by section."""
 
-    def total(section: str, key: str) -> Column:
-        here = (F.col("secao") == section) & (F.col("chave") == key)
-        return F.sum(F.when(here, F.col("n")).otherwise(0))
+    def total(section: str, key: str) -> str:
+        return f"sum(if(secao = {quote(section)} AND chave = {quote(key)}, n, 0))"
 
-    def block(section: str) -> Column:
-        return F.struct(*[total(section, k).alias(k) for s, k in FIXED_ROWS if s == section])
+    def block(section: str) -> str:
+        pairs = [f"{quote(k)}, {total(s, k)}" for s, k in FIXED_ROWS if s == section]
+        return f"named_struct({', '.join(pairs)}) AS {section}"
 
-    per_source = (
-        report.filter(F.col("secao").isin("entrada_por_fonte", "validas_por_fonte"))
+    sources = (
+        report.filter("secao IN ('entrada_por_fonte', 'validas_por_fonte')")
         .groupBy("chave")
         .agg(
-            F.sum(F.when(F.col("secao") == "entrada_por_fonte", F.col("n")).otherwise(0)).alias("entrada"),
-            F.sum(F.when(F.col("secao") == "validas_por_fonte", F.col("n")).otherwise(0)).alias("validas"),
+            F.expr("sum(if(secao = 'entrada_por_fonte', n, 0)) AS entrada"),
+            F.expr("sum(if(secao = 'validas_por_fonte', n, 0)) AS validas"),
+        )
+        .selectExpr(
+            "map_from_entries(sort_array(collect_list("
+            "struct(chave, named_struct('entrada', entrada, 'validas', validas))))) AS por_fonte"
         )
     )
-    pairs = F.sort_array(F.collect_list(F.struct("chave", F.struct("entrada", "validas"))))
-    sources = per_source.agg(F.map_from_entries(pairs).alias("por_fonte"))
-    body = report.agg(
-        total("linhas", "entrada").alias("linhas_entrada"),
-        total("linhas", "validas").alias("linhas_validas"),
-        total("linhas", "descartadas").alias("linhas_descartadas"),
-        block("descartadas_por_motivo").alias("descartadas_por_motivo"),
-        block("avisos").alias("avisos"),
-        total("falhas", "leituras_com_falha").alias("leituras_com_falha"),
-        total("falhas", "registros_de_falha").alias("registros_de_falha"),
+    body = report.selectExpr(
+        f"{total('linhas', 'entrada')} AS linhas_entrada",
+        f"{total('linhas', 'validas')} AS linhas_validas",
+        f"{total('linhas', 'descartadas')} AS linhas_descartadas",
+        block("descartadas_por_motivo"),
+        block("avisos"),
+        f"{total('falhas', 'leituras_com_falha')} AS leituras_com_falha",
+        f"{total('falhas', 'registros_de_falha')} AS registros_de_falha",
     )
-    whole = body.crossJoin(sources)  # one row each
-    return whole.select(F.to_json(F.struct(*whole.columns)).alias("value"))
+    return body.crossJoin(sources).selectExpr("to_json(struct(*)) AS value")  # one row each
 
 
 def check_accounting(report: DataFrame) -> dict[str, int]:
     """Raise unless input = valid + rejected; returns the three counts."""
-    rows = report.filter(F.col("secao") == "linhas").collect()  # three rows
+    rows = report.filter("secao = 'linhas'").collect()  # three rows
     counts = {r["chave"]: r["n"] for r in rows}
     if counts["entrada"] != counts["validas"] + counts["descartadas"]:
         raise AccountingError(f"rows do not add up: {counts}")

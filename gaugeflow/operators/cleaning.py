@@ -2,58 +2,48 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from gaugeflow import contract as C
+from gaugeflow.functions import one_of
 from gaugeflow.functions.numbers import parse_number, round_to_long
 from gaugeflow.functions.text import is_blank, known_modes, strip
 from gaugeflow.functions.times import parse_timestamp
 from gaugeflow.operators.dedup import mark_repeats, with_arrival
 
 
-def _any(tests: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, tests)
-
-
-def _outside(sensor: str) -> Column:
-    low, high = C.RANGES[sensor]
-    return (F.col(f"_n_{sensor}") < low) | (F.col(f"_n_{sensor}") > high)
-
-
 def _parsed(raw: DataFrame) -> DataFrame:
     """Add stripped text (``_s_*``), then the parsed instant and numbers (``_ts``, ``_n_*``).
 
     The originals stay beside them: a rejected row must show the text as it came.
     """
-    stripped = raw.withColumns({f"_s_{c}": strip(F.col(c)) for c in C.RAW_COLUMNS})
-    return stripped.withColumns(
-        {
-            "_ts": parse_timestamp(F.col("_s_timestamp")),
-            **{f"_n_{c}": parse_number(F.col(f"_s_{c}")) for c in C.SENSORS},
-        }
+    stripped = raw.selectExpr("*", *[f"{strip(c)} AS _s_{c}" for c in C.RAW_COLUMNS])
+    return stripped.selectExpr(
+        "*",
+        f"{parse_timestamp('_s_timestamp')} AS _ts",
+        *[f"{parse_number(f'_s_{c}')} AS _n_{c}" for c in C.SENSORS],
     )
 
 
-def row_defects() -> dict[str, Column]:
-    """One condition per reject reason that a single row shows by itself.
+def row_defects() -> dict[str, str]:
+    """One condition per reject reason that a single row shows by itself, in priority order.
 
     Each is true or false, never null: a missing product type is as invalid as a wrong one.
     """
-    text = {c: F.col(f"_s_{c}") for c in C.RAW_COLUMNS}
-    blank = {c: is_blank(text[c]) for c in C.SENSORS}
-    tests = {
-        "maquina_ausente": is_blank(text["maquina_id"]),
-        "timestamp_invalido": F.col("_ts").isNull(),
-        "tipo_invalido": ~F.coalesce(text["tipo"].isin(C.PRODUCT_TYPES), F.lit(False)),
-        "falha_invalida": ~F.coalesce(text["falha"].isin("0", "1"), F.lit(False)),
-        "sensor_nulo": _any(list(blank.values())),
-        "sensor_nao_numerico": _any([F.col(f"_n_{c}").isNull() & ~blank[c] for c in C.SENSORS]),
-        "fora_da_faixa_fisica": _any([F.coalesce(_outside(c), F.lit(False)) for c in C.SENSORS]),
+
+    def any_sensor(test: str) -> str:
+        return "(" + " OR ".join(test.format(c=c, lo=lo, hi=hi) for c, (lo, hi) in C.RANGES.items()) + ")"
+
+    blank = is_blank("_s_{c}")
+    return {
+        "maquina_ausente": is_blank("_s_maquina_id"),
+        "timestamp_invalido": "_ts IS NULL",
+        "tipo_invalido": f"NOT {one_of('_s_tipo', C.PRODUCT_TYPES)}",
+        "falha_invalida": f"NOT {one_of('_s_falha', ['0', '1'])}",
+        "sensor_nulo": any_sensor(blank),
+        "sensor_nao_numerico": any_sensor(f"(_n_{{c}} IS NULL AND NOT {blank})"),
+        "fora_da_faixa_fisica": any_sensor("coalesce(_n_{c} NOT BETWEEN {lo}D AND {hi}D, false)"),
     }
-    return {reason: tests[reason] for reason in C.REASONS if reason in tests}
 
 
 def classify(raw: DataFrame) -> DataFrame:
@@ -62,44 +52,41 @@ def classify(raw: DataFrame) -> DataFrame:
     A repeat is rejected whatever became of the first copy, so repeats are marked over all rows
     that have a machine and a valid instant, before any other reason is looked at.
     """
-    parsed = _parsed(with_arrival(raw))
-    first_defect = F.coalesce(*[F.when(test, F.lit(name)) for name, test in row_defects().items()])
-    rows = parsed.withColumns(
-        {"_defeito": first_defect, "_com_chave": ~is_blank(F.col("_s_maquina_id")) & F.col("_ts").isNotNull()}
-    ).select(*C.RAW_COLUMNS, C.ARRIVAL, *[f"_s_{c}" for c in C.DEDUP_KEY], "_defeito", "_com_chave")
-
-    marked = mark_repeats(
-        rows,
-        key={c: F.col(f"_s_{c}") for c in C.DEDUP_KEY},
-        arrival=C.ARRIVAL,
-        eligible=F.col("_com_chave"),
+    first_defect = " ".join(f"WHEN {test} THEN '{reason}'" for reason, test in row_defects().items())
+    key = [f"_s_{c}" for c in C.DEDUP_KEY]
+    rows = _parsed(with_arrival(raw)).selectExpr(
+        *C.RAW_COLUMNS,
+        C.ARRIVAL,
+        *key,
+        f"CASE {first_defect} END AS _defeito",
+        f"NOT {is_blank('_s_maquina_id')} AND _ts IS NOT NULL AS _com_chave",
+    )
+    return mark_repeats(rows, key=key, arrival=C.ARRIVAL, eligible="_com_chave").selectExpr(
+        *C.RAW_COLUMNS, C.ARRIVAL, "CASE WHEN repetida THEN 'duplicada' ELSE _defeito END AS motivo"
     )
-    reason = F.when(F.col("repetida"), F.lit("duplicada")).otherwise(F.col("_defeito"))
-    return marked.select(*C.RAW_COLUMNS, C.ARRIVAL, reason.alias("motivo"))
 
 
 def rejected(classified: DataFrame) -> DataFrame:
     """Rejected rows: the eleven original texts and the reason."""
-    return classified.filter(F.col("motivo").isNotNull()).select(*C.RAW_COLUMNS, "motivo")
+    return classified.filter("motivo IS NOT NULL").select(*C.RAW_COLUMNS, "motivo")
 
 
 def _accepted(classified: DataFrame) -> DataFrame:
-    return _parsed(classified.filter(F.col("motivo").isNull()))
+    return _parsed(classified.filter("motivo IS NULL"))
 
 
 def readings(classified: DataFrame) -> DataFrame:
     """Accepted rows with their types."""
     numbers = {
-        c: round_to_long(F.col(f"_n_{c}")) if c in C.INTEGER_SENSORS else F.col(f"_n_{c}")
-        for c in C.SENSORS
+        c: round_to_long(f"_n_{c}") if c in C.INTEGER_SENSORS else f"_n_{c}" for c in C.SENSORS
     }
-    return _accepted(classified).select(
-        F.col("_s_fonte").alias("fonte"),
-        F.col("_s_maquina_id").alias("maquina_id"),
-        F.col("_ts").alias("ts"),
-        F.col("_s_tipo").alias("tipo_produto"),
-        *[numbers[c].alias(c) for c in C.SENSORS],
-        (F.col("_s_falha") == "1").alias("falha"),
+    return _accepted(classified).selectExpr(
+        "_s_fonte AS fonte",
+        "_s_maquina_id AS maquina_id",
+        "_ts AS ts",
+        "_s_tipo AS tipo_produto",
+        *[f"{expr} AS {c}" for c, expr in numbers.items()],
+        "_s_falha = '1' AS falha",
     )
 
 
@@ -107,11 +94,11 @@ def failures(classified: DataFrame) -> DataFrame:
     """One row per (machine, instant, mode) of the accepted readings that failed."""
     return (
         _accepted(classified)
-        .filter(F.col("_s_falha") == "1")
-        .select(
-            F.col("_s_maquina_id").alias("maquina_id"),
-            F.col("_ts").alias("ts"),
-            F.explode(known_modes(F.col("_s_modo_falha"))).alias("modo"),
+        .filter("_s_falha = '1'")
+        .selectExpr(
+            "_s_maquina_id AS maquina_id",
+            "_ts AS ts",
+            f"explode({known_modes('_s_modo_falha')}) AS modo",
         )
         .distinct()
     )

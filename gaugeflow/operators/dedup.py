@@ -2,25 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow import contract as C
+from gaugeflow.functions import name
 
 
 def with_arrival(df: DataFrame, column: str = C.ARRIVAL) -> DataFrame:
     """Make sure every row has an arrival ordinal; existing ordinals are kept."""
-    seen = F.monotonically_increasing_id()
     if column in df.columns:
-        seen = F.coalesce(F.col(column), seen)
-    return df.withColumn(column, seen)
+        kept = [c for c in df.columns if c != column]
+        return df.selectExpr(
+            *map(name, kept), f"coalesce({column}, monotonically_increasing_id()) AS {column}"
+        )
+    return df.selectExpr("*", f"monotonically_increasing_id() AS {column}")
 
 
 def mark_repeats(
     df: DataFrame,
-    key: dict[str, Column] | list[str],
+    key: list[str],
     arrival: str,
-    eligible: Column | None = None,
+    eligible: str = "true",
     into: str = "repetida",
 ) -> DataFrame:
     """Add a flag that is true on every row of a key but the one that arrived first.
@@ -30,24 +33,28 @@ def mark_repeats(
     the first arrival of each repeated key comes from an aggregate that combines before the
     shuffle, and joining it back is a left join whose big side the adaptive skew join may split.
     """
-    parts = key if isinstance(key, dict) else {c: F.col(c) for c in key}
-    left = {f"_k_{name}": expr for name, expr in parts.items()}
-    takes_part = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
     # Rows that cannot match are spread by their ordinal instead of meeting on one (null) key.
-    spread = F.when(takes_part, F.lit(0).cast("long")).otherwise(
-        F.xxhash64(arrival).bitwiseOR(F.lit(1).cast("long"))
+    rows = df.selectExpr(
+        *map(name, df.columns),
+        f"CASE WHEN coalesce({eligible}, false) THEN 0L ELSE xxhash64({arrival}) | 1L END AS _probe",
     )
-    rows = df.withColumns({**left, "_probe": spread})
-
     firsts = (
-        rows.filter(F.col("_probe") == 0)
-        .groupBy(*left)
-        .agg(F.min(arrival).alias("_first"), F.count("*").alias("_n"), F.max("_probe").alias("_zero"))
-        .filter(F.col("_n") > 1)
-        .select(*[F.col(c).alias(f"_f{c}") for c in left], "_first", "_zero")
+        rows.filter("_probe = 0")
+        .groupBy(*key)
+        .agg({"*": "count", arrival: "min", "_probe": "max"})
+        .filter("`count(1)` > 1")
+        .selectExpr(
+            *[f"{name(c)} AS _f{i}" for i, c in enumerate(key)],
+            f"`min({arrival})` AS _first",
+            "`max(_probe)` AS _zero",
+        )
+    )
+    same = " AND ".join(f"r.{name(c)} <=> f._f{i}" for i, c in enumerate(key))
+    return (
+        rows.alias("r")
+        .join(firsts.alias("f"), F.expr(f"r._probe = f._zero AND {same}"), "left")
+        .selectExpr(
+            *[f"r.{name(c)}" for c in df.columns],
+            f"coalesce(r.{name(arrival)} > f._first, false) AS {name(into)}",
+        )
     )
-    match = F.col("_probe") == F.col("_zero")
-    for c in left:
-        match = match & F.col(c).eqNullSafe(F.col(f"_f{c}"))
-    repeated = F.coalesce(F.col(arrival) > F.col("_first"), F.lit(False))
-    return rows.join(firsts, match, "left").select(*df.columns, repeated.alias(into))
