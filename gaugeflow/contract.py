@@ -149,12 +149,13 @@ FAILURES = T.StructType(
     ]
 )
 
+# Row counts are long: a total beyond two billion readings is an ordinary case here.
 LOADS = T.StructType(
     [
         T.StructField("carga_id", T.LongType()),
         T.StructField("carregado_em", T.TimestampType()),
-        T.StructField("leituras_inseridas", T.IntegerType()),
-        T.StructField("leituras_atualizadas", T.IntegerType()),
-        T.StructField("total_leituras", T.IntegerType()),
+        T.StructField("leituras_inseridas", T.LongType()),
+        T.StructField("leituras_atualizadas", T.LongType()),
+        T.StructField("total_leituras", T.LongType()),
     ]
 )
