@@ -94,7 +94,7 @@ def jumps(
     ).selectExpr("maquina_id", "ts", v, f"{exact(v)} - {exact('_previous')} AS _delta")
     return (
         changed.filter(f"abs(_delta) > {threshold}")
-        .orderBy(F.expr("abs(_delta) DESC"), "maquina_id", "ts")
+        .orderBy(F.expr("abs(_delta)").desc(), "maquina_id", "ts")
         .limit(k)
         .selectExpr("maquina_id", "ts", v, "cast(round(_delta, 1) AS decimal(14,1)) AS delta")
     )

@@ -14,6 +14,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, **conf: str) -> S
         SparkSession.builder.master(f"local[{cores}]")
         .appName("gaugeflow")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
