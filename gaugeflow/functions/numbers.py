@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
-# The alphabet of decimal numbers and the ways infinity may be spelled.
-NUMBER_ALPHABET = "0123456789+-.eE"
-INFINITY = "'inf', '+inf', 'infinity', '+infinity'"
-MINUS_INFINITY = "'-inf', '-infinity'"
+# Fixed value: decimal numbers as text, and the ways infinity may be spelled.
+NUMBER_SHAPE = "^([0-9+.eE-]+|[+-]?(?i)inf(inity)?)$"
 
 
-def parse_number(c: str) -> str:
+NUMBER_CHARACTERS = "0-9+.eE-"
+
+
+def parse_number(c: str, when: str = "false") -> str:
     """Decimal text -> double, anything else -> null.
 
-    A plain ``try_cast`` also takes ``1.0d``, hexadecimal floats and NaN; restricting the alphabet
-    first leaves only digits, sign, point and exponent for the cast to judge.
+    A plain ``try_cast`` also takes ``1.0d``, hexadecimal floats and NaN; the shape only lets
+    through digits, sign, point and exponent, for the cast to judge, and infinity. ``when`` is a
+    condition under which the text is known to consist of those characters.
     """
-    return (
-        f"CASE WHEN translate({c}, '{NUMBER_ALPHABET}', '') = '' THEN try_cast({c} AS double)"
-        f" WHEN lower({c}) IN ({INFINITY}) THEN double('Infinity')"
-        f" WHEN lower({c}) IN ({MINUS_INFINITY}) THEN double('-Infinity') END"
-    )
+    return f"if({when} OR {c} RLIKE '{NUMBER_SHAPE}', try_cast({c} AS double), NULL)"
 
 
 def round_to_long(c: str) -> str:

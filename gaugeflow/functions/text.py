@@ -5,6 +5,8 @@ from __future__ import annotations
 from gaugeflow import contract as C
 from gaugeflow.functions import name, one_of, quote
 
+VISIBLE_ASCII = "!-~"
+
 # Every character a Unicode-aware strip removes.
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
@@ -13,9 +15,23 @@ WHITESPACE = (
 )
 
 
-def strip(c: str) -> str:
-    """Remove all Unicode whitespace on both sides (plain ``trim`` only removes spaces)."""
-    return f"btrim({c}, {quote(WHITESPACE)})"
+def strip(c: str, unless: str | None = None) -> str:
+    """Remove all Unicode whitespace on both sides (plain ``trim`` only removes spaces).
+
+    Trimming with a list of characters is slow. ``unless`` is a condition under which the text is
+    known to need none, by default that both ends are visible ASCII characters.
+    """
+    if unless is None:
+        unless = f"ascii({c}) BETWEEN 33 AND 126 AND ascii(substring({c}, -1)) BETWEEN 33 AND 126"
+    return f"if({unless}, {c}, btrim({c}, {quote(WHITESPACE)}))"
+
+
+def all_match(columns: list[str], characters: str) -> str:
+    """Whether all cells of a row consist of the given characters; nulls and empty cells do.
+
+    One regular expression over the joined cells is much cheaper than one for each of them.
+    """
+    return f"concat_ws('', {', '.join(map(name, columns))}) RLIKE '^[{characters}]*$'"
 
 
 def is_blank(c: str) -> str:

@@ -24,8 +24,9 @@ def series_window(
     ``columns`` maps a new name to an expression in which ``{over}`` stands for the partitioning and
     ordering, e.g. ``lag(x) OVER ({over})``. (key, time) must be unique. Row counts per key are
     looked at first, by one aggregate that combines before its shuffle. While no series is longer
-    than ``max_rows`` the plan is one plain window. Longer ones are cut into consecutive chunks, and
-    each chunk is given the last ``reach`` rows before it, so the result is the same.
+    than ``max_rows`` the plan is one plain window. Longer ones are cut between minutes into
+    consecutive chunks of about that size, and each chunk is given the last ``reach`` rows before
+    it, so the result is the same.
     """
 
     def compute(rows: DataFrame, partition: list[str]) -> DataFrame:

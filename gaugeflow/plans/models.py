@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow.functions.numbers import celsius
 from gaugeflow.operators.grouping import ordered_text
+from gaugeflow.session import materialize
 from gaugeflow.sources.tables import exists
 
 FACT_COLUMNS = [
@@ -114,12 +115,13 @@ def build_models(
 ) -> dict[str, DataFrame]:
     """Write the marts under ``path``; returns all seven models by name.
 
-    The readings fact is written first and both other marts start from it, so the joins below it
-    run once. It is laid out by day, and sorted by machine and time inside each file.
+    The enriched model is materialised, because the fact and several checks read it, and the other
+    two marts start from the written fact; so the joins run once. The fact is laid out in order of
+    time and machine, which its readers filter by.
     """
     spark = leituras.sparkSession
     m, lt, f = stg_maquinas(maquinas), stg_leituras(leituras), stg_falhas(falhas)
-    enriched = int_leituras_enriquecidas(lt, m, f)
+    enriched = materialize(int_leituras_enriquecidas(lt, m, f), "enriched")
 
     fact = fct_leituras(enriched)
     ordered = fact.repartitionByRange("medido_em", "id_maquina").sortWithinPartitions("medido_em", "id_maquina")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from gaugeflow import contract as C
-from gaugeflow.functions import quote
+from gaugeflow.functions import name, quote
 from gaugeflow.functions.text import day_text
 from gaugeflow.operators.dedup import with_arrival
 
@@ -46,14 +46,14 @@ def count_partitions(spark: SparkSession, path: str) -> int:
     return _scan(spark, path).select(*PARTITIONS).distinct().count()
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """All raw rows with their arrival ordinal, partition values as text.
+def read_raw(spark: SparkSession, path: str, where: str = "true", numbered: bool = True) -> DataFrame:
+    """Raw rows with their arrival ordinal, partition values as text.
 
-    Datasets without the two helper columns are read as well: the sentinel then means null, and
-    rows arrive in file order.
+    ``where`` is a condition on the partition columns ``data`` and ``maquina_id`` as stored; it
+    prunes directories. Datasets written elsewhere have neither ordinal nor machine text: with
+    ``numbered=False`` rows arrive in file order, and the sentinel means a missing machine.
     """
     machine = f"coalesce({_MACHINE_TEXT}, nullif(maquina_id, {quote(C.NO_MACHINE)})) AS maquina_id"
-    rows = _scan(spark, path).selectExpr(
-        *[machine if c == "maquina_id" else f"`{c}`" for c in [*C.RAW_COLUMNS, C.ARRIVAL]]
-    )
-    return with_arrival(rows)
+    columns = [machine if c == "maquina_id" else name(c) for c in C.RAW_COLUMNS]
+    rows = _scan(spark, path).filter(where)
+    return rows.selectExpr(*columns, C.ARRIVAL) if numbered else with_arrival(rows.selectExpr(*columns))

@@ -37,7 +37,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.classify(S.in_spark(spark, sf_dir, S.RAW))
+    """Cleaning starts from stored raw rows, as it does in the flow."""
+    return cleaning.classify(materialize(S.in_spark(spark, sf_dir, S.RAW), "raw"))
 
 
 @register
@@ -428,7 +429,7 @@ def published_failures(spark, sf_dir):
 def whole_flow_daily_fact(spark, sf_dir):
     """Raw text to checked marts: ingest, clean, load, build; the daily fact at the end."""
     path = scratch_path(spark, "flow")
-    raw = S.in_spark(spark, sf_dir, S.RAW)
+    raw = S.in_spark(spark, sf_dir, S.RAW).orderBy(C.ARRIVAL)
     flow.run_etl(spark, {"simulado": raw}, path, now=NOW)
     flow.build_marts(spark, path, now=NOW, min_readings=1)
     return models.read_marts(spark, f"{path}/marts")["fct_falhas_diarias"]
