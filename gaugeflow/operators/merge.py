@@ -76,9 +76,8 @@ def violations(df: DataFrame, rules: dict[str, str]) -> DataFrame:
     return counts.selectExpr(f"stack({len(ordered)}, {pairs}) AS (regra, n)")
 
 
-def repeated(df: DataFrame, keys: list[str], count: str = "n") -> DataFrame:
-    """Keys that occur more than once; keys with a null part are left out."""
+def repeated(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that occur more than once, with their number of rows; keys with a null part are left out."""
     present = " AND ".join(f"{name(k)} IS NOT NULL" for k in keys)
-    return df.filter(present).groupBy(*keys).agg(F.expr(f"count(*) AS {name(count)}")).filter(f"{name(count)} > 1")
-
-
+    counted = df.filter(present).groupBy(*keys).agg(F.expr("count(*) AS n_registros"))
+    return counted.filter("n_registros > 1")

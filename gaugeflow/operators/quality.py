@@ -27,7 +27,7 @@ def accepted_values(df: DataFrame, column: str, values: list[str]) -> DataFrame:
     """Values outside the list, with their number of rows; nulls are left out."""
     listed = ", ".join(map(quote, values))
     return (
-        df.filter(f"{name(column)} NOT IN ({listed})").groupBy(column).agg(F.expr("count(*) AS n"))
+        df.filter(f"{name(column)} NOT IN ({listed})").groupBy(column).agg(F.expr("count(*) AS n_registros"))
     )
 
 
@@ -36,7 +36,7 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, field: str)
 
     The child is reduced to its distinct values first, so a hot value is one row in the join.
     """
-    held = child.filter(f"{name(column)} IS NOT NULL").groupBy(column).agg(F.expr("count(*) AS n"))
+    held = child.filter(f"{name(column)} IS NOT NULL").groupBy(column).agg(F.expr("count(*) AS n_registros"))
     known = parent.selectExpr(f"{name(field)} AS _field")
     return held.join(known, F.expr(f"{name(column)} = _field"), "left_anti")
 

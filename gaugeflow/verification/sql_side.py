@@ -348,13 +348,13 @@ def oracle() -> dict[str, str]:
         "published_readings": f"{published} SELECT * FROM leituras",
         "published_failures": f"{published} SELECT * FROM falhas",
         "whole_flow_daily_fact": f"{flow} SELECT * FROM daily",
-        "dq_unique": "SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1 HAVING count(*) > 1",
-        "dq_composite_key": "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
+        "dq_unique": "SELECT l_orderkey, count(*) AS n_registros FROM lineitem GROUP BY 1 HAVING count(*) > 1",
+        "dq_composite_key": "SELECT l_orderkey, l_linenumber, count(*) AS n_registros FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
         "dq_not_null": " UNION ALL ".join(
             f"""SELECT '{c}' AS coluna, count(*) AS n FROM {raw} WHERE "{c}" IS NULL HAVING count(*) > 0""" for c in C.RAW_COLUMNS
         ),
-        "dq_accepted_values": f"SELECT tipo, count(*) AS n FROM {raw} WHERE tipo NOT IN {_list(C.PRODUCT_TYPES)} GROUP BY 1",
-        "dq_relationships": """SELECT o_orderkey, count(*) AS n FROM orders
+        "dq_accepted_values": f"SELECT tipo, count(*) AS n_registros FROM {raw} WHERE tipo NOT IN {_list(C.PRODUCT_TYPES)} GROUP BY 1",
+        "dq_relationships": """SELECT o_orderkey, count(*) AS n_registros FROM orders
             WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) GROUP BY 1""",
         "dq_row_parity": f"""SELECT * FROM (SELECT (SELECT count(*) FROM orders) AS qtd_esperada,
             (SELECT count(*) FROM ({modes})) AS qtd_obtida) WHERE qtd_esperada <> qtd_obtida""",
