@@ -46,9 +46,15 @@ def clean_reason_counts(spark, sf_dir):
     return classified(spark, sf_dir).groupBy("motivo").agg(F.expr("count(*) AS n"))
 
 
+def clean_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Readings and failures; the classified rows are stored first, as they are in the flow."""
+    rows = materialize(classified(spark, sf_dir), "classified")
+    return cleaning.readings(rows), cleaning.failures(rows)
+
+
 @register
 def clean_accepted(spark, sf_dir):
-    return cleaning.readings(classified(spark, sf_dir))
+    return clean_batch(spark, sf_dir)[0]
 
 
 @register
@@ -58,7 +64,7 @@ def clean_rejected(spark, sf_dir):
 
 @register
 def modes_exploded(spark, sf_dir):
-    return cleaning.failures(classified(spark, sf_dir))
+    return clean_batch(spark, sf_dir)[1]
 
 
 @register
@@ -82,7 +88,7 @@ def dedup_keep_first(spark, sf_dir):
 
 @register
 def csv_export_lines(spark, sf_dir):
-    rows = cleaning.readings(classified(spark, sf_dir))
+    rows, _ = clean_batch(spark, sf_dir)
     fields = clean_layer.export_fields(rows, clean_layer.EXPORT_READINGS)
     return fields.selectExpr(f"concat_ws(',', {', '.join(fields.columns)}) AS linha")
 
@@ -371,11 +377,6 @@ def contract_violations(spark, sf_dir):
     return loading.contract_violations(readings, modes)
 
 
-def clean_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = materialize(classified(spark, sf_dir), "classified")
-    return cleaning.readings(rows), cleaning.failures(rows)
-
-
 def changed(readings: DataFrame, modes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The same batch with another torque on one product type and without one mode."""
     torque = "CASE WHEN tipo_produto = 'H' THEN torque_nm + 0.5D ELSE torque_nm END"
@@ -507,14 +508,14 @@ def dq_freshness(spark, sf_dir):
 @register
 def dq_suite(spark, sf_dir):
     maquinas, leituras, falhas = staged(spark, sf_dir)
-    whole = enriched(spark, sf_dir)
+    whole = materialize(enriched(spark, sf_dir), "enriched")
     built = {
         "stg_maquinas": maquinas,
         "stg_leituras": leituras,
         "stg_falhas": falhas,
         "int_leituras_enriquecidas": whole,
-        "dim_maquina": dimension(spark, sf_dir),
-        "fct_leituras": materialize(models.fct_leituras(whole), "fact"),
-        "fct_falhas_diarias": materialize(daily(spark, sf_dir), "daily"),
+        "dim_maquina": materialize(models.dim_maquina(maquinas, whole), "dim"),
+        "fct_leituras": models.fct_leituras(whole),
+        "fct_falhas_diarias": materialize(models.fct_falhas_diarias(whole), "daily"),
     }
     return checks.run_checks(built, yearly_history(spark, sf_dir))

@@ -23,7 +23,7 @@ RAW = (
         "maquina_id": "CASE WHEN l_partkey % 97 = 0 THEN NULL WHEN l_partkey % 101 = 0 THEN ' '"
         " WHEN l_partkey % 103 = 0 THEN '' WHEN l_partkey % 109 = 0 THEN chr(160) || 'M-0' || cast(l_linenumber AS string)"
         " ELSE 'M-0' || cast(l_linenumber AS string) END",
-        "timestamp": "CASE WHEN l_partkey % 83 = 0 THEN 'ontem' WHEN l_partkey % 79 = 0 THEN cast(cast(l_shipdate AS date) AS string)"
+        "timestamp": f"CASE WHEN l_partkey % 83 = 0 THEN 'ontem' WHEN l_partkey % 79 = 0 THEN {_DAY}"
         f" WHEN l_partkey % 113 = 0 THEN '2001-02-30 10:00:00' ELSE {_DAY} || ' ' || {_CLOCK} END",
         "tipo": "CASE WHEN l_partkey % 73 = 0 THEN 'X' WHEN l_partkey % 71 = 0 THEN NULL"
         " WHEN l_suppkey % 3 = 0 THEN 'L' WHEN l_suppkey % 3 = 1 THEN 'M' ELSE 'H' END",
