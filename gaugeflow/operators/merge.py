@@ -50,8 +50,11 @@ def action_counts(merged: DataFrame) -> DataFrame:
 
 
 def insert_absent(target: DataFrame, batch: DataFrame, keys: list[str], others: list[str]) -> DataFrame:
-    """Batch rows whose key the target does not have, one per key (the least of the others)."""
-    fresh = batch.groupBy(*keys).agg(*[F.expr(f"min({name(c)}) AS {name(c)}") for c in others])
+    """Batch rows whose key the target does not have, one per key (the least of the others).
+
+    Equal rows are merged first, by hash and before the shuffle; a minimum of text needs a sort.
+    """
+    fresh = batch.select(*keys, *others).distinct().groupBy(*keys).agg(*[F.expr(f"min({name(c)}) AS {name(c)}") for c in others])
     return fresh.join(target.select(*keys), keys, "left_anti")
 
 

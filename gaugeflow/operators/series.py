@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from gaugeflow.functions import name, names
 from gaugeflow.functions.times import epoch_minute
+from gaugeflow.session import materialize
 
 MAX_SERIES_ROWS = 5_000_000  # rows of one series that one task may sort
+MAX_BROADCAST_KEYS = 200_000  # keys of long series that are broadcast; more are shuffled
 
 
 def series_window(
@@ -36,9 +38,14 @@ def series_window(
         )
 
     long_keys = df.groupBy(key).agg(F.expr("count(*) AS _n")).filter(f"_n > {max_rows}").select(key)
-    if long_keys.isEmpty():
+    n_long = long_keys.count()
+    if n_long == 0:
         return compute(df, [key])
 
+    # Shuffling by the key to set its long series apart would bring each of them into one task.
+    long_keys = materialize(long_keys, "long-series")
+    if n_long <= MAX_BROADCAST_KEYS:
+        long_keys = F.broadcast(long_keys)
     usual = compute(df.join(long_keys, key, "left_anti"), [key])
     chunks = _with_chunks(df.join(long_keys, key, "left_semi"), key, time, max_rows)
     padded = chunks.selectExpr("*", "false AS _before").unionByName(_rows_before(chunks, key, time, reach))

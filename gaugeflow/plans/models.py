@@ -79,7 +79,8 @@ def int_leituras_enriquecidas(leituras: DataFrame, maquinas: DataFrame, falhas:
 def dim_maquina(maquinas: DataFrame, leituras: DataFrame) -> DataFrame:
     """One row per machine with its totals; machines without readings have zeros.
 
-    ``leituras`` is the enriched model or the readings fact: both have one row per reading.
+    ``leituras`` is the enriched model or the readings fact: both have one row per reading. It should
+    be stored: grouped straight after a join on the machine, a hot machine could not be split.
     """
     totals = leituras.groupBy("id_maquina").agg(
         F.expr("count(id_leitura) AS total_leituras"), F.expr("count_if(houve_falha) AS total_falhas")

@@ -181,3 +181,23 @@ def test_time_between_failures(spark):
         "maquina_id string, s int, falha boolean",
     ).selectExpr("maquina_id", "timestamp_ntz'2026-01-01 00:00:00' + make_dt_interval(0, 0, 0, s) AS ts", "falha")
     assert [tuple(r) for r in queries.time_between_failures(df).collect()] == [("A", 2, 45.0, 30.0)]
+
+
+def test_long_series_without_broadcast(series, monkeypatch):
+    from gaugeflow.operators import series as module
+
+    _, df = series
+    columns = {"anterior": "lag(v) OVER ({over})"}
+    expected = series_window(df, "maquina_id", "ts", columns, reach=1).collect()
+    monkeypatch.setattr(module, "MAX_BROADCAST_KEYS", 0)
+    found = series_window(df, "maquina_id", "ts", columns, reach=1, max_rows=20).collect()
+    assert sorted(found, key=str) == sorted(expected, key=str)
+
+
+def test_no_row_level_plan_ends_in_one_partition(spark, series):
+    """Only counts per partition, per value or per day may meet in a single partition."""
+    _, df = series
+    readings = df.selectExpr("maquina_id", "ts", "v AS torque_nm", "v > 100 AS falha")
+    for query in (queries.jumps(readings), queries.time_between_failures(readings)):
+        plan = query._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in plan and "Python" not in plan
