@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,21 +32,29 @@ def local_session(cores: int | str = "*", partitions: int = 8, **conf: str) -> S
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting gets a temporary folder.
+    A session whose executors are threads of the driver may leave that unset; then it is a folder below the
+    warehouse. Any other session must name it, ``local-cluster`` included.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        named = tempfile.mkdtemp(prefix="gaugeflow-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/gaugeflow/{label}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; what is written there goes when the application ends."""
+    name = f"{shared_dir(spark)}/gaugeflow/{label}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(path.getParent())
+    system.mkdirs(path)
+    system.deleteOnExit(path)
+    system.delete(path, True)
+    return name
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
