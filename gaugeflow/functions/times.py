@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-# Fixed value: the one accepted shape of a timestamp.
-TIMESTAMP_SHAPE = "^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
+# Fixed value: the accepted shape of a timestamp; only the year must have all its digits.
+TIMESTAMP_SHAPE = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$"
 
 
 def parse_timestamp(c: str) -> str:
-    """Strict ``yyyy-MM-dd HH:mm:ss`` -> timestamp without zone; null when it is not one."""
+    """``yyyy-M-d H:m:s``, padded or not -> timestamp without zone; null when it is not one."""
     return f"CASE WHEN {c} RLIKE '{TIMESTAMP_SHAPE}' THEN try_cast({c} AS timestamp_ntz) END"
 
 

@@ -13,7 +13,7 @@ def _list(values) -> str:
 
 SPACE = "chr(9) || chr(10) || chr(13) || ' ' || chr(160)"
 NUMBER = "[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?"
-INSTANT = "[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}"
+INSTANT = "[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}"
 
 
 def _cleaning() -> str:
