@@ -24,9 +24,12 @@ def round_to_long(c: str) -> str:
     return f"cast(rint({c}) AS bigint)"
 
 
-def scaled(c: str, digits: int = 6) -> str:
-    """A double as an integer count of 10^-digits, so that sums are exact in any order."""
-    return f"cast(floor({c} * {10**digits} + 0.5D) AS bigint)"
+def exact(c: str) -> str:
+    """A double as a decimal with ten places, so that sums and differences do not depend on their order.
+
+    Values up to 1e18 in size fit; beyond that the cast is an error, not a wrong number.
+    """
+    return f"cast({c} AS decimal(28,10))"
 
 
 def ratio(numerator: str, denominator: str, places: int) -> str:
@@ -50,7 +53,7 @@ def percent(hits: str, total: str, places: int = 2) -> str:
 
 def celsius(kelvin: str) -> str:
     """Kelvin -> Celsius with two decimals, subtracted as decimal rather than double."""
-    return f"cast(round(cast({kelvin} AS decimal(18,6)) - 273.15, 2) AS decimal(14,2))"
+    return f"cast(round({exact(kelvin)} - 273.15, 2) AS decimal(14,2))"
 
 
 def power_watts(torque_nm: str, rpm: str) -> str:

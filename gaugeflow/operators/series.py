@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from gaugeflow.functions import name, names
 from gaugeflow.functions.times import epoch_minute
-from gaugeflow.session import materialize
 
-MAX_SERIES_ROWS = 5_000_000  # rows of one series that one task may sort
-MAX_BROADCAST_KEYS = 200_000  # keys of long series that are broadcast; more are shuffled
+#: A series is cut at weeks. The contract's instants are whole seconds and unique within a machine, so no
+#: piece has more than 604 800 rows, however long its series is.
+BUCKET_MINUTES = 7 * 24 * 60
 
 
 def series_window(
@@ -19,75 +19,49 @@ def series_window(
     time: str,
     columns: dict[str, str],
     reach: int,
-    max_rows: int = MAX_SERIES_ROWS,
+    bucket_minutes: int = BUCKET_MINUTES,
 ) -> DataFrame:
     """Add window columns that look at most ``reach`` rows back in the series of ``key``.
 
     ``columns`` maps a new name to an expression in which ``{over}`` stands for the partitioning and
-    ordering, e.g. ``lag(x) OVER ({over})``. (key, time) must be unique. Row counts per key are
-    looked at first, by one aggregate that combines before its shuffle. While no series is longer
-    than ``max_rows`` the plan is one plain window. Longer ones are cut between minutes into
-    consecutive chunks of about that size, and each chunk is given the last ``reach`` rows before
-    it, so the result is the same.
+    ordering, e.g. ``lag(x) OVER ({over})``. (key, time) must be unique. Every series is cut at fixed
+    instants, ``bucket_minutes`` apart, and each piece is given the last ``reach`` rows before it, so the
+    result does not depend on the cuts. The plan is the same for all sizes: nothing is counted first, no
+    task holds a whole series, and rows without a key are cut like any other series.
     """
-
-    def compute(rows: DataFrame, partition: list[str]) -> DataFrame:
-        over = f"PARTITION BY {names(partition)} ORDER BY {name(time)}"
-        return rows.selectExpr(
-            "*", *[f"{expr.format(over=over)} AS {name(c)}" for c, expr in columns.items()]
-        )
-
-    long_keys = df.groupBy(key).agg(F.expr("count(*) AS _n")).filter(f"_n > {max_rows}").select(key)
-    n_long = long_keys.count()
-    if n_long == 0:
-        return compute(df, [key])
-
-    # Shuffling by the key to set its long series apart would bring each of them into one task.
-    long_keys = materialize(long_keys, "long-series")
-    if n_long <= MAX_BROADCAST_KEYS:
-        long_keys = F.broadcast(long_keys)
-    usual = compute(df.join(long_keys, key, "left_anti"), [key])
-    chunks = _with_chunks(df.join(long_keys, key, "left_semi"), key, time, max_rows)
-    padded = chunks.selectExpr("*", "false AS _before").unionByName(_rows_before(chunks, key, time, reach))
-    cut = compute(padded, [key, "_chunk"]).filter("NOT _before").drop("_chunk", "_before")
-    return usual.unionByName(cut)
+    cut = df.selectExpr("*", f"{epoch_minute(name(time))} div {bucket_minutes} AS _bucket")
+    padded = cut.selectExpr("*", "false AS _before").unionByName(_rows_before(cut, key, time, reach))
+    over = f"PARTITION BY {name(key)}, _bucket ORDER BY {name(time)}"
+    return (
+        padded.selectExpr("*", *[f"{expr.format(over=over)} AS {name(c)}" for c, expr in columns.items()])
+        .filter("NOT _before")
+        .drop("_bucket", "_before")
+    )
 
 
-def _with_chunks(df: DataFrame, key: str, time: str, max_rows: int) -> DataFrame:
-    """Number consecutive stretches of about ``max_rows`` rows, cut between minutes.
+def _rows_before(cut: DataFrame, key: str, time: str, reach: int) -> DataFrame:
+    """For each piece, the last ``reach`` rows of its series that lie before it.
 
-    The running count is over minutes, not rows: its size depends on the time span only.
+    The window over a whole series sees one row per piece: its size follows the time span, not the rows.
     """
-    k = name(key)
-    timed = df.selectExpr("*", f"{epoch_minute(name(time))} AS _minute")
-    chunk_of = (
-        timed.groupBy(key, "_minute")
-        .agg(F.expr("count(*) AS _n"))
-        .selectExpr(
-            k,
-            "_minute",
-            f"(sum(_n) OVER (PARTITION BY {k} ORDER BY _minute) - _n) div {max_rows} AS _chunk",
-        )
-    )
-    return timed.join(chunk_of, [key, "_minute"]).selectExpr(*map(name, df.columns), "_chunk")
-
-
-def _rows_before(chunks: DataFrame, key: str, time: str, reach: int) -> DataFrame:
-    """For each chunk, the last ``reach`` rows of its series that lie before it."""
     k, t = name(key), name(time)
-    own = [c for c in chunks.columns if c not in (key, time, "_chunk")]
-    last_rows = (
-        chunks.selectExpr("*", f"row_number() OVER (PARTITION BY {k}, _chunk ORDER BY {t} DESC) AS _back")
-        .filter(f"_back <= {reach}")
-        .groupBy(key, "_chunk")
-        .agg(F.expr(f"sort_array(collect_list(struct({names([time, *own])}))) AS _tail"))
-    )
+    row = f"struct({names([time, *[c for c in cut.columns if c not in (key, time, '_bucket')]])})"
+    if reach == 1:  # the latest row is an aggregate that combines before its shuffle
+        tails = cut.groupBy(key, "_bucket").agg(F.expr(f"array(max_by({row}, {t})) AS _tail"))
+    else:
+        tails = (
+            cut.selectExpr("*", f"row_number() OVER (PARTITION BY {k}, _bucket ORDER BY {t} DESC) AS _back")
+            .filter(f"_back <= {reach}")
+            .groupBy(key, "_bucket")
+            .agg(F.expr(f"array_sort(collect_list({row}), (a, b) -> CASE WHEN a.{t} < b.{t} THEN -1"
+                        f" WHEN a.{t} > b.{t} THEN 1 ELSE 0 END) AS _tail"))
+        )
     earlier = (
-        f"flatten(collect_list(_tail) OVER (PARTITION BY {k} ORDER BY _chunk"
+        f"flatten(collect_list(_tail) OVER (PARTITION BY {k} ORDER BY _bucket"
         f" ROWS BETWEEN {reach} PRECEDING AND 1 PRECEDING))"
     )
     return (
-        last_rows.selectExpr(k, "_chunk", f"{earlier} AS _earlier")
-        .selectExpr(k, "_chunk", f"inline(slice(_earlier, greatest(size(_earlier) - {reach - 1}, 1), {reach}))")
+        tails.selectExpr(k, "_bucket", f"{earlier} AS _earlier")
+        .selectExpr(k, "_bucket", f"inline(slice(_earlier, greatest(size(_earlier) - {reach - 1}, 1), {reach}))")
         .selectExpr("*", "true AS _before")
     )

@@ -46,6 +46,8 @@ def contract_violations(readings: DataFrame, failures: DataFrame) -> DataFrame:
     keys = [
         ("chave_repetida", merge.repeated(readings, C.NATURAL_KEY)),
         ("maquina_com_duas_fontes", merge.repeated(machines, ["maquina_id"])),
+        ("falha_repetida", merge.repeated(failures, MODE_KEY)),
+        ("falha_sem_leitura", failures.select(*C.NATURAL_KEY).join(readings.select(*C.NATURAL_KEY), C.NATURAL_KEY, "left_anti")),
     ]
     found = merge.violations(readings, reading_rules()).union(merge.violations(failures, failure_rules()))
     for rule, offenders in keys:
@@ -70,7 +72,7 @@ def load(
     """
     now = now or dt.datetime.now(dt.timezone.utc)
     enforce(readings, failures)
-    last_id, current = tables.last_load(spark, root)
+    last_id, current, last_failure = tables.last_load(spark, root)
     version = f"v{last_id + 1:06d}-{uuid.uuid4().hex[:8]}"
     old = {t: tables.read_version(spark, root, t, current) for t in tables.SCHEMAS}
 
@@ -102,7 +104,8 @@ def load(
     )
     ids = new_readings.select("leitura_id", *C.NATURAL_KEY)
     added = materialize(merge.missing(old["falhas"], modes, MODE_KEY).join(ids, C.NATURAL_KEY), "new-failures")
-    numbered_modes = with_ids(added, MODE_KEY, "falha_id", after=_max_id(old["falhas"], "falha_id"))
+    n_added, last_failure = added.count(), max(last_failure, _max_id(old["falhas"], "falha_id"))
+    numbered_modes = with_ids(added, MODE_KEY, "falha_id", after=last_failure)
     rest = old["falhas"].join(gone, MODE_KEY, "left_anti")
     names = C.FAILURES.names
     tables.write_version(rest.select(*names).unionByName(numbered_modes.select(*names)), root, "falhas", version)
@@ -111,12 +114,13 @@ def load(
         "maquinas_novas": new_machines.count(),
         "leituras_inseridas": counts["inseridas"],
         "leituras_atualizadas": counts["atualizadas"],
-        "falhas_inseridas": added.count(),
+        "falhas_inseridas": n_added,
         "falhas_removidas": gone.count(),
     }
     tables.publish(
-        spark, root, last_id + 1, version, now, counts["inseridas"], counts["atualizadas"], counts["total"]
-    )
+        spark, root, last_id + 1, version, now,
+        counts["inseridas"], counts["atualizadas"], counts["total"], last_failure + n_added,
+    )
     return changes
 
 

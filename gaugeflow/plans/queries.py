@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.functions import name, quote
-from gaugeflow.functions.numbers import percent, ratio, scaled
+from gaugeflow.functions.numbers import exact, percent
 from gaugeflow.functions.times import epoch_micros
 from gaugeflow.operators.grouping import rank_and_share
 from gaugeflow.operators.indexing import ntile_summary
-from gaugeflow.operators.series import MAX_SERIES_ROWS, series_window
+from gaugeflow.operators.series import BUCKET_MINUTES, series_window
 
 
 def _of_prefix(df: DataFrame, prefix: str | None) -> DataFrame:
@@ -48,21 +48,20 @@ def machine_ranking(leituras: DataFrame) -> DataFrame:
 
 
 def moving_average(
-    leituras: DataFrame, value: str = "temp_processo_k", rows: int = 12, max_rows: int = MAX_SERIES_ROWS
+    leituras: DataFrame,
+    value: str = "temp_processo_k",
+    rows: int = 12,
+    bucket_minutes: int = BUCKET_MINUTES,
 ) -> DataFrame:
-    """For every reading, the mean of its machine's last ``rows`` readings, itself included."""
+    """For every reading, the mean of its machine's last ``rows`` readings, itself included.
+
+    Summed as decimals: the mean is exact before it is rounded to two places, half away from zero.
+    """
     frame = f"OVER ({{over}} ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW)"
-    series = leituras.selectExpr("maquina_id", "ts", name(value), f"{scaled(name(value))} AS _scaled")
-    summed = series_window(
-        series,
-        "maquina_id",
-        "ts",
-        {"_sum": f"sum(_scaled) {frame}", "_n": f"count(_scaled) {frame}"},
-        reach=rows - 1,
-        max_rows=max_rows,
-    )
-    mean = ratio("_sum", "(_n * 1000000L)", 2)
-    return summed.selectExpr("maquina_id", "ts", name(value), f"{mean} AS media_movel")
+    series = leituras.selectExpr("maquina_id", "ts", name(value))
+    mean = {"_mean": f"avg({exact(name(value))}) {frame}"}
+    averaged = series_window(series, "maquina_id", "ts", mean, rows - 1, bucket_minutes)
+    return averaged.selectExpr("maquina_id", "ts", name(value), "cast(round(_mean, 2) AS double) AS media_movel")
 
 
 def first_moving_averages(
@@ -82,21 +81,21 @@ def jumps(
     value: str = "torque_nm",
     threshold: float = 25,
     k: int = 20,
-    max_rows: int = MAX_SERIES_ROWS,
+    bucket_minutes: int = BUCKET_MINUTES,
 ) -> DataFrame:
     """The ``k`` largest changes from one reading to the next that exceed the threshold."""
     v = name(value)
     series = _of_prefix(leituras, prefix).selectExpr("maquina_id", "ts", v)
     # Subtracted as decimal: the threshold and the order must not hang on a double's last bit.
-    exact = "cast({} AS decimal(18,6))".format
-    changed = series_window(
-        series, "maquina_id", "ts", {"_previous": f"lag({v}) OVER ({{over}})"}, reach=1, max_rows=max_rows
-    ).selectExpr("maquina_id", "ts", v, f"{exact(v)} - {exact('_previous')} AS _delta")
+    previous = {"_previous": f"lag({v}) OVER ({{over}})"}
+    changed = series_window(series, "maquina_id", "ts", previous, 1, bucket_minutes).selectExpr(
+        "maquina_id", "ts", v, f"{exact(v)} - {exact('_previous')} AS _delta"
+    )
     return (
         changed.filter(f"abs(_delta) > {threshold}")
         .orderBy(F.expr("abs(_delta)").desc(), "maquina_id", "ts")
         .limit(k)
-        .selectExpr("maquina_id", "ts", v, "cast(round(_delta, 1) AS decimal(14,1)) AS delta")
+        .selectExpr("maquina_id", "ts", v, "cast(round(_delta, 1) AS decimal(28,1)) AS delta")
     )
 
 
@@ -115,12 +114,11 @@ def mode_ranking(falhas: DataFrame, leituras: DataFrame) -> DataFrame:
     )
 
 
-def time_between_failures(leituras: DataFrame, max_rows: int = MAX_SERIES_ROWS) -> DataFrame:
+def time_between_failures(leituras: DataFrame, bucket_minutes: int = BUCKET_MINUTES) -> DataFrame:
     """Per machine with at least two failures: gaps, their mean and the shortest, in seconds."""
     failing = leituras.filter("falha").selectExpr("maquina_id", "ts", f"{epoch_micros('ts')} AS _us")
-    gaps = series_window(
-        failing, "maquina_id", "ts", {"_previous": "lag(_us) OVER ({over})"}, reach=1, max_rows=max_rows
-    )
+    previous = {"_previous": "lag(_us) OVER ({over})"}
+    gaps = series_window(failing, "maquina_id", "ts", previous, 1, bucket_minutes)
     return (
         gaps.groupBy("maquina_id")
         .agg(

@@ -9,6 +9,7 @@ from gaugeflow import contract as C
 from gaugeflow.functions import name, quote
 from gaugeflow.functions.text import day_text
 from gaugeflow.operators.dedup import with_arrival
+from gaugeflow.sources.arrival import by_file
 
 PARTITIONS = ["data", "maquina_id"]
 # A directory name cannot tell null, empty and the sentinel's own text apart: the true machine text
@@ -55,5 +56,8 @@ def read_raw(spark: SparkSession, path: str, where: str = "true", numbered: bool
     """
     machine = f"coalesce({_MACHINE_TEXT}, nullif(maquina_id, {quote(C.NO_MACHINE)})) AS maquina_id"
     columns = [machine if c == "maquina_id" else name(c) for c in C.RAW_COLUMNS]
-    rows = _scan(spark, path).filter(where)
-    return rows.selectExpr(*columns, C.ARRIVAL) if numbered else with_arrival(rows.selectExpr(*columns))
+    scan = _scan(spark, path)
+    if numbered:
+        return scan.filter(where).selectExpr(*columns, C.ARRIVAL)
+    placed = scan.filter(where).selectExpr(*columns, "input_file_name() AS _file", "_metadata.row_index AS _place")
+    return by_file(placed, scan.inputFiles())

@@ -16,7 +16,10 @@ from pyspark.sql import types as T
 from gaugeflow import contract as C
 
 SCHEMAS = {"maquinas": C.MACHINES, "leituras": C.READINGS, "falhas": C.FAILURES}
-_HISTORY = T.StructType([*C.LOADS, T.StructField("versao", T.StringType())])
+# Beside the public columns: the version, and the highest failure id ever given out, so that none is given twice.
+_HISTORY = T.StructType(
+    [*C.LOADS, T.StructField("versao", T.StringType()), T.StructField("ultima_falha", T.LongType())]
+)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -42,10 +45,10 @@ def read_history(spark: SparkSession, root: str) -> DataFrame:
     return _history(spark, root).select(*C.LOADS.names)
 
 
-def last_load(spark: SparkSession, root: str) -> tuple[int, str | None]:
-    """Id and version of the latest load; (0, None) before the first."""
+def last_load(spark: SparkSession, root: str) -> tuple[int, str | None, int]:
+    """Id and version of the latest load and the highest failure id so far; (0, None, 0) before the first."""
     last = _history(spark, root).orderBy("carga_id", ascending=False).limit(1).collect()
-    return (last[0]["carga_id"], last[0]["versao"]) if last else (0, None)
+    return (last[0]["carga_id"], last[0]["versao"], last[0]["ultima_falha"] or 0) if last else (0, None, 0)
 
 
 def read_version(spark: SparkSession, root: str, table: str, version: str | None) -> DataFrame:
@@ -71,8 +74,9 @@ def write_version(df: DataFrame, root: str, table: str, version: str) -> DataFra
 
 
 def publish(
-    spark: SparkSession, root: str, load_id: int, version: str, now: dt.datetime, inserted: int, updated: int, total: int
-) -> None:
+    spark: SparkSession, root: str, load_id: int, version: str, now: dt.datetime,
+    inserted: int, updated: int, total: int, last_failure: int,
+) -> None:
     """Append the history row that makes the version current."""
-    row = spark.createDataFrame([(load_id, now, inserted, updated, total, version)], _HISTORY)
+    row = spark.createDataFrame([(load_id, now, inserted, updated, total, version, last_failure)], _HISTORY)
     row.coalesce(1).write.mode("append").parquet(f"{root}/cargas")

@@ -5,34 +5,53 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from gaugeflow import contract as C
 from gaugeflow.functions import name, quote
 from gaugeflow.functions.text import flags_to_text, null_tokens, padded_id
 from gaugeflow.functions.times import format_timestamp, plus_minutes
 from gaugeflow.operators.dedup import with_arrival
+from gaugeflow.sources.arrival import SCAN_PLACE, by_file, in_source_order, in_split
+
+_RAGGED = "_ragged_record"
 
 
 class SourceError(ValueError):
     """A source name or a source column is not what the contract expects."""
 
 
-def read_text_csv(spark: SparkSession, path: str | list[str], columns: list[str]) -> DataFrame:
-    """The named columns of a CSV file with header, every cell as text.
+def read_text_csv(
+    spark: SparkSession, path: str | list[str], columns: list[str], multi_line: bool = False
+) -> DataFrame:
+    """The named columns of CSV files with header, every cell as text, and the rows' arrival ordinal.
 
-    Missing-value tokens become null; nothing else is interpreted. Lines keep the splittable
-    one-record-per-line form, so a large file is read by many tasks.
+    Missing-value tokens become null; nothing else is interpreted. Cells missing at the end of a record are
+    null, a record with more cells than the header is an error. Files count in the order of their names.
+    By default a record is one line, so a large file is read by many tasks. ``multi_line`` also takes line
+    breaks inside quotes; each file is then read by one task.
     """
-    cells = spark.read.options(header=True, escape='"', enforceSchema=False).csv(path)
-    absent = [c for c in columns if c not in cells.columns]
+    options = {"header": True, "escape": '"', "enforceSchema": False, "multiLine": multi_line}
+    header = spark.read.options(**options).csv(path).schema
+    absent = [c for c in columns if c not in header.names]
     if absent:
         raise SourceError(f"{path}: missing columns {absent}")
-    return cells.selectExpr(*[f"{null_tokens(name(c))} AS {name(c)}" for c in columns])
-
-
-def read_raw_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    # The reader hands over the text of a record whose cells do not match the header in number.
+    schema = T.StructType([*header, T.StructField(_RAGGED, T.StringType())])
+    cells = spark.read.options(columnNameOfCorruptRecord=_RAGGED, **options).schema(schema).csv(path)
+    commas = f"length(regexp_replace({_RAGGED}, '\"([^\"]|\"\")*\"|[^,]', ''))"
+    surplus = f"CASE WHEN {commas} >= {len(header)} THEN raise_error('a record has more cells than the header')"
+    scanned = cells.selectExpr(
+        *[f"{null_tokens(name(c))} AS {name(c)}" for c in columns],
+        f"coalesce({surplus} END, true) AS _whole",
+        *SCAN_PLACE,
+    )
+    return by_file(in_split(scanned.filter("_whole").drop("_whole")), cells.inputFiles())
+
+
+def read_raw_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
     """A source that already has the raw columns."""
-    return read_text_csv(spark, path, C.RAW_COLUMNS)
+    return read_text_csv(spark, path, C.RAW_COLUMNS, multi_line)
 
 
 def read_ai4i(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -56,7 +75,8 @@ def ai4i_to_raw(wide: DataFrame) -> DataFrame:
         "modo_falha": flags_to_text(C.FAILURE_MODES),
         **{ours: name(theirs) for ours, theirs in C.AI4I_COLUMNS.items()},
     }
-    return numbered.selectExpr(*[f"{made[c]} AS {name(c)}" for c in C.RAW_COLUMNS])
+    arrival = [C.ARRIVAL] if C.ARRIVAL in wide.columns else []
+    return numbered.selectExpr(*[f"{made[c]} AS {name(c)}" for c in C.RAW_COLUMNS], *arrival)
 
 
 def union_sources(sources: dict[str, DataFrame], selected: list[str] | None = None) -> DataFrame:
@@ -68,5 +88,8 @@ def union_sources(sources: dict[str, DataFrame], selected: list[str] | None = No
     wrong = [s for s in chosen if s not in C.VALID_SOURCES]
     if wrong or not chosen:
         raise SourceError(f"invalid sources {wrong or chosen}; use {C.VALID_SOURCES}")
-    ordered = [sources[s].select(*C.RAW_COLUMNS) for s in sources if s in chosen]
-    return with_arrival(reduce(DataFrame.unionByName, ordered))
+    ordered = [
+        in_source_order(with_arrival(sources[s]).select(*C.RAW_COLUMNS, C.ARRIVAL), i)
+        for i, s in enumerate(s for s in sources if s in chosen)
+    ]
+    return reduce(DataFrame.unionByName, ordered)

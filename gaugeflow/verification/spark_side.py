@@ -142,8 +142,28 @@ def moving_avg_12(spark, sf_dir):
 
 @register
 def moving_avg_12_hot_series(spark, sf_dir):
-    """Every series longer than 40 rows is cut into chunks; the result must not change."""
-    return queries.moving_average(S.in_spark(spark, sf_dir, S.SERIES), max_rows=40)
+    """Every series is cut at each hour instead of each week; the result must not change."""
+    return queries.moving_average(S.in_spark(spark, sf_dir, S.SERIES), bucket_minutes=60)
+
+
+@register
+def moving_avg_one_series(spark, sf_dir):
+    """All rows but those of odd users are one series; instants that collide are told apart by the id."""
+    rows = S.in_spark(spark, sf_dir, S.ONE_SERIES)
+    return queries.moving_average(rows)
+
+
+@register
+def moving_avg_wide_values(spark, sf_dir):
+    """Values with many decimals beside values above 1e12."""
+    return queries.moving_average(S.in_spark(spark, sf_dir, S.WIDE_SERIES))
+
+
+@register
+def first_moving_averages(spark, sf_dir):
+    """The first 50 readings of one series, with their position in the result."""
+    rows = queries.first_moving_averages(S.in_spark(spark, sf_dir, S.SERIES), "U-7")
+    return rows.selectExpr("*", "row_number() OVER (ORDER BY ts) AS posicao")
 
 
 @register
@@ -378,8 +398,31 @@ def contract_violations(spark, sf_dir):
     readings = S.in_spark(spark, sf_dir, S.READINGS).withColumn(
         "fonte", F.expr("CASE WHEN falha THEN 'ai4i' WHEN desgaste_min > 0 THEN 'outra' END")
     )
-    modes = table(spark, sf_dir, "lineitem").selectExpr("l_returnflag AS modo")
-    return loading.contract_violations(readings, modes)
+    return loading.contract_violations(readings, S.in_spark(spark, sf_dir, S.MODES_OF_ORDERS))
+
+
+@register
+def load_ids_not_reused(spark, sf_dir):
+    """The modes of the last failures are removed, then come back: they get new ids."""
+    root = scratch_path(spark, "tables")
+    readings, modes = clean_batch(spark, sf_dir)
+    for batch in (modes, modes.filter("modo <> 'PWF'"), modes):
+        loading.load(spark, root, readings, batch, NOW)
+    return tables.read_table(spark, root, "falhas").drop("leitura_id")
+
+
+@register
+def csv_arrival_order(spark, sf_dir):
+    """Two CSV folders of unequal size, several files each: the order of their rows."""
+    root = scratch_path(spark, "csv")
+    wide = S.in_spark(spark, sf_dir, S.AI4I)
+    for folder in "ab":
+        rows = wide.filter(f"(UDI LIKE '%7') = {str(folder == 'a').lower()}")
+        by_udi = F.expr("cast(UDI AS bigint)")
+        rows.repartitionByRange(3, by_udi).sortWithinPartitions(by_udi).write.csv(f"{root}/{folder}", header=True)
+    rows = text_files.union_sources({"ai4i": text_files.read_ai4i(spark, [f"{root}/b", f"{root}/a"])})
+    placed = indexing.with_row_index(rows.select("maquina_id", "timestamp", C.ARRIVAL), [C.ARRIVAL], "posicao")
+    return placed.drop(C.ARRIVAL)
 
 
 def changed(readings: DataFrame, modes: DataFrame) -> tuple[DataFrame, DataFrame]:

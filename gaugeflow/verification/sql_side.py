@@ -99,7 +99,7 @@ def _marts() -> str:
 
 
 def _celsius(k: str) -> str:
-    return f"CAST(round(CAST({k} AS DECIMAL(18,6)) - 273.15, 2) AS DECIMAL(14,2))"
+    return f"CAST(round(CAST({k} AS DECIMAL(28,10)) - 273.15, 2) AS DECIMAL(14,2))"
 
 
 def _percent(hits: str, n: str, places: int = 2) -> str:
@@ -181,12 +181,17 @@ def oracle() -> dict[str, str]:
                                 CASE WHEN "PWF" = '1' THEN 'PWF' END, CASE WHEN "OSF" = '1' THEN 'OSF' END,
                                 CASE WHEN "RNF" = '1' THEN 'RNF' END), '') AS modo_falha
         FROM ({S.in_sql(S.AI4I)})"""
-    moving = f"""
+
+    def moving(rows: str) -> str:
+        """The mean in integers: units of 1e-10 from the value's text, then cents half away from zero."""
+        units = "CAST(replace(CAST(CAST(CAST(temp_processo_k AS VARCHAR) AS DECIMAL(28,10)) AS VARCHAR), '.', '') AS HUGEINT)"
+        return f"""
         SELECT maquina_id, ts, temp_processo_k,
-               CAST((200 * s + 1000000 * n) // (2 * 1000000 * n) AS DOUBLE) / 100 AS media_movel
-        FROM (SELECT *, sum(CAST(floor(temp_processo_k * 1000000 + 0.5) AS BIGINT)) OVER w AS s, count(*) OVER w AS n
-              FROM ({series})
+               sign(s) * CAST((2 * abs(s) + n * 100000000) // (2 * n * 100000000) AS DOUBLE) / 100 AS media_movel
+        FROM (SELECT *, sum({units}) OVER w AS s, count(*) OVER w AS n
+              FROM ({rows})
               WINDOW w AS (PARTITION BY maquina_id ORDER BY ts ROWS BETWEEN 11 PRECEDING AND CURRENT ROW))"""
+
     sums = """
         SELECT 'linhas' AS secao, 'entrada' AS chave, count(*) AS n FROM m
         UNION ALL SELECT 'linhas', 'validas', count(*) FILTER (WHERE motivo IS NULL) FROM m
@@ -205,6 +210,7 @@ def oracle() -> dict[str, str]:
     )
     n_ok, n_modes = "(SELECT count(*) FROM ok)", "(SELECT count(*) FROM modes)"
     n_machines = "(SELECT count(DISTINCT maquina_id) FROM ok)"
+    modes_of_orders = S.in_sql(S.MODES_OF_ORDERS)
     violations = " UNION ALL ".join(
         [
             *[
@@ -217,7 +223,10 @@ def oracle() -> dict[str, str]:
             ],
             f"SELECT 'tipo_produto_invalido', count(*) FILTER (WHERE tipo_produto NOT IN {_list(C.PRODUCT_TYPES)}) FROM v",
             f"SELECT 'fonte_invalida', count(*) FILTER (WHERE fonte NOT IN {_list(C.VALID_SOURCES)}) FROM v",
-            f"SELECT 'modo_invalido', count(*) FROM lineitem WHERE l_returnflag NOT IN {_list(C.MODE_DOMAIN)}",
+            f"SELECT 'modo_invalido', count(*) FROM ({modes_of_orders}) WHERE modo NOT IN {_list(C.MODE_DOMAIN)}",
+            f"SELECT 'falha_repetida', count(*) FROM (SELECT maquina_id, ts, modo FROM ({modes_of_orders}) GROUP BY ALL HAVING count(*) > 1)",
+            f"SELECT 'falha_sem_leitura', count(*) FROM ({modes_of_orders}) m WHERE NOT EXISTS"
+            " (SELECT 1 FROM v WHERE v.maquina_id = m.maquina_id AND v.ts = m.ts)",
             "SELECT 'chave_repetida', count(*) FROM (SELECT maquina_id, ts FROM v GROUP BY ALL HAVING count(*) > 1)",
             "SELECT 'maquina_com_duas_fontes', count(*) FROM (SELECT maquina_id FROM (SELECT DISTINCT maquina_id, fonte FROM v)"
             " GROUP BY 1 HAVING count(*) > 1)",
@@ -268,11 +277,20 @@ def oracle() -> dict[str, str]:
             SELECT maquina_id, leituras, falhas, {_percent('falhas', 'leituras')} AS taxa_falha_pct,
             rank() OVER (ORDER BY falhas DESC) AS posicao,
             {_percent('falhas', 'CAST((SELECT sum(falhas) FROM g) AS BIGINT)', 1)} AS pct_das_falhas_totais FROM g""",
-        "moving_avg_12": moving,
-        "moving_avg_12_hot_series": moving,
-        "jump_topk": f"""SELECT maquina_id, ts, torque_nm, CAST(round(d, 1) AS DECIMAL(14,1)) AS delta FROM (
-            SELECT *, CAST(torque_nm AS DECIMAL(18,6)) - CAST(lag(torque_nm) OVER (PARTITION BY maquina_id ORDER BY ts)
-            AS DECIMAL(18,6)) AS d FROM ({series}) WHERE maquina_id LIKE 'U-%')
+        "moving_avg_12": moving(series),
+        "moving_avg_12_hot_series": moving(series),
+        "moving_avg_one_series": moving(S.in_sql(S.ONE_SERIES)),
+        "moving_avg_wide_values": moving(S.in_sql(S.WIDE_SERIES)),
+        "first_moving_averages": f"""SELECT *, row_number() OVER (ORDER BY ts) AS posicao FROM ({moving(series)})
+            WHERE maquina_id = 'U-7' ORDER BY ts LIMIT 50""",
+        "csv_arrival_order": f"""SELECT maquina_id, "timestamp",
+            row_number() OVER (ORDER BY CASE WHEN udi % 10 = 7 THEN 1 ELSE 2 END, udi) - 1 AS posicao
+            FROM (SELECT 'AI4I-' || lpad(CAST((o_orderkey) % 10 + 1 AS VARCHAR), 2, '0') AS maquina_id, o_orderkey + 1 AS udi,
+                  strftime(TIMESTAMP '2020-01-01 00:00:00' + to_minutes(10 * (o_orderkey // 10)), '%Y-%m-%d %H:%M:%S') AS "timestamp"
+                  FROM orders)""",
+        "jump_topk": f"""SELECT maquina_id, ts, torque_nm, CAST(round(d, 1) AS DECIMAL(28,1)) AS delta FROM (
+            SELECT *, CAST(torque_nm AS DECIMAL(28,10)) - CAST(lag(torque_nm) OVER (PARTITION BY maquina_id ORDER BY ts)
+            AS DECIMAL(28,10)) AS d FROM ({series}) WHERE maquina_id LIKE 'U-%')
             WHERE abs(d) > 25 ORDER BY abs(d) DESC, maquina_id, ts LIMIT 20""",
         "mode_rank_in_key": f"""WITH g AS (SELECT l.maquina_id, f.modo, count(*) AS ocorrencias
             FROM ({S.in_sql(S.SERIES_MODES)}) f JOIN ({series}) l USING (leitura_id) GROUP BY 1, 2)
@@ -341,6 +359,9 @@ def oracle() -> dict[str, str]:
             UNION ALL SELECT 2, 0, 0, 0, 0, 0
             UNION ALL SELECT 3, 0, 0, (SELECT count(*) FROM ok WHERE tipo_produto = 'H'), 0,
                              (SELECT count(*) FROM modes WHERE modo = 'PWF')""",
+        "load_ids_not_reused": f"""{clean}, first AS (SELECT *, row_number() OVER (ORDER BY maquina_id, ts, modo) AS falha_id FROM modes)
+            SELECT falha_id, maquina_id, ts, modo FROM first WHERE modo <> 'PWF'
+            UNION ALL SELECT {n_modes} + row_number() OVER (ORDER BY maquina_id, ts), maquina_id, ts, modo FROM modes WHERE modo = 'PWF'""",
         "history_row": f"""{clean} SELECT 1 AS carga_id, {n_ok} AS leituras_inseridas, 0 AS leituras_atualizadas, {n_ok} AS total_leituras
             UNION ALL SELECT 2, 0, 0, {n_ok}""",
         "table_totals": f"""{clean} SELECT 'maquinas' AS tabela, {n_machines} AS n UNION ALL SELECT 'leituras', {n_ok}

@@ -90,6 +90,36 @@ SERIES = (
     },
 )
 
+# Half of the events in one series; the id is added as seconds, as instants must differ within a series.
+ONE_SERIES = (
+    "events",
+    {
+        "maquina_id": "CASE WHEN user_id % 2 = 0 THEN 'U' ELSE 'U-' || cast(user_id AS string) END",
+        "ts": "cast('2020-01-01 00:00:00' AS {ntz}) + event_id * INTERVAL '7' SECOND",
+        "temp_processo_k": "value",
+    },
+)
+
+WIDE_SERIES = (
+    "events",
+    {
+        "maquina_id": "'U-' || cast(user_id AS string)",
+        "ts": "ts",
+        "temp_processo_k": "CASE WHEN event_id % 3 = 0 THEN floor(value) * cast('1e10' AS double) + cast('0.5' AS double)"
+        " ELSE value / cast('7' AS double) END",
+    },
+)
+
+# Modes of orders: some orders twice, some under an instant that no order has.
+MODES_OF_ORDERS = (
+    "orders",
+    {
+        "maquina_id": "'C-' || cast(o_custkey AS string)",
+        "ts": "CASE WHEN o_orderkey % 11 = 0 THEN o_orderdate + INTERVAL '3' SECOND ELSE o_orderdate END",
+        "modo": "CASE WHEN o_orderkey % 5 = 0 THEN 'HDF' WHEN o_orderkey % 5 = 1 THEN 'PWF' ELSE o_orderstatus END",
+    },
+)
+
 SERIES_MODES = ("events", {"leitura_id": "event_id", "modo": "event_type"})
 
 WEAR = (
