@@ -84,9 +84,10 @@ def classify(raw: DataFrame) -> DataFrame:
     key = [f"_s_{c}" for c in C.DEDUP_KEY]
     if C.ARRIVAL not in raw.columns:
         raw = materialize(with_arrival(raw), "arrival")  # both uses below must see one numbering
+    arrival = f"coalesce({C.ARRIVAL}, raise_error('{C.ARRIVAL} is null')) AS {C.ARRIVAL}"
     rows = _parsed(raw).selectExpr(
         *C.RAW_COLUMNS,
-        C.ARRIVAL,
+        arrival,
         *key,
         f"{first_defect()} AS _defeito",
         f"NOT {is_blank('_s_maquina_id')} AND _ts IS NOT NULL AS _com_chave",

@@ -36,9 +36,10 @@ def read_text_csv(
     absent = [c for c in columns if c not in header.names]
     if absent:
         raise SourceError(f"{path}: missing columns {absent}")
-    # The reader hands over the text of a record whose cells do not match the header in number.
+    # The reader hands over the text of a record whose cells do not match the header in number; it counts
+    # them only where it is not told to skip columns.
     schema = T.StructType([*header, T.StructField(_RAGGED, T.StringType())])
-    cells = spark.read.options(columnNameOfCorruptRecord=_RAGGED, **options).schema(schema).csv(path)
+    cells = spark.read.options(columnNameOfCorruptRecord=_RAGGED, columnPruning=False, **options).schema(schema).csv(path)
     commas = f"length(regexp_replace({_RAGGED}, '\"([^\"]|\"\")*\"|[^,]', ''))"
     surplus = f"CASE WHEN {commas} >= {len(header)} THEN raise_error('a record has more cells than the header')"
     scanned = cells.selectExpr(

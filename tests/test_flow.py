@@ -11,16 +11,21 @@ from gaugeflow.plans import checks, dashboard, flow, models
 from gaugeflow.plans.load import ContractError, load, table_totals
 from gaugeflow.sources import clean_layer, tables
 
-NOW = dt.datetime(2026, 1, 2, 12, 0, tzinfo=dt.timezone.utc)
+from conftest import DEFECTS
+
+NOW = dt.datetime(2031, 6, 1, 8, 30, tzinfo=dt.timezone.utc)
 
 
 @pytest.fixture
 def batch(spark, raw):
+    """Three machines, six readings; P-8 fails twice, once with two modes, and P-9 once without a known mode."""
     classified = cleaning.classify(
         raw(
-            {},
-            {"timestamp": "2026-01-01 00:05:00", "falha": "1", "modo_falha": "HDF|PWF"},
-            {"maquina_id": "M-02", "falha": "1"},
+            *[{"timestamp": f"2031-05-20 06:{m}:00"} for m in (30, 40)],
+            {"maquina_id": "P-8", "falha": "1", "modo_falha": "RNF|TWF"},
+            {"maquina_id": "P-8", "timestamp": "2031-05-22 00:00:00", "falha": "1", "modo_falha": "RNF"},
+            {"maquina_id": "P-9", "torque_nm": "71.5"},
+            {"maquina_id": "P-9", "timestamp": "2031-05-20 06:30:01", "falha": "1"},
         )
     )
     return cleaning.readings(classified), cleaning.failures(classified)
@@ -30,117 +35,139 @@ def totals(spark, root):
     return {r.tabela: r.n for r in table_totals(spark, root).collect()}
 
 
+def stored(spark, root, table):
+    return sorted(tables.read_table(spark, root, table).collect(), key=str)
+
+
 def test_load_twice_changes_nothing(spark, batch, tmp_path):
     root = str(tmp_path)
-    first = load(spark, root, *batch, NOW)
-    assert first == {
-        "maquinas_novas": 2, "leituras_inseridas": 3, "leituras_atualizadas": 0,
-        "falhas_inseridas": 3, "falhas_removidas": 0,
-    }
-    assert totals(spark, root) == {"maquinas": 2, "leituras": 3, "falhas": 3}
-    before = {t: tables.read_table(spark, root, t).collect() for t in tables.SCHEMAS}
-    assert set(load(spark, root, *batch, NOW).values()) == {0}
-    for table, rows in before.items():
-        assert sorted(tables.read_table(spark, root, table).collect()) == sorted(rows)
+    assert list(load(spark, root, *batch, NOW).values()) == [3, 6, 0, 4, 0]
+    assert totals(spark, root) == {"maquinas": 3, "leituras": 6, "falhas": 4}
+    before = {t: stored(spark, root, t) for t in tables.SCHEMAS}
+    later = NOW + dt.timedelta(days=3)
+    assert not any(load(spark, root, *batch, later).values())
+    assert {t: stored(spark, root, t) for t in tables.SCHEMAS} == before
     history = tables.read_history(spark, root).orderBy("carga_id").collect()
-    assert [(r.leituras_inseridas, r.total_leituras) for r in history] == [(3, 3), (0, 3)]
-    assert sorted(r.leitura_id for r in before["leituras"]) == [1, 2, 3]
+    assert [tuple(r)[2:] for r in history] == [(6, 0, 6), (0, 0, 6)]
+    assert [r.carregado_em.timestamp() for r in history] == [NOW.timestamp(), later.timestamp()]
+    assert {r.criada_em.timestamp() for r in before["maquinas"]} == {NOW.timestamp()}
+    assert sorted(r.leitura_id for r in before["leituras"]) == list(range(1, 7))
 
 
-def test_update_and_obsolete_mode(spark, batch, tmp_path):
+def test_updates_keep_ids_and_new_rows_follow(spark, batch, tmp_path):
     root = str(tmp_path)
     readings, modes = batch
     load(spark, root, readings, modes, NOW)
-    ids = {(r.maquina_id, r.ts): r.leitura_id for r in tables.read_table(spark, root, "leituras").collect()}
-    first = "maquina_id = 'M-01' AND ts = timestamp_ntz'2026-01-01 00:00:00'"
-    changed = readings.withColumn("torque_nm", F.expr(f"if({first}, 41.5D, torque_nm)"))
-    extra = changed.filter(first).withColumn("ts", F.expr("timestamp_ntz'2025-12-31 00:00:00'"))
-    done = load(spark, root, changed.union(extra), modes.filter("modo <> 'PWF'"), NOW)
-    assert done["leituras_atualizadas"] == 1 and done["falhas_removidas"] == 1
-    assert done["leituras_inseridas"] == 1 and done["maquinas_novas"] == 0
-    now = {(r.maquina_id, r.ts): r.leitura_id for r in tables.read_table(spark, root, "leituras").collect()}
-    assert {k: now[k] for k in ids} == ids  # ids never change
-    assert sorted(now.values()) == [1, 2, 3, 4]
-    assert totals(spark, root)["falhas"] == 2
+    ids = {(r.maquina_id, r.ts): r.leitura_id for r in stored(spark, root, "leituras")}
+    warmer = readings.withColumn("temp_ar_k", F.expr("if(maquina_id = 'P-9', temp_ar_k + 1.25D, temp_ar_k)"))
+    earlier = readings.filter("maquina_id = 'P-7'").withColumn("ts", F.expr("ts - INTERVAL '400' DAY"))
+    done = load(spark, root, warmer.union(earlier), modes, NOW)
+    assert list(done.values()) == [0, 2, 2, 0, 0]
+    now = {(r.maquina_id, r.ts): r for r in stored(spark, root, "leituras")}
+    assert {k: now[k].leitura_id for k in ids} == ids
+    assert sorted(r.leitura_id for r in now.values()) == list(range(1, 9))
+    assert {r.temp_ar_k for k, r in now.items() if k[0] == "P-9"} == {296.4 + 1.25}
+
+
+def test_ids_of_removed_failures_are_not_given_again(spark, batch, tmp_path):
+    """Even when the last ones went, and a load without any change lies between."""
+    root = str(tmp_path)
+    readings, modes = batch
+    load(spark, root, readings, modes, NOW)
+    assert [r.falha_id for r in stored(spark, root, "falhas")] == [1, 2, 3, 4]
+    few = modes.filter("maquina_id = 'P-8' AND modo = 'TWF'")
+    assert load(spark, root, readings, few, NOW)["falhas_removidas"] == 3
+    load(spark, root, readings, few, NOW)
+    assert load(spark, root, readings, modes, NOW)["falhas_inseridas"] == 3
+    found = sorted(r.falha_id for r in stored(spark, root, "falhas"))
+    assert found[1:] == [5, 6, 7] and found[0] in (1, 2, 3, 4)
 
 
 def test_rows_absent_from_the_batch_stay(spark, batch, tmp_path):
     root = str(tmp_path)
     readings, modes = batch
     load(spark, root, readings, modes, NOW)
-    one = "maquina_id = 'M-02'"
-    done = load(spark, root, readings.filter(one), modes.filter("false"), NOW)
-    assert done["falhas_removidas"] == 1  # only the mode of the reading in the batch
-    assert totals(spark, root) == {"maquinas": 2, "leituras": 3, "falhas": 2}
+    done = load(spark, root, readings.filter("maquina_id = 'P-8'"), modes.filter("modo = 'TWF'"), NOW)
+    assert done["falhas_removidas"] == 2  # both RNF of P-8; the failure of P-9 is not in the batch's readings
+    assert totals(spark, root) == {"maquinas": 3, "leituras": 6, "falhas": 2}
 
 
 @pytest.mark.parametrize(
-    ("change", "rule"),
+    ("change", "rule", "n"),
     [
-        ("999.0D AS torque_nm", "torque_nm_fora_da_faixa"),
-        ("cast(null AS double) AS torque_nm", "torque_nm_nulo"),
-        ("'outra' AS fonte", "fonte_invalida"),
-        ("'X' AS tipo_produto", "tipo_produto_invalido"),
-        ("timestamp_ntz'2026-01-01 00:00:00' AS ts", "chave_repetida"),
-        ("if(torque_nm > 0 AND falha, 'ai4i', 'simulado') AS fonte", "maquina_com_duas_fontes"),
+        ("-0.5D AS torque_nm", "torque_nm_fora_da_faixa", 6),
+        ("if(falha, NULL, rotacao_rpm) AS rotacao_rpm", "rotacao_rpm_nulo", 3),
+        ("concat(fonte, '2') AS fonte", "fonte_invalida", 6),
+        ("lower(tipo_produto) AS tipo_produto", "tipo_produto_invalido", 6),
+        ("cast(date_trunc('DAY', ts) AS timestamp_ntz) AS ts", "chave_repetida", 2),
+        ("if(ts > timestamp_ntz'2031-05-21 00:00:00', 'ai4i', fonte) AS fonte", "maquina_com_duas_fontes", 1),
+        ("concat('X', maquina_id) AS maquina_id", "falha_sem_leitura", 4),
     ],
 )
-def test_a_broken_rule_rejects_the_whole_load(spark, batch, tmp_path, change, rule):
+def test_a_broken_rule_rejects_the_whole_load(spark, batch, tmp_path, change, rule, n):
     readings, modes = batch
     column = change.split(" AS ")[-1]
     bad = readings.selectExpr(*[change if c == column else c for c in readings.columns])
     with pytest.raises(ContractError) as err:
         load(spark, str(tmp_path), bad, modes, NOW)
-    assert rule in err.value.broken
+    assert err.value.broken[rule] == n
     assert totals(spark, str(tmp_path)) == {"maquinas": 0, "leituras": 0, "falhas": 0}
 
 
-def test_unknown_mode_is_rejected(spark, batch, tmp_path):
+@pytest.mark.parametrize(
+    ("change", "broken"),
+    [("lower(modo)", {"modo_invalido": 4}), ("'HDF'", {"falha_repetida": 1}), ("NULL", {"modo_invalido": 4})],
+)
+def test_failures_that_break_a_rule(spark, batch, tmp_path, change, broken):
     readings, modes = batch
     with pytest.raises(ContractError) as err:
-        load(spark, str(tmp_path), readings, modes.selectExpr("maquina_id", "ts", "'abc' AS modo"), NOW)
-    assert err.value.broken == {"modo_invalido": 3}
+        load(spark, str(tmp_path), readings, modes.selectExpr("maquina_id", "ts", f"{change} AS modo"), NOW)
+    assert err.value.broken == broken
 
 
-def test_export_lines(spark, raw, tmp_path):
-    classified = cleaning.classify(raw({"falha": "1", "modo_falha": "TWF"}))
+def test_export_lines(spark, batch, tmp_path):
+    readings, modes = batch
     out = str(tmp_path / "csv")
-    clean_layer.export_csv(cleaning.readings(classified), clean_layer.EXPORT_READINGS, out)
-    assert [r.value for r in spark.read.text(out).collect()] == [
-        "M-01,simulado,2026-01-01 00:00:00,L,300.0,310.0,1500,40.0,10,t"
+    clean_layer.export_csv(readings.filter("maquina_id = 'P-9'"), clean_layer.EXPORT_READINGS, out)
+    assert sorted(r.value for r in spark.read.text(out).collect()) == [
+        "P-9,simulado,2031-05-20 06:30:00,M,296.4,307.9,1720,71.5,84,f",
+        "P-9,simulado,2031-05-20 06:30:01,M,296.4,307.9,1720,33.5,84,t",
     ]
     out = str(tmp_path / "modes")
-    clean_layer.export_csv(cleaning.failures(classified), clean_layer.EXPORT_FAILURES, out)
-    assert [r.value for r in spark.read.text(out).collect()] == ["M-01,2026-01-01 00:00:00,TWF"]
+    clean_layer.export_csv(modes.filter("modo = 'TWF'"), clean_layer.EXPORT_FAILURES, out)
+    assert [r.value for r in spark.read.text(out).collect()] == ["P-8,2031-05-20 06:30:00,TWF"]
 
 
 def test_whole_flow(spark, mixed, raw, tmp_path):
+    """Four good rows of conftest beside three of the other source."""
     path = str(tmp_path)
     other = raw(
-        {"fonte": "ai4i", "maquina_id": "AI4I-01", "falha": "1", "modo_falha": "TWF|OSF"},
-        {"fonte": "ai4i", "maquina_id": "AI4I-01", "timestamp": "2026-01-01 10:00:00", "falha": "1"},
+        {"fonte": "ai4i", "maquina_id": "AI4I-04", "timestamp": "2031-05-20 01:00:00"},
+        {"fonte": "ai4i", "maquina_id": "AI4I-04", "falha": "1", "modo_falha": "PWF"},
+        {"fonte": "ai4i", "maquina_id": "AI4I-04", "timestamp": "2031-05-20 09:00:00", "falha": "1", "modo_falha": "PWF|HDF"},
     )
+    bad = sum(map(len, DEFECTS.values()))
     summary = flow.run_etl(spark, {"ai4i": other, "simulado": mixed}, path, now=NOW)
-    assert summary["limpeza"] == {"entrada": 14, "validas": 5, "descartadas": 9}
-    assert summary["carga"]["leituras_inseridas"] == 5
-    assert summary["carga"]["falhas_inseridas"] == 5
-    assert clean_layer.read_rejected(spark, f"{path}/limpo").count() == 9
+    assert summary["limpeza"] == {"entrada": 7 + bad, "validas": 7, "descartadas": bad}
+    assert (summary["carga"]["leituras_inseridas"], summary["carga"]["falhas_inseridas"]) == (7, 6)
+    assert clean_layer.read_rejected(spark, f"{path}/limpo").count() == bad
 
-    results = flow.build_marts(spark, path, now=NOW, min_readings=5).collect()
+    results = flow.build_marts(spark, path, now=NOW, min_readings=7).collect()
     assert len(results) == 56
     assert {r.violacoes for r in results} == {0}
 
     marts = models.read_marts(spark, f"{path}/marts")
     daily = {(r.id_maquina, str(r.data_ref)): (r.qtd_falhas, r.modos_falha) for r in marts["fct_falhas_diarias"].collect()}
     assert daily == {
-        ("AI4I-01", "2026-01-01"): (2, "DESCONHECIDO; OSF, TWF"),
-        ("M-01", "2026-01-01"): (1, "HDF, PWF"),
+        ("AI4I-04", "2031-05-20"): (2, "HDF, PWF; PWF"),
+        ("P-8", "2031-05-20"): (1, "OSF, RNF"),
+        ("P-9", "2031-05-20"): (1, "DESCONHECIDO"),
     }
     k = dashboard.kpis(marts["dim_maquina"]).collect()[0]
-    assert (k.maquinas, k.leituras, k.falhas, k.taxa_falha_pct) == (2, 5, 3, 60.0)
-    assert dashboard.machine_totals(marts["dim_maquina"], ["ai4i"]).count() == 1
-    sample = dashboard.reading_sample(marts["fct_leituras"], marts["dim_maquina"], limit=2).collect()
-    assert [(r.id_maquina, r.houve_falha) for r in sample] == [("AI4I-01", True), ("M-01", True)]
+    assert (k.maquinas, k.leituras, k.falhas, k.taxa_falha_pct) == (4, 7, 4, 57.14)
+    assert dashboard.machine_totals(marts["dim_maquina"], ["simulado"]).count() == 3
+    sample = dashboard.reading_sample(marts["fct_leituras"], marts["dim_maquina"], limit=3).collect()
+    assert [(r.id_maquina, r.houve_falha) for r in sample] == [("AI4I-04", True), ("AI4I-04", True), ("P-8", True)]
 
     with pytest.raises(checks.QualityError, match="min_volume"):
         flow.build_marts(spark, path, now=NOW)
@@ -192,10 +219,11 @@ def test_volume_drop(spark, totals_seen, fails):
 
 
 def test_dashboard_reads(spark):
-    dim = spark.createDataFrame([("A", 100, 10), ("B", 50, 5)], "id_maquina string, total_leituras long, total_falhas long")
-    assert tuple(dashboard.kpis(dim).collect()[0]) == (2, 150, 15, 10.0)
+    dim = spark.createDataFrame([("K", 7, 0), ("L", 33, 13), ("N", 0, 0)], "id_maquina string, total_leituras long, total_falhas long")
+    assert tuple(dashboard.kpis(dim).collect()[0]) == (3, 40, 13, 32.5)
     assert tuple(dashboard.kpis(dim.limit(0)).collect()[0]) == (0, 0, 0, 0.0)
-    daily = spark.createDataFrame([("HDF, PWF",), ("HDF; OSF",), ("TWF",), (None,)], "modos_falha string")
+    texts = ["OSF", "OSF, TWF; RNF", None, "DESCONHECIDO; OSF"]
+    daily = spark.createDataFrame([(t,) for t in texts], "modos_falha string")
     found = {r.modo: r.ocorrencias for r in dashboard.mode_distribution(daily).collect()}
-    assert found == {"HDF": 2, "PWF": 1, "OSF": 1, "TWF": 1}
+    assert found == {"OSF": 3, "TWF": 1, "RNF": 1, "DESCONHECIDO": 1}
     assert dashboard.mode_distribution(daily.limit(0)).count() == 0

@@ -10,6 +10,7 @@ from gaugeflow.operators import grouping, indexing, merge, quality
 from gaugeflow.operators.dedup import mark_repeats
 from gaugeflow.operators.series import series_window
 from gaugeflow.plans import labels, queries
+from gaugeflow.session import materialize
 
 
 @pytest.fixture(scope="module")
@@ -30,8 +31,8 @@ def series(spark):
     return sorted(rows), df
 
 
-@pytest.mark.parametrize("max_rows", [10**6, 100, 7, 1])
-def test_windows_do_not_depend_on_chunks(series, max_rows):
+@pytest.mark.parametrize("minutes", [10**9, 10_080, 60, 1])
+def test_windows_do_not_depend_on_the_cuts(series, minutes):
     rows, df = series
     by_key = defaultdict(list)
     for k, s, v in rows:
@@ -46,7 +47,7 @@ def test_windows_do_not_depend_on_chunks(series, max_rows):
         "soma": "round(sum(v) OVER ({over} ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 6)",
         "n": "count(v) OVER ({over} ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)",
     }
-    out = series_window(df, "maquina_id", "ts", columns, reach=4, max_rows=max_rows)
+    out = series_window(df, "maquina_id", "ts", columns, reach=4, bucket_minutes=minutes)
     found = {(r.maquina_id, r.s): (r.anterior, r.soma, r.n) for r in out.collect()}
     assert found == expected
     assert out.count() == len(rows)
@@ -183,15 +184,36 @@ def test_time_between_failures(spark):
     assert [tuple(r) for r in queries.time_between_failures(df).collect()] == [("A", 2, 45.0, 30.0)]
 
 
-def test_long_series_without_broadcast(series, monkeypatch):
-    from gaugeflow.operators import series as module
+@pytest.mark.parametrize("minutes", [10**9, 60])
+def test_latest_row_before_a_cut(spark, series, minutes):
+    """One row back, rows without a key included."""
+    rows, df = series
+    some = df.withColumn("maquina_id", F.expr("nullif(maquina_id, 'a')"))
+    out = series_window(some, "maquina_id", "ts", {"anterior": "lag(v) OVER ({over})"}, 1, minutes)
+    found = {(r.maquina_id or "a", r.s): r.anterior for r in out.collect()}
+    assert found == {(k, s): rows[i - 1][2] if i and rows[i - 1][0] == k else None for i, (k, s, _) in enumerate(rows)}
+
 
+def test_one_series_plan_reads_its_input_twice_and_runs_no_job(spark, series):
     _, df = series
-    columns = {"anterior": "lag(v) OVER ({over})"}
-    expected = series_window(df, "maquina_id", "ts", columns, reach=1).collect()
-    monkeypatch.setattr(module, "MAX_BROADCAST_KEYS", 0)
-    found = series_window(df, "maquina_id", "ts", columns, reach=1, max_rows=20).collect()
-    assert sorted(found, key=str) == sorted(expected, key=str)
+    stored = materialize(df.withColumnRenamed("v", "temp_processo_k"), "series")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "plans only")
+    try:
+        plan = queries.moving_average(stored)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") <= 2 and "Broadcast" not in plan
+        assert list(tracker.getJobIdsForGroup("planning")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_exact_mean_of_wide_and_fine_values(spark):
+    rows = [("A", i, v) for i, v in enumerate([1e13, 0.0000004, 3e12 + 0.5, -0.004])]
+    df = spark.createDataFrame(rows, "maquina_id string, i int, temp_processo_k double").selectExpr(
+        "maquina_id", "timestamp_ntz'2031-01-01 00:00:00' + make_dt_interval(0, i, 0, 0) AS ts", "temp_processo_k"
+    )
+    found = [r.media_movel for r in queries.moving_average(df, rows=2).orderBy("ts").collect()]
+    assert found == [1e13, 5e12, 1.5e12 + 0.25, 1.5e12 + 0.25]
 
 
 def test_no_row_level_plan_ends_in_one_partition(spark, series):

@@ -52,7 +52,7 @@ def test_a_hot_raw_partition_is_several_files(spark, raw, tmp_path):
     path = str(tmp_path / "bruto")
     with settings(spark, SMALL):
         assert raw_layer.write_raw(frame.repartition(4), path) == 6
-    hot = list((tmp_path / "bruto" / "data=2026-01-01" / "maquina_id=quente").glob("*.parquet"))
+    hot = list((tmp_path / "bruto" / "data=2031-05-20" / "maquina_id=quente").glob("*.parquet"))
     assert len(hot) > 1
     back = raw_layer.read_raw(spark, path)
     assert back.count() == n and back.select(C.ARRIVAL).distinct().count() == n

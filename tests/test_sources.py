@@ -5,41 +5,54 @@ from gaugeflow import contract as C
 from gaugeflow.operators import cleaning
 from gaugeflow.sources import raw_layer, text_files
 
-HEADER = (
-    "UDI,Product ID,Type,Air temperature [K],Process temperature [K],Rotational speed [rpm],"
-    "Torque [Nm],Tool wear [min],Machine failure,TWF,HDF,PWF,OSF,RNF"
-)
-ROWS = """1,M14860,M,298.1,308.6,1551,42.8,0,0,0,0,0,0,0
-2,L47181,L,298.2,308.7,1408,46.3,3,1,0,1,1,0,0
-3,L47182,L,298.1,308.5,1498,49.4,5,1,0,0,0,0,0
-11,L47190,L,298.0,308.4,1500,40.0,7,0,0,0,0,0,0
-"""
+from conftest import DEFAULT
+
+WIDE = ["UDI", "Product ID", *C.AI4I_COLUMNS.values(), *C.FAILURE_MODES]
+
+
+def wide_row(udi, **cells) -> dict:
+    """A row of the wide file: plausible numbers that follow from its number, no failure."""
+    plain = {c: str(300 + udi % 7) for c in C.AI4I_COLUMNS.values()} | {c: "0" for c in C.FAILURE_MODES}
+    return plain | {"UDI": str(udi), "Product ID": f"x{udi}"} | cells
+
+
+def write_wide(path, rows) -> str:
+    lines = [",".join(WIDE), *(",".join(r[c] for c in WIDE) for r in rows)]
+    path.write_text("\n".join(lines) + "\n")
+    return str(path)
+
+
+def write_raw_csv(path, rows) -> str:
+    body = [",".join(C.RAW_COLUMNS), *(",".join(({**DEFAULT, **r})[c] or "" for c in C.RAW_COLUMNS) for r in rows)]
+    path.write_text("\n".join(body) + "\n")
+    return str(path)
 
 
 def test_ai4i_file(spark, tmp_path):
-    (tmp_path / "a.csv").write_text(f"{HEADER}\n{ROWS}")
-    df = text_files.read_ai4i(spark, str(tmp_path / "a.csv"))
-    assert df.columns == C.RAW_COLUMNS
-    rows = df.collect()
-    assert [r.maquina_id for r in rows] == ["AI4I-01", "AI4I-02", "AI4I-03", "AI4I-01"]
-    assert rows[0].timestamp == "2020-01-01 00:00:00"
-    assert rows[3].timestamp == "2020-01-01 00:10:00"
-    assert [r.modo_falha for r in rows] == [None, "HDF|PWF", None, None]
-    assert [r.falha for r in rows] == ["0", "1", "1", "0"]
-    assert rows[0].temp_ar_k == "298.1"
-
-
-def test_ai4i_row_numbers_must_be_numbers(spark, tmp_path):
-    (tmp_path / "a.csv").write_text(f"{HEADER}\n{ROWS.replace('3,L47182', 'x,L47182')}")
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        text_files.read_ai4i(spark, str(tmp_path / "a.csv")).collect()
-    (tmp_path / "b.csv").write_text(f"{HEADER}\n{ROWS.replace('3,L47182', ',L47182')}")
-    with pytest.raises(Exception, match="UDI is missing"):
-        text_files.read_ai4i(spark, str(tmp_path / "b.csv")).collect()
+    """Row numbers rotate over the machines; a full turn is one time step."""
+    numbers = [5, 10, 15, 10 * 6 * 24 + 5]
+    flags = {10: {"TWF": "1", "RNF": "1"}, 15: {"OSF": "1"}}
+    path = write_wide(tmp_path / "w.csv", [wide_row(n, **flags.get(n, {})) for n in numbers])
+    df = text_files.read_ai4i(spark, path)
+    assert df.columns == [*C.RAW_COLUMNS, C.ARRIVAL]
+    found = [(r.maquina_id, r.timestamp, r.modo_falha) for r in df.orderBy(C.ARRIVAL).collect()]
+    assert found == [
+        ("AI4I-05", "2020-01-01 00:00:00", None),
+        ("AI4I-10", "2020-01-01 00:00:00", "TWF|RNF"),
+        ("AI4I-05", "2020-01-01 00:10:00", "OSF"),
+        ("AI4I-05", "2020-01-02 00:00:00", None),
+    ]
+
+
+@pytest.mark.parametrize(("number", "message"), [("sete", "CAST_INVALID_INPUT"), ("", "UDI is missing")])
+def test_ai4i_row_numbers_must_be_numbers(spark, tmp_path, number, message):
+    path = write_wide(tmp_path / "w.csv", [wide_row(6), wide_row(7, UDI=number)])
+    with pytest.raises(Exception, match=message):
+        text_files.read_ai4i(spark, path).collect()
 
 
 def test_missing_columns_are_an_error(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("fonte,tipo\nx,L\n")
+    (tmp_path / "a.csv").write_text("tipo,torque_nm\nH,1\n")
     with pytest.raises(text_files.SourceError, match="maquina_id"):
         text_files.read_raw_csv(spark, str(tmp_path / "a.csv"))
 
@@ -48,84 +61,129 @@ def test_null_tokens_and_quotes(spark, tmp_path):
     cells = ["", "NA", "None", "nan", "N/A", "null", "#N/A", "n/a", "na", " NA", '"a,""b"""', "01"]
     body = "".join(f"{i},{c}\n" for i, c in enumerate(cells))
     (tmp_path / "a.csv").write_text(f"other,k,v\n{''.join(f'z,{line}' for line in body.splitlines(True))}")
-    rows = text_files.read_text_csv(spark, str(tmp_path / "a.csv"), ["k", "v"]).collect()
+    rows = text_files.read_text_csv(spark, str(tmp_path / "a.csv"), ["k", "v"]).orderBy(C.ARRIVAL).collect()
     assert [r.v for r in rows] == [None] * 8 + ["na", " NA", 'a,"b"', "01"]
 
 
+def test_records_of_other_lengths(spark, tmp_path):
+    """Missing cells are null, also beside quoted commas; surplus cells are an error, even empty ones."""
+    (tmp_path / "short.csv").write_text('k,v,w\n1,a\n2,"b,c,d"\n3,x,y\n')
+    rows = text_files.read_text_csv(spark, str(tmp_path / "short.csv"), ["k", "v", "w"]).orderBy("k").collect()
+    assert [(r.k, r.v, r.w) for r in rows] == [("1", "a", None), ("2", "b,c,d", None), ("3", "x", "y")]
+    for i, line in enumerate(("1,a,b,c", "1,a,,", '1,"a,b",c,d')):
+        (tmp_path / f"long{i}.csv").write_text(f"k,v,w\n0,x,y\n{line}\n")
+        with pytest.raises(Exception, match="more cells than the header"):
+            text_files.read_text_csv(spark, str(tmp_path / f"long{i}.csv"), ["k"]).collect()
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('k,v\n1,"two\nlines"\n2,one\n')
+    rows = text_files.read_text_csv(spark, str(tmp_path / "a.csv"), ["k", "v"], multi_line=True)
+    assert [(r.k, r.v) for r in rows.orderBy(C.ARRIVAL).collect()] == [("1", "two\nlines"), ("2", "one")]
+
+
+@pytest.mark.parametrize("split_bytes", [None, "2000", "100000"])
+def test_rows_of_files_arrive_in_file_order(spark, tmp_path, split_bytes):
+    """A small first file, a big second one that repeats its key: the first file's row stays for any split size."""
+    folder = tmp_path / "with space"
+    folder.mkdir()
+    many = [{"maquina_id": f"Q-{i:03}", "torque_nm": str(i % 90)} for i in range(600)]
+    second = write_raw_csv(folder / "part-2.csv", [*many[:300], {"torque_nm": "2"}, *many[300:]])
+    first = write_raw_csv(folder / "part-1.csv", [{"torque_nm": "1"}])
+    other = write_raw_csv(tmp_path / "other.csv", [{"fonte": "ai4i", "maquina_id": "Z"}])
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, split_bytes or before)
+        sources = {"ai4i": text_files.read_raw_csv(spark, other), "simulado": text_files.read_raw_csv(spark, [second, first])}
+        rows = text_files.union_sources(sources)
+        order = [(r.maquina_id, r.torque_nm) for r in rows.orderBy(C.ARRIVAL).collect()]
+        classified = cleaning.classify(rows).collect()
+    finally:
+        spark.conf.set(setting, before)
+    expected = [(r["maquina_id"], r["torque_nm"]) for r in many]
+    assert order == [("Z", "33.5"), ("P-7", "1"), *expected[:300], ("P-7", "2"), *expected[300:]]
+    assert [(r.torque_nm, r.motivo) for r in classified if r.motivo] == [("2", "duplicada")]
+
+
+def test_rows_without_an_ordinal_arrive_last(spark, raw):
+    """The union numbers them; cleaning itself refuses a missing ordinal."""
+    rows = raw({"torque_nm": "5"}, {"torque_nm": "6"}, {"torque_nm": "7"})
+    late = rows.withColumn(C.ARRIVAL, F.expr(f"if(torque_nm = '7', {C.ARRIVAL}, NULL)"))
+    kept = cleaning.readings(cleaning.classify(text_files.union_sources({"simulado": late}))).collect()
+    assert [r.torque_nm for r in kept] == [7.0]
+    with pytest.raises(Exception, match="chegada is null"):
+        cleaning.classify(late).collect()
+
+
 def test_union_keeps_order_and_validates_names(spark, raw):
-    a, b = raw({"fonte": "ai4i"}), raw({"torque_nm": "1"}, {"torque_nm": "2"})
-    both = {"ai4i": a, "simulado": b}
+    both = {"simulado": raw({"torque_nm": "8"}, {"torque_nm": "9"}), "ai4i": raw({"fonte": "ai4i"})}
     rows = text_files.union_sources(both).orderBy(C.ARRIVAL).collect()
-    assert [(r.fonte, r.torque_nm) for r in rows] == [("ai4i", "40.0"), ("simulado", "1"), ("simulado", "2")]
-    assert text_files.union_sources(both, ["simulado"]).count() == 2
-    for wrong in (["outra"], []):
+    assert [(r.fonte, r.torque_nm) for r in rows] == [("simulado", "8"), ("simulado", "9"), ("ai4i", "33.5")]
+    assert text_files.union_sources(both, ["ai4i"]).count() == 1
+    for wrong in (["sensores"], []):
         with pytest.raises(text_files.SourceError):
             text_files.union_sources(both, wrong)
 
 
 def test_raw_partitions(raw, tmp_path):
-    df = raw(
-        {"maquina_id": "A", "timestamp": "2026-01-01 10:00:00"},
-        {"maquina_id": "A", "timestamp": "2026-01-02 10:00:00"},
-        {"maquina_id": "B", "timestamp": "2026-01-01 11:00:00"},
-    )
-    assert raw_layer.write_raw(df, str(tmp_path / "bruto")) == 3
-    for day, machine in (("2026-01-01", "A"), ("2026-01-02", "A"), ("2026-01-01", "B")):
-        assert (tmp_path / "bruto" / f"data={day}" / f"maquina_id={machine}").is_dir()
+    """One directory per day text and machine, however many rows it has."""
+    days = ["1999-12-31 23:00:00", "2031-05-20 00:00:00", "2031-05-20 12:00:00"]
+    df = raw(*[{"maquina_id": m, "timestamp": d} for m in ("K", "L", "N") for d in days])
+    assert raw_layer.write_raw(df, str(tmp_path / "b")) == 6
+    found = {p.relative_to(tmp_path / "b").as_posix() for p in (tmp_path / "b").glob("data=*/*")}
+    assert found == {f"data={d[:10]}/maquina_id={m}" for m in ("K", "L", "N") for d in days}
 
 
 def test_raw_round_trip_keeps_everything(spark, raw, tmp_path):
-    df = raw(
-        {"maquina_id": "A", "torque_nm": "ERRO"},
-        {"maquina_id": "A", "rotacao_rpm": None, "timestamp": "2026-01-01 10:05:00"},
-        {"maquina_id": None},
-        {"maquina_id": ""},
-        {"maquina_id": "  "},
-        {"maquina_id": "sem_maquina"},
-        {"maquina_id": "a/b=c%"},
-        {"maquina_id": "B", "timestamp": "ontem"},
-        {"maquina_id": "B", "timestamp": None},
-        {"maquina_id": "B", "timestamp": "0123456789"},
-        {"maquina_id": "007"},
-    )
-    path = str(tmp_path / "bruto")
+    machines = [None, "", "  ", "sem_maquina", "a/b=c%", "007", "çã", "K"]
+    instants = ["2031-05-20 06:30:00", "amanhã, cedo", None, "0123456789"]
+    df = raw(*[{"maquina_id": m, "timestamp": t, "torque_nm": "?"} for m in machines for t in instants])
+    path = str(tmp_path / "b")
     raw_layer.write_raw(df, path)
     back = raw_layer.read_raw(spark, path)
     assert back.columns == df.columns
     key = lambda r: r[C.ARRIVAL]
     assert sorted(back.collect(), key=key) == sorted(df.collect(), key=key)
-    assert (tmp_path / "bruto" / "data=0123456789" / "maquina_id=B").is_dir()
-    assert (tmp_path / "bruto" / "data=sem_data" / "maquina_id=B").is_dir()
-    assert raw_layer.read_raw(spark, path, "data = 'sem_data'").count() == 2
+    assert (tmp_path / "b" / "data=0123456789" / "maquina_id=K").is_dir()
+    # Text too short to hold a day counts as no day.
+    assert raw_layer.read_raw(spark, path, "data = 'sem_data'").filter("timestamp IS NULL").count() == len(machines)
 
 
 def test_directory_conditions_prune(spark, raw, tmp_path):
-    raw_layer.write_raw(raw({"maquina_id": "A"}, {"maquina_id": "B"}), str(tmp_path / "bruto"))
-    one = raw_layer.read_raw(spark, str(tmp_path / "bruto"), "maquina_id = 'A'")
-    assert [r.maquina_id for r in one.collect()] == ["A"]
+    raw_layer.write_raw(raw({"maquina_id": "K"}, {"maquina_id": "L"}), str(tmp_path / "b"))
+    one = raw_layer.read_raw(spark, str(tmp_path / "b"), "maquina_id = 'L'")
+    assert [r.maquina_id for r in one.collect()] == ["L"]
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(maquina_id" in plan
 
 
-def test_writing_twice_leaves_one_file(raw, tmp_path):
-    df = raw({"maquina_id": "A"}, {"maquina_id": "A", "torque_nm": "1"})
-    for _ in range(2):
-        raw_layer.write_raw(df, str(tmp_path / "bruto"))
-    assert len(list((tmp_path / "bruto").rglob("*.parquet"))) == 1
+def test_a_second_write_replaces_the_first(spark, raw, tmp_path):
+    path = str(tmp_path / "b")
+    raw_layer.write_raw(raw({"maquina_id": "K"}, {"maquina_id": "L"}, {"maquina_id": "L"}), path)
+    assert raw_layer.write_raw(raw({"maquina_id": "N"}), path) == 1
+    assert [r.maquina_id for r in raw_layer.read_raw(spark, path).collect()] == ["N"]
 
 
 def test_a_dataset_without_helper_columns(spark, raw, tmp_path):
-    path = str(tmp_path / "bruto")
-    plain = raw({"maquina_id": "A"}, {"maquina_id": "A", "torque_nm": "41"}, {"maquina_id": None}).orderBy(C.ARRIVAL)
-    laid_out = plain.drop(C.ARRIVAL).withColumns(
-        {"data": F.lit("2026-01-01"), "maquina_id": F.coalesce("maquina_id", F.lit("sem_maquina"))}
-    )
-    laid_out.coalesce(1).write.partitionBy("data", "maquina_id").parquet(path)
-    back = raw_layer.read_raw(spark, path, numbered=False)
-    found = {(r.maquina_id, r.torque_nm): r.motivo for r in cleaning.classify(back).collect()}
-    assert found == {("A", "40.0"): None, ("A", "41"): "duplicada", (None, "40.0"): "maquina_ausente"}
+    """Written elsewhere: the first file in the order of names wins, and the sentinel means no machine."""
+    path = str(tmp_path / "b")
+    for i, torque in enumerate(("50", "51", "52")):
+        rows = raw({"maquina_id": "K", "torque_nm": torque}, {"maquina_id": None, "torque_nm": torque})
+        laid_out = rows.drop(C.ARRIVAL).withColumns(
+            {"data": F.lit("2031-05-20"), "maquina_id": F.coalesce("maquina_id", F.lit("sem_maquina"))}
+        )
+        laid_out.coalesce(1).write.partitionBy("data", "maquina_id").parquet(f"{path}-{i}")
+        for machine in ("K", "sem_maquina"):
+            folder = tmp_path / "b" / "data=2031-05-20" / f"maquina_id={machine}"
+            folder.mkdir(parents=True, exist_ok=True)
+            part = next((tmp_path / f"b-{i}" / "data=2031-05-20" / f"maquina_id={machine}").glob("*.parquet"))
+            (folder / f"{2 - i}.parquet").write_bytes(part.read_bytes())
+    found = {(r.maquina_id, r.torque_nm): r.motivo for r in cleaning.classify(raw_layer.read_raw(spark, path, numbered=False)).collect()}
+    assert {k: m for k, m in found.items() if k[0]} == {("K", "52"): None, ("K", "51"): "duplicada", ("K", "50"): "duplicada"}
+    assert {m for (machine, _), m in found.items() if machine is None} == {"maquina_ausente"}
 
 
 def test_empty_raw_layer(spark, raw, tmp_path):
-    assert raw_layer.write_raw(raw(), str(tmp_path / "bruto")) == 0
-    assert raw_layer.read_raw(spark, str(tmp_path / "bruto")).count() == 0
+    assert raw_layer.write_raw(raw(), str(tmp_path / "b")) == 0
+    assert raw_layer.read_raw(spark, str(tmp_path / "b")).count() == 0
