@@ -159,3 +159,15 @@ LOADS = T.StructType(
         T.StructField("total_leituras", T.LongType()),
     ]
 )
+
+# The columns of the bulk-load files and of the reading fact, in order.
+EXPORT_READINGS = [
+    "maquina_id", "fonte", "ts", "tipo_produto", "temp_ar_k", "temp_processo_k",
+    "rotacao_rpm", "torque_nm", "desgaste_min", "falha",
+]
+EXPORT_FAILURES = ["maquina_id", "ts", "modo"]
+FACT_COLUMNS = [
+    "id_leitura", "id_maquina", "medido_em", "tipo_produto", "temperatura_ar_c",
+    "temperatura_processo_c", "rotacao_rpm", "torque_nm", "desgaste_min", "houve_falha",
+    "modos_falha", "qtd_modos_falha",
+]

@@ -11,14 +11,10 @@ from pyspark.sql import functions as F
 
 from gaugeflow.functions.numbers import celsius
 from gaugeflow.operators.grouping import ordered_text
+from gaugeflow.contract import FACT_COLUMNS
 from gaugeflow.session import materialize
 from gaugeflow.sources.tables import exists
 
-FACT_COLUMNS = [
-    "id_leitura", "id_maquina", "medido_em", "tipo_produto", "temperatura_ar_c",
-    "temperatura_processo_c", "rotacao_rpm", "torque_nm", "desgaste_min", "houve_falha",
-    "modos_falha", "qtd_modos_falha",
-]
 
 
 def stg_maquinas(maquinas: DataFrame) -> DataFrame:

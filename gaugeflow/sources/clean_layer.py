@@ -5,17 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugeflow import contract as C
+from gaugeflow.contract import EXPORT_FAILURES, EXPORT_READINGS  # noqa: F401
 from gaugeflow.functions import name
 from gaugeflow.functions.text import true_false_text
 from gaugeflow.functions.times import format_timestamp
 from gaugeflow.operators import audit, cleaning
 
-EXPORT_READINGS = [
-    "maquina_id", "fonte", "ts", "tipo_produto", "temp_ar_k", "temp_processo_k",
-    "rotacao_rpm", "torque_nm", "desgaste_min", "falha",
-]
-EXPORT_FAILURES = ["maquina_id", "ts", "modo"]
-
 
 def _write_ordered(df: DataFrame, order: list[str], path: str) -> None:
     """Range partitions in order, each sorted: ordered files that no hot machine can unbalance."""

@@ -171,6 +171,12 @@ def jump_topk(spark, sf_dir):
     return queries.jumps(S.in_spark(spark, sf_dir, S.SERIES), prefix="U-")
 
 
+@register
+def jump_topk_of_prefix(spark, sf_dir):
+    """A prefix that leaves machines out."""
+    return queries.jumps(S.in_spark(spark, sf_dir, S.SERIES), prefix="U-1", k=50)
+
+
 @register
 def mode_rank_in_key(spark, sf_dir):
     return queries.mode_ranking(S.in_spark(spark, sf_dir, S.SERIES_MODES), S.in_spark(spark, sf_dir, S.SERIES))

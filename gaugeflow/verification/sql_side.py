@@ -182,6 +182,12 @@ def oracle() -> dict[str, str]:
                                 CASE WHEN "RNF" = '1' THEN 'RNF' END), '') AS modo_falha
         FROM ({S.in_sql(S.AI4I)})"""
 
+    def jumps(prefix: str, k: int) -> str:
+        return f"""SELECT maquina_id, ts, torque_nm, CAST(round(d, 1) AS DECIMAL(28,1)) AS delta FROM (
+            SELECT *, CAST(torque_nm AS DECIMAL(28,10)) - CAST(lag(torque_nm) OVER (PARTITION BY maquina_id ORDER BY ts)
+            AS DECIMAL(28,10)) AS d FROM ({series}) WHERE maquina_id LIKE '{prefix}%')
+            WHERE abs(d) > 25 ORDER BY abs(d) DESC, maquina_id, ts LIMIT {k}"""
+
     def moving(rows: str) -> str:
         """The mean in integers: units of 1e-10 from the value's text, then cents half away from zero."""
         units = "CAST(replace(CAST(CAST(CAST(temp_processo_k AS VARCHAR) AS DECIMAL(28,10)) AS VARCHAR), '.', '') AS HUGEINT)"
@@ -288,10 +294,8 @@ def oracle() -> dict[str, str]:
             FROM (SELECT 'AI4I-' || lpad(CAST((o_orderkey) % 10 + 1 AS VARCHAR), 2, '0') AS maquina_id, o_orderkey + 1 AS udi,
                   strftime(TIMESTAMP '2020-01-01 00:00:00' + to_minutes(10 * (o_orderkey // 10)), '%Y-%m-%d %H:%M:%S') AS "timestamp"
                   FROM orders)""",
-        "jump_topk": f"""SELECT maquina_id, ts, torque_nm, CAST(round(d, 1) AS DECIMAL(28,1)) AS delta FROM (
-            SELECT *, CAST(torque_nm AS DECIMAL(28,10)) - CAST(lag(torque_nm) OVER (PARTITION BY maquina_id ORDER BY ts)
-            AS DECIMAL(28,10)) AS d FROM ({series}) WHERE maquina_id LIKE 'U-%')
-            WHERE abs(d) > 25 ORDER BY abs(d) DESC, maquina_id, ts LIMIT 20""",
+        "jump_topk": jumps("U-", 20),
+        "jump_topk_of_prefix": jumps("U-1", 50),
         "mode_rank_in_key": f"""WITH g AS (SELECT l.maquina_id, f.modo, count(*) AS ocorrencias
             FROM ({S.in_sql(S.SERIES_MODES)}) f JOIN ({series}) l USING (leitura_id) GROUP BY 1, 2)
             SELECT *, row_number() OVER (PARTITION BY maquina_id ORDER BY ocorrencias DESC, modo) AS posicao_na_maquina FROM g""",
