@@ -49,6 +49,7 @@ _TOKEN = re.compile(
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_RAW_ENDS = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in RAW}
 _NAME = re.compile(r"[a-z]+")
 _PUNCTUATION = re.compile(r"[,.;:!?…。，、；：！？]")
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -91,11 +92,9 @@ def _marked(tag: str, attributes: str) -> tuple[str, bool]:
 def text_nodes(page: str):
     """(element, block number, text, in a link) of each text node, in page order."""
     root = Element("", None)
-    stack, block, found, raw_until = [root], 0, [], 0
-    lowered = None
-    for match in _TOKEN.finditer(page):
-        if match.start() < raw_until:
-            continue
+    stack, block, found, at = [root], 0, [], 0
+    while match := _TOKEN.match(page, at):
+        at = match.end()
         closing, name, attributes, text = match.groups()
         if text is not None:
             found.append((stack[-1], block, text))
@@ -104,11 +103,11 @@ def text_nodes(page: str):
             continue
         tag = name.lower()
         if closing:
-            for at in range(len(stack) - 1, 0, -1):
-                if stack[at].tag == tag:
-                    del stack[at:]
+            for i in range(len(stack) - 1, 0, -1):
+                if stack[i].tag == tag:
+                    del stack[i:]
                     break
-                if tag in INLINE and stack[at].tag not in INLINE or tag not in INLINE and tag == "p" and stack[at].tag in SCOPES:
+                if tag in INLINE and stack[i].tag not in INLINE or tag not in INLINE and tag == "p" and stack[i].tag in SCOPES:
                     break
             block += tag not in INLINE
             continue
@@ -123,9 +122,8 @@ def text_nodes(page: str):
         label, beside = _marked(tag, attributes)
         element = Element(tag, stack[-1], label, beside)
         if tag in RAW:
-            lowered = page.lower() if lowered is None else lowered
-            end = lowered.find(f"</{tag}", match.end())
-            raw_until = len(page) if end < 0 else end
+            end = _RAW_ENDS[tag].search(page, at)
+            at = end.start() if end else len(page)
             if tag == "textarea":
                 element.beside = True
             continue

@@ -129,6 +129,9 @@ def test_main_text():
     for page in (None, "", "<html></html>", "<nav>menu</nav>"):
         assert html_text.main_text(page) == ""
     assert html_text.main_text("<p>a<p>b") == "a b"
+    # quotes inside a script, and letters that grow when lower-cased, don't move its end
+    script = "<script>if (i <n && x) // it's\n</script>"
+    assert html_text.main_text(f"<p>İİİİ{script}It's here, and it's all.</p>") == "İİİİIt's here, and it's all."
     assert html_text.main_text("plain & simple < text") == "plain & simple < text"
     plain = PAGE.replace("<article class=\"post\">", "<div class=\"body\">").replace("</article>", "</div>")
     assert html_text.main_text(plain) == html_text.main_text(PAGE)
