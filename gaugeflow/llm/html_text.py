@@ -109,9 +109,9 @@ def text_nodes(page: str):
                     break
                 if tag in INLINE and stack[i].tag not in INLINE or tag not in INLINE and tag == "p" and stack[i].tag in SCOPES:
                     break
-            block += tag not in INLINE
+            block += tag not in INLINE and tag not in RAW
             continue
-        if tag not in INLINE:
+        if tag not in INLINE and tag not in RAW:
             block += tag not in VOID or tag == "hr"
             if tag not in VOID:
                 _end_open(stack, {"p"} | CLOSES.get(tag, set()))
