@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from gaugeflow import contract as C
 from gaugeflow.functions import name, quote
 from gaugeflow.operators import quality
-from gaugeflow.operators.merge import violations
 
 NOT_NULL = {
     "stg_maquinas": ["id_maquina", "fonte"],
@@ -63,18 +63,48 @@ class QualityError(RuntimeError):
     """At least one check found offending rows."""
 
 
-def _value_checks(model: str, df: DataFrame) -> DataFrame:
-    """All null and domain checks of one model in a single pass."""
+def value_rules(model: str) -> dict[str, str]:
+    """test|column -> condition that must hold on no row, for the null and domain checks of one model."""
     rules = {f"not_null|{c}": f"{name(c)} IS NULL" for c in NOT_NULL[model]}
     if model in ACCEPTED:
         column, values = ACCEPTED[model]
         rules[f"accepted_values|{column}"] = f"{name(column)} NOT IN ({', '.join(map(quote, values))})"
-    return violations(df, rules).selectExpr(
-        f"{quote(model)} AS modelo",
-        "substring_index(regra, '|', 1) AS teste",
-        "substring_index(regra, '|', -1) AS coluna",
-        "n AS violacoes",
-    )
+    return rules
+
+
+def by_key(
+    key: str,
+    models: dict[str, DataFrame],
+    unique: list[str],
+    references: list[tuple[str, str]],
+    sums: dict[str, dict[str, str]],
+) -> DataFrame:
+    """Rows (modelo, teste, coluna, violacoes) of all checks that need one key, and ``rows`` with each model's size.
+
+    Every model is read once and reduced by key before the one shuffle: its rows, and the sums asked for
+    (test|column -> expression per row). ``unique`` names models in which no key may repeat, ``references``
+    (child, parent) pairs. Null keys count in sums and sizes only.
+    """
+    parts, totals = [], {}
+    for i, (model, df) in enumerate(models.items()):
+        wanted = {"rows|": "1L", **sums.get(model, {})}
+        names = {label: f"_m{i}_{j}" for j, label in enumerate(wanted)}
+        parts.append(df.selectExpr(f"{name(key)} AS _key", *[f"cast({wanted[x]} AS bigint) AS {c}" for x, c in names.items()]))
+        totals |= {(model, label): f"coalesce(sum({c}), 0L)" for label, c in names.items()}
+    held = {model: f"coalesce(_m{i}_0, 0L)" for i, model in enumerate(models)}
+    totals |= {(m, f"unique|{key}"): f"count_if(_key IS NOT NULL AND {held[m]} > 1)" for m in unique}
+    totals |= {
+        (child, f"relationships|{key}"): f"count_if(_key IS NOT NULL AND {held[child]} > 0 AND {held[parent]} = 0)"
+        for child, parent in references
+    }
+    rows = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), parts)
+    per_key = rows.groupBy("_key").agg(*[F.sum(c).alias(c) for c in rows.columns if c != "_key"])
+    entries = [
+        f"{quote(m)}, {quote(test)}, {quote(column)}, _t{i}"
+        for i, (m, (test, _, column)) in enumerate((m, label.partition("|")) for m, label in totals)
+    ]
+    summed = per_key.selectExpr(*[f"{expr} AS _t{i}" for i, expr in enumerate(totals.values())])
+    return summed.selectExpr(f"stack({len(entries)}, {', '.join(entries)}) AS (modelo, teste, coluna, violacoes)")
 
 
 def run_checks(
@@ -83,27 +113,55 @@ def run_checks(
     min_readings: int = C.MIN_READINGS,
     max_drop: float = C.MAX_DROP,
 ) -> DataFrame:
-    """One row per check: model, test, column, number of offending rows or values."""
-
-    def counted(model: str, test: str, column: str, offenders: DataFrame) -> DataFrame:
-        return offenders.selectExpr(
-            f"{quote(model)} AS modelo", f"{quote(test)} AS teste", f"{quote(column)} AS coluna", "count(*) AS violacoes"
-        )
+    """One row per check: model, test, column, number of offending rows or values.
+
+    Twelve reads in all: six models by machine, four by reading, the failures by their id, and the history. Nulls,
+    domains and sizes are summed on the way; parity and volume are arithmetic on the sizes.
+    """
+    rules = {model: value_rules(model) for model in models}
+    sums = {model: {label: f"if({test}, 1L, 0L)" for label, test in own.items()} for model, own in rules.items()}
+    # The daily fact has a key of two columns: its repeats are counted where its rows are reduced by that key.
+    machine_day = ["id_maquina", "data_ref"]
+    per_day = models["fct_falhas_diarias"].groupBy(*machine_day).agg(
+        F.expr("count(*) AS _rows"),
+        *[F.expr(f"count_if({test}) AS {name(label)}") for label, test in rules["fct_falhas_diarias"].items()],
+    )
+    sums["fct_falhas_diarias"] = {
+        "rows|": "_rows",
+        **{label: name(label) for label in rules["fct_falhas_diarias"]},
+        f"unique|{', '.join(machine_day)}": "if(id_maquina IS NOT NULL AND data_ref IS NOT NULL AND _rows > 1, 1L, 0L)",
+    }
+
+    def family(key: str, frames: dict[str, DataFrame], with_sums: bool) -> DataFrame:
+        unique = [m for m, columns in UNIQUE if columns == key and m in frames]
+        references = [(m, parent) for m, column, parent in REFERENCES if column == key]
+        return by_key(key, frames, unique, references, sums if with_sums else {})
+
+    machines = {m: df for m, df in models.items() if m != "stg_falhas"} | {"fct_falhas_diarias": per_day}
+    readings = {m: models[m] for m in ("stg_leituras", "int_leituras_enriquecidas", "fct_leituras", "stg_falhas")}
+    by_machine = family("id_maquina", machines, True)
+    others = family("id_leitura", readings, False).unionAll(family("id_falha", {"stg_falhas": models["stg_falhas"]}, True))
+    dropped = quality.volume_drop(history, max_drop).selectExpr(
+        "'cargas' AS modelo", "'volume_drop' AS teste", "'total_leituras' AS coluna", "count(*) AS violacoes"
+    )
 
-    found = [_value_checks(model, df) for model, df in models.items()]
-    for model, columns in UNIQUE:
-        offenders = quality.unique(models[model], *columns.split(", "))
-        found.append(counted(model, "unique", columns, offenders))
-    for model, column, parent in REFERENCES:
-        offenders = quality.relationships(models[model], column, models[parent], column)
-        found.append(counted(model, "relationships", column, offenders))
-    for expected, actual in PARITY:
-        offenders = quality.row_parity(models[expected], models[actual])
-        found.append(counted(actual, "row_parity", expected, offenders))
-    for model, minimum in [("fct_leituras", min_readings), ("fct_falhas_diarias", C.MIN_DAILY_ROWS)]:
-        found.append(counted(model, "min_volume", "", quality.min_volume(models[model], minimum)))
-    found.append(counted("cargas", "volume_drop", "total_leituras", quality.volume_drop(history, max_drop)))
-    return reduce(DataFrame.unionAll, found)
+    # From here on it is one row per check.
+    size = {m: f"_sizes[{quote(m)}]" for m in machines}
+    derived = [
+        *[(actual, "row_parity", expected, f"{size[expected]} <> {size[actual]}") for expected, actual in PARITY],
+        ("fct_leituras", "min_volume", "", f"{size['fct_leituras']} < {min_readings}"),
+        ("fct_falhas_diarias", "min_volume", "", f"{size['fct_falhas_diarias']} < {C.MIN_DAILY_ROWS}"),
+    ]
+    structs = [
+        f"named_struct('modelo', {quote(m)}, 'teste', {quote(t)}, 'coluna', {quote(c)}, 'violacoes', if({test}, 1L, 0L))"
+        for m, t, c, test in derived
+    ]
+    found = by_machine.selectExpr("collect_list(struct(*)) AS _found").selectExpr(
+        "filter(_found, x -> x.teste <> 'rows') AS _checks",
+        "map_from_entries(transform(filter(_found, x -> x.teste = 'rows'), x -> struct(x.modelo, x.violacoes))) AS _sizes",
+    )
+    found = found.selectExpr(f"inline(concat(_checks, array({', '.join(structs)})))")
+    return found.unionAll(others.filter("teste <> 'rows'")).unionAll(dropped)
 
 
 def require(results: DataFrame) -> None:

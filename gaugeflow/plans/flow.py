@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,17 +48,20 @@ def build_marts(
 ) -> DataFrame:
     """Check that the tables are fresh, build all models, run the suite; returns its results.
 
-    Stale tables stop the build before any model is written; a failed check raises after it.
+    Stale tables stop the build before any model is written. The marts are written beside the current ones and
+    published after the suite, so a failed check raises and leaves those as they were.
     """
     root = f"{path}/tabelas"
     history = tables.read_history(spark, root)
     fresh = quality.freshness(history, now or dt.datetime.now(dt.timezone.utc)).collect()[0]
     if fresh["situacao"] == "error":
         raise checks.QualityError(f"tables are stale: last load {fresh['ultima_carga']}")
+    version = f"v-{uuid.uuid4().hex}"
     built = models.build_models(
-        *[tables.read_table(spark, root, t) for t in ("maquinas", "leituras", "falhas")], f"{path}/marts"
+        *[tables.read_table(spark, root, t) for t in ("maquinas", "leituras", "falhas")], f"{path}/marts/{version}"
     )
     limit = {} if min_readings is None else {"min_readings": min_readings}
     results = materialize(checks.run_checks(built, history, **limit), "checks")
     checks.require(results)
+    models.publish_marts(spark, f"{path}/marts", version)
     return results

@@ -6,6 +6,8 @@ written.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +18,6 @@ from gaugeflow.session import materialize
 from gaugeflow.sources.tables import exists
 
 
-
 def stg_maquinas(maquinas: DataFrame) -> DataFrame:
     return maquinas.selectExpr("maquina_id AS id_maquina", "fonte", "criada_em")
 
@@ -105,12 +106,14 @@ def fct_falhas_diarias(fato: DataFrame) -> DataFrame:
 
 
 MARTS = ("dim_maquina", "fct_leituras", "fct_falhas_diarias")
+CURRENT = "publicadas"
+_PUBLISHED = "ordem long, versao string"
 
 
 def build_models(
     maquinas: DataFrame, leituras: DataFrame, falhas: DataFrame, path: str
 ) -> dict[str, DataFrame]:
-    """Write the marts under ``path``; returns all seven models by name.
+    """Write the marts under ``path``, a new folder; returns all seven models by name.
 
     The enriched model is materialised, because the fact and several checks read it, and the other
     two marts start from the written fact; so the joins run once. The fact is laid out in order of
@@ -122,11 +125,11 @@ def build_models(
 
     fact = fct_leituras(enriched)
     ordered = fact.repartitionByRange("medido_em", "id_maquina").sortWithinPartitions("medido_em", "id_maquina")
-    ordered.write.mode("overwrite").parquet(f"{path}/fct_leituras")
+    ordered.write.parquet(f"{path}/fct_leituras")
     fact = spark.read.schema(fact.schema).parquet(f"{path}/fct_leituras")
 
     def mart(name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
+        df.write.parquet(f"{path}/{name}")
         return spark.read.schema(df.schema).parquet(f"{path}/{name}")
 
     return {
@@ -144,9 +147,16 @@ class MartsMissing(RuntimeError):
     """The marts have not been built yet."""
 
 
+def publish_marts(spark: SparkSession, path: str, version: str) -> None:
+    """Make the marts under ``path/version`` the current ones, by one small file that appears at once or not at all."""
+    order = spark.createDataFrame([(time.time_ns(), version)], _PUBLISHED)
+    order.coalesce(1).write.mode("append").parquet(f"{path}/{CURRENT}")
+
+
 def read_marts(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """The marts by name, after checking that they are there."""
-    absent = [m for m in MARTS if not exists(spark, f"{path}/{m}")]
-    if absent:
-        raise MartsMissing(f"build the models first: {absent} not found under {path}")
-    return {m: spark.read.parquet(f"{path}/{m}") for m in MARTS}
+    """The current marts by name, after checking that there are any."""
+    if not exists(spark, f"{path}/{CURRENT}"):
+        raise MartsMissing(f"build the models first: nothing was published under {path}")
+    published = spark.read.schema(_PUBLISHED).parquet(f"{path}/{CURRENT}")
+    version = published.agg(F.expr("max_by(versao, ordem) AS versao")).collect()[0]["versao"]
+    return {m: spark.read.parquet(f"{path}/{version}/{m}") for m in MARTS}

@@ -171,6 +171,7 @@ def test_whole_flow(spark, mixed, raw, tmp_path):
 
     with pytest.raises(checks.QualityError, match="min_volume"):
         flow.build_marts(spark, path, now=NOW)
+    assert models.read_marts(spark, f"{path}/marts")["fct_leituras"].inputFiles() == marts["fct_leituras"].inputFiles()
     with pytest.raises(checks.QualityError, match="stale"):
         flow.build_marts(spark, path, now=NOW + dt.timedelta(hours=49))
 
