@@ -84,27 +84,18 @@ def accounting_by_source(classified: DataFrame) -> DataFrame:
 
 
 def document(report: DataFrame) -> DataFrame:
-    """The report as one JSON text column, nested by section."""
+    """The report as lines of JSON: the totals by section first, then one line per source in order.
+
+    There may be any number of sources, so they are never brought together in one value.
+    """
 
     def total(section: str, key: str) -> str:
-        return f"sum(if(secao = {quote(section)} AND chave = {quote(key)}, n, 0))"
+        return f"coalesce(sum(if(secao = {quote(section)} AND chave = {quote(key)}, n, 0L)), 0L)"
 
     def block(section: str) -> str:
         pairs = [f"{quote(k)}, {total(s, k)}" for s, k in FIXED_ROWS if s == section]
         return f"named_struct({', '.join(pairs)}) AS {section}"
 
-    sources = (
-        report.filter("secao IN ('entrada_por_fonte', 'validas_por_fonte')")
-        .groupBy("chave")
-        .agg(
-            F.expr("sum(if(secao = 'entrada_por_fonte', n, 0)) AS entrada"),
-            F.expr("sum(if(secao = 'validas_por_fonte', n, 0)) AS validas"),
-        )
-        .selectExpr(
-            "map_from_entries(sort_array(collect_list("
-            "struct(chave, named_struct('entrada', entrada, 'validas', validas))))) AS por_fonte"
-        )
-    )
     body = report.selectExpr(
         f"{total('linhas', 'entrada')} AS linhas_entrada",
         f"{total('linhas', 'validas')} AS linhas_validas",
@@ -114,7 +105,14 @@ def document(report: DataFrame) -> DataFrame:
         f"{total('falhas', 'leituras_com_falha')} AS leituras_com_falha",
         f"{total('falhas', 'registros_de_falha')} AS registros_de_falha",
     )
-    return body.crossJoin(sources).selectExpr("to_json(struct(*)) AS value")  # one row each
+    sources = report.filter("secao IN ('entrada_por_fonte', 'validas_por_fonte')").groupBy("chave").agg(
+        F.expr("sum(if(secao = 'entrada_por_fonte', n, 0)) AS entrada"),
+        F.expr("sum(if(secao = 'validas_por_fonte', n, 0)) AS validas"),
+    )
+    lines = body.selectExpr("CAST(NULL AS string) AS _fonte", "to_json(struct(*)) AS value").union(
+        sources.selectExpr("chave", "to_json(struct(chave AS fonte, entrada, validas))")
+    )
+    return lines.orderBy(F.asc_nulls_first("_fonte")).select("value")
 
 
 def check_accounting(report: DataFrame) -> dict[str, int]:

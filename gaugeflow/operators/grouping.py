@@ -10,15 +10,22 @@ from gaugeflow.functions.numbers import ratio
 
 
 def ordered_text(
-    df: DataFrame, keys: list[str], text: str, separator: str, into: str, count: str, distinct: bool = False
-) -> DataFrame:
+    df: DataFrame, keys: list[str], text: str, separator: str, into: str, count: str, distinct: bool = False,
+    few: bool = False,
+) -> DataFrame:
     """Per group: its texts in order, joined, and the number of its rows.
 
     Equal texts of a group are counted first, with a combine before the shuffle; so what is put in
-    order per group is its distinct texts, however many rows share a key. Null when a group has
-    no text.
+    order per group is its distinct texts, however many rows share a key. With ``few`` the caller states
+    that no group has many rows, and one grouping does. Null when a group has no text.
     """
     t, sep = name(text), quote(separator)
+    if few:
+        only = "DISTINCT " if distinct else ""
+        return df.groupBy(*keys).agg(
+            F.expr(f"listagg({only}{t}, {sep}) WITHIN GROUP (ORDER BY {t}) AS {name(into)}"),
+            F.expr(f"count(*) AS {name(count)}"),
+        )
     copies = "1" if distinct else "cast(_n AS int)"
     piece = f"CASE WHEN {t} IS NOT NULL THEN array_join(array_repeat({t}, {copies}), {sep}) END"
     counted = df.groupBy(*keys, text).agg(F.expr("count(*) AS _n"))

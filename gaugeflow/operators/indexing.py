@@ -10,6 +10,8 @@ from gaugeflow.session import materialize
 
 # monotonically_increasing_id() keeps the partition above, and the position in it below, bit 33.
 _SHIFT, _MASK = 33, 2**33 - 1
+#: Widest domain whose histogram one task puts in order.
+MAX_DOMAIN = 100_000
 
 
 def with_row_index(df: DataFrame, order_by: list[str], into: str, total: str | None = None) -> DataFrame:
@@ -71,15 +73,21 @@ def with_ntile(df: DataFrame, order_by: list[str], k: int, into: str) -> DataFra
     return indexed.selectExpr(*map(name, df.columns), f"{bucket_of('_index', '_rows', k)} AS {name(into)}")
 
 
-def ntile_summary(df: DataFrame, value: str, flag: str, tiebreak: list[str], k: int) -> DataFrame:
+def ntile_summary(
+    df: DataFrame, value: str, flag: str, tiebreak: list[str], k: int, domain: tuple[float, float]
+) -> DataFrame:
     """Per ``ntile(k)`` bucket of ``value``: lowest and highest value, rows, rows with ``flag``.
 
-    ``value`` is a column of a small closed domain (tool wear: 0 to 1000 by contract), so its
+    ``value`` is a column of whole numbers within ``domain`` (tool wear: 0 to 1000 by contract), so its
     histogram is small and tells the buckets of nearly all rows without sorting them. Only the at
-    most ``k - 1`` values cut by a bucket boundary need their rows ordered.
+    most ``k - 1`` values cut by a bucket boundary need their rows ordered. Other types, and values
+    outside the domain, are errors; ``with_ntile`` takes any column.
     """
-    v = name(value)
-    rows = df.selectExpr(f"{v} AS _v", f"coalesce({flag}, false) AS _hit", *map(name, tiebreak))
+    v, (low, high) = name(value), domain
+    if dict(df.dtypes)[value] not in ("tinyint", "smallint", "int", "bigint") or high - low > MAX_DOMAIN:
+        raise ValueError(f"{value} is not a column of whole numbers with a small domain")
+    checked = f"if({v} NOT BETWEEN {low} AND {high}, raise_error('{value} outside its domain'), {v})"
+    rows = df.selectExpr(f"{checked} AS _v", f"coalesce({flag}, false) AS _hit", *map(name, tiebreak))
     histogram = rows.groupBy("_v").agg(F.expr("count(*) AS _n"), F.expr("count_if(_hit) AS _hits"))
     placed = histogram.selectExpr(
         "*",

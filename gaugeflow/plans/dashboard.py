@@ -30,15 +30,12 @@ def daily_with_source(diarias: DataFrame, dim: DataFrame, fontes: list[str] | No
 def reading_sample(
     fato: DataFrame, dim: DataFrame, fontes: list[str] | None = None, limit: int = 200
 ) -> DataFrame:
-    """The newest readings, failures first; ties by id."""
+    """The newest readings, failures first; ties by id. Only the ``limit`` rows get their source joined."""
     machines = of_sources(dim, fontes).select("id_maquina", "fonte")
     columns = [c for c in fato.columns if c not in ("id_leitura", "id_maquina")]
-    return (
-        fato.join(machines, "id_maquina")
-        .select("id_leitura", "id_maquina", "fonte", *columns)
-        .orderBy(F.desc("houve_falha"), F.desc("medido_em"), "id_leitura")
-        .limit(limit)
-    )
+    order = [F.desc("houve_falha"), F.desc("medido_em"), "id_leitura"]
+    newest = fato.join(machines, "id_maquina", "left_semi").orderBy(*order).limit(limit)
+    return newest.join(machines, "id_maquina").select("id_leitura", "id_maquina", "fonte", *columns).orderBy(*order)
 
 
 def kpis(dim: DataFrame) -> DataFrame:

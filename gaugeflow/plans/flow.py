@@ -39,6 +39,7 @@ def run_etl(
             clean_layer.read_readings(spark, f"{path}/limpo"),
             clean_layer.read_failures(spark, f"{path}/limpo"),
             now,
+            stored=True,
         )
     return summary
 

@@ -63,14 +63,22 @@ def enforce(readings: DataFrame, failures: DataFrame) -> None:
 
 
 def load(
-    spark: SparkSession, root: str, readings: DataFrame, failures: DataFrame, now: dt.datetime | None = None
+    spark: SparkSession,
+    root: str,
+    readings: DataFrame,
+    failures: DataFrame,
+    now: dt.datetime | None = None,
+    stored: bool = False,
 ) -> dict[str, int]:
     """Merge a batch into the tables under ``root``; returns what changed.
 
     The batch is checked, the next version is written beside the current one, and only then made
-    current. Loading the same batch again changes nothing but the history.
+    current. Loading the same batch again changes nothing but the history. The batch is read several
+    times; unless it comes straight from files (``stored``), it is written once first.
     """
     now = now or dt.datetime.now(dt.timezone.utc)
+    if not stored:
+        readings, failures = materialize(readings, "batch"), materialize(failures, "batch")
     enforce(readings, failures)
     last_id, current, last_failure = tables.last_load(spark, root)
     version = f"v{last_id + 1:06d}-{uuid.uuid4().hex[:8]}"

@@ -48,10 +48,10 @@ def int_leituras_enriquecidas(leituras: DataFrame, maquinas: DataFrame, falhas:
     """One row per staged reading, with its machine's source and its modes as one text.
 
     Failures are brought down to one row per reading before the join, so a reading with several
-    modes is not repeated. The sizes of both joins are left to the optimizer: the machine table is
+    modes is not repeated; it has a handful by contract. The sizes of both joins are left to the optimizer: the machine table is
     broadcast while it is small and shuffled beyond that.
     """
-    modes = ordered_text(falhas, ["id_leitura"], "modo_falha", ", ", "modos_falha", "qtd_modos_falha")
+    modes = ordered_text(falhas, ["id_leitura"], "modo_falha", ", ", "modos_falha", "qtd_modos_falha", few=True)
     return (
         leituras.join(maquinas.select("id_maquina", "fonte"), "id_maquina")
         .join(modes, "id_leitura", "left")

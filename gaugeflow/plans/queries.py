@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gaugeflow import contract as C
 from gaugeflow.functions import name, quote
 from gaugeflow.functions.numbers import exact, percent
 from gaugeflow.functions.times import epoch_micros
@@ -134,9 +135,9 @@ def time_between_failures(leituras: DataFrame, bucket_minutes: int = BUCKET_MINU
 def wear_quantiles(
     leituras: DataFrame, value: str = "desgaste_min", tiebreak: tuple[str, ...] = ("maquina_id", "ts"), k: int = 4
 ) -> DataFrame:
-    """Failure rate by quantile of tool wear."""
+    """Failure rate by quantile of tool wear, or of another whole-numbered sensor."""
     return (
-        ntile_summary(leituras, value, "falha", list(tiebreak), k)
+        ntile_summary(leituras, value, "falha", list(tiebreak), k, C.RANGES[value])
         .selectExpr(
             "faixa AS quartil_desgaste",
             "menor AS desgaste_min_do_quartil",

@@ -32,9 +32,9 @@ def write_clean(classified: DataFrame, path: str) -> DataFrame:
 
 
 def write_report(report: DataFrame, path: str) -> DataFrame:
-    """The report as rows, and as one JSON document beside them."""
+    """The report as rows, and as lines of JSON beside them."""
     spark = report.sparkSession
-    report.coalesce(1).write.mode("overwrite").parquet(f"{path}/linhas")
+    report.write.mode("overwrite").parquet(f"{path}/linhas")
     rows = spark.read.schema(report.schema).parquet(f"{path}/linhas")
     audit.document(rows).write.mode("overwrite").text(f"{path}/json")
     return rows

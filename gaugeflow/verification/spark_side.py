@@ -73,6 +73,12 @@ def audit_report(spark, sf_dir):
     return audit.audit(rows, cleaning.failures(rows))
 
 
+@register
+def audit_document(spark, sf_dir):
+    rows = materialize(classified(spark, sf_dir), "classified")
+    return audit.document(audit.audit(rows, cleaning.failures(rows)))
+
+
 @register
 def accounting_by_source(spark, sf_dir):
     return audit.accounting_by_source(classified(spark, sf_dir))
@@ -161,9 +167,9 @@ def moving_avg_wide_values(spark, sf_dir):
 
 @register
 def first_moving_averages(spark, sf_dir):
-    """The first 50 readings of one series, with their position in the result."""
+    """The first 50 readings of one series, with their position in the result: one partition after the limit."""
     rows = queries.first_moving_averages(S.in_spark(spark, sf_dir, S.SERIES), "U-7")
-    return rows.selectExpr("*", "row_number() OVER (ORDER BY ts) AS posicao")
+    return rows.limit(50).selectExpr("*", "1 + monotonically_increasing_id() AS posicao")
 
 
 @register

@@ -163,7 +163,34 @@ def _suite() -> str:
     return _models() + " UNION ALL ".join(out)
 
 
+#: Results whose order counts: the rows are compared in it. Without keys the statement is in order itself.
+ORDERED = {
+    "rate_by_group": "fonte, tipo_produto",
+    "rank_share": "posicao, maquina_id",
+    "first_moving_averages": "ts",
+    "jump_topk": "",
+    "jump_topk_of_prefix": "",
+    "mode_rank_in_key": "maquina_id, posicao_na_maquina",
+    "mean_time_between_events": "tempo_medio_s, maquina_id",
+    "ntile_rate": "quartil_desgaste",
+    "daily_running_total": "dia",
+    "totals_by_source": "total_falhas DESC, id_maquina",
+    "totals_of_one_source": "total_falhas DESC, id_maquina",
+    "daily_by_source": "data_ref, id_maquina",
+    "sample_topn": "houve_falha DESC, medido_em DESC, id_leitura",
+    "daily_series": "data_ref",
+    "mode_distribution": "ocorrencias DESC, modo",
+}
+
+
 def oracle() -> dict[str, str]:
+    return {
+        name: f"SELECT * FROM ({sql}) ORDER BY {ORDERED[name]}" if ORDERED.get(name) else sql
+        for name, sql in _statements().items()
+    }
+
+
+def _statements() -> dict[str, str]:
     clean, model, merged = _cleaning(), _models(), _merged()
     series, readings, machines = S.in_sql(S.SERIES), S.in_sql(S.READINGS), S.in_sql(S.MACHINES)
     raw_columns = ", ".join(f'"{c}"' for c in C.RAW_COLUMNS)
@@ -214,6 +241,21 @@ def oracle() -> dict[str, str]:
         f" UNION ALL SELECT 'descartadas_por_motivo', '{r}', count(*) FILTER (WHERE motivo = '{r}') FROM m"
         for r in C.REASONS
     )
+
+    def total(section: str, key: str) -> str:
+        return f"(SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM report WHERE secao = '{section}' AND chave = '{key}')"
+
+    def block(section: str, keys: list[str]) -> str:
+        return f"'{section}': {{{', '.join(f"'{k}': {total(section, k)}" for k in keys)}}}"
+
+    totals = ", ".join(
+        [
+            *[f"'linhas_{k}': {total('linhas', k)}" for k in ("entrada", "validas", "descartadas")],
+            block("descartadas_por_motivo", C.REASONS),
+            block("avisos", ["modo_ignorado_sem_falha", "falhas_sem_modo_informado"]),
+            *[f"'{k}': {total('falhas', k)}" for k in ("leituras_com_falha", "registros_de_falha")],
+        ]
+    )
     n_ok, n_modes = "(SELECT count(*) FROM ok)", "(SELECT count(*) FROM modes)"
     n_machines = "(SELECT count(DISTINCT maquina_id) FROM ok)"
     modes_of_orders = S.in_sql(S.MODES_OF_ORDERS)
@@ -261,6 +303,11 @@ def oracle() -> dict[str, str]:
         "clean_rejected": f"{clean} SELECT {raw_columns}, motivo FROM m WHERE motivo IS NOT NULL",
         "modes_exploded": f"{clean} SELECT * FROM modes",
         "audit_report": clean + sums,
+        "audit_document": f"""{clean}, report AS ({sums})
+            SELECT CAST(to_json({{{totals}}}) AS VARCHAR) AS value
+            UNION ALL SELECT CAST(to_json({{'fonte': chave, 'entrada': CAST(sum(n) FILTER (WHERE secao = 'entrada_por_fonte') AS BIGINT),
+                'validas': CAST(sum(n) FILTER (WHERE secao = 'validas_por_fonte') AS BIGINT)}}) AS VARCHAR)
+            FROM report WHERE secao LIKE '%_por_fonte' GROUP BY chave""",
         "accounting_by_source": f"""{clean} SELECT s_fonte AS fonte, count(*) AS entrada,
             count(*) FILTER (WHERE motivo IS NULL) AS validas, count(motivo) AS descartadas FROM m GROUP BY 1""",
         "dedup_keep_first": f"""SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, chegada FROM (

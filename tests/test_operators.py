@@ -83,7 +83,7 @@ def test_ntile_summary_equals_row_level_buckets(spark, k):
         F.min("v").alias("menor"), F.max("v").alias("maior"), F.count("*").alias("linhas"),
         F.count_if("falha").alias("com_marca"),
     )
-    found = indexing.ntile_summary(df, "v", "falha", ["id"], k)
+    found = indexing.ntile_summary(df, "v", "falha", ["id"], k, (0, 1000))
     key = lambda r: r.faixa
     assert sorted(found.select(expected.columns).collect(), key=key) == sorted(expected.collect(), key=key)
 
