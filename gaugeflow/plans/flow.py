@@ -22,10 +22,12 @@ def run_etl(
     with_load: bool = True,
     now: dt.datetime | None = None,
     selected: list[str] | None = None,
+    keep: int | None = None,
 ) -> dict[str, dict[str, int]]:
     """Ingest, clean and (optionally) load under ``path``; returns the counts of each stage.
 
-    Cleaning starts from the raw layer as stored, not from the frames that were ingested.
+    Cleaning starts from the raw layer as stored, not from the frames that were ingested. With ``keep`` only so many
+    versions of the tables stay on disk, else all do.
     """
     partitions = raw_layer.write_raw(text_files.union_sources(sources, selected), f"{path}/bruto")
     classified = materialize(cleaning.classify(raw_layer.read_raw(spark, f"{path}/bruto")), "classified")
@@ -41,16 +43,23 @@ def run_etl(
             now,
             stored=True,
         )
+        if keep is not None:
+            tables.remove_old(spark, f"{path}/tabelas", keep)
     return summary
 
 
 def build_marts(
-    spark: SparkSession, path: str, now: dt.datetime | None = None, min_readings: int | None = None
+    spark: SparkSession,
+    path: str,
+    now: dt.datetime | None = None,
+    min_readings: int | None = None,
+    keep: int | None = None,
 ) -> DataFrame:
     """Check that the tables are fresh, build all models, run the suite; returns its results.
 
     Stale tables stop the build before any model is written. The marts are written beside the current ones and
-    published after the suite, so a failed check raises and leaves those as they were.
+    published after the suite, so a failed check raises and leaves those as they were. With ``keep`` only so many
+    published versions stay on disk, else all do.
     """
     root = f"{path}/tabelas"
     history = tables.read_history(spark, root)
@@ -65,4 +74,6 @@ def build_marts(
     results = materialize(checks.run_checks(built, history, **limit), "checks")
     checks.require(results)
     models.publish_marts(spark, f"{path}/marts", version)
+    if keep is not None:
+        models.remove_old_marts(spark, f"{path}/marts", keep)
     return results

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from gaugeflow.functions.numbers import celsius
 from gaugeflow.operators.grouping import ordered_text
 from gaugeflow.contract import FACT_COLUMNS
-from gaugeflow.session import materialize
+from gaugeflow.session import materialize, remove
 from gaugeflow.sources.tables import exists
 
 
@@ -153,6 +153,15 @@ def publish_marts(spark: SparkSession, path: str, version: str) -> None:
     order.coalesce(1).write.mode("append").parquet(f"{path}/{CURRENT}")
 
 
+def remove_old_marts(spark: SparkSession, path: str, keep: int) -> None:
+    """Delete the files of all published versions of the marts but the newest ``keep``."""
+    if keep < 1:
+        raise ValueError("the current version has to stay")
+    published = spark.read.schema(_PUBLISHED).parquet(f"{path}/{CURRENT}")
+    for row in published.orderBy("ordem", ascending=False).collect()[keep:]:  # one row per build
+        remove(spark, f"{path}/{row['versao']}")
+
+
 def read_marts(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The current marts by name, after checking that there are any."""
     if not exists(spark, f"{path}/{CURRENT}"):

@@ -57,6 +57,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return name
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a stored folder, if it is there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write once to the shared folder and read back: a result that several plans use.
 

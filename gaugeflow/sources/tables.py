@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from gaugeflow import contract as C
+from gaugeflow.session import remove
 
 SCHEMAS = {"maquinas": C.MACHINES, "leituras": C.READINGS, "falhas": C.FAILURES}
 # Beside the public columns: the version, and the highest failure id ever given out, so that none is given twice.
@@ -51,6 +52,15 @@ def last_load(spark: SparkSession, root: str) -> tuple[int, str | None, int]:
     return (last[0]["carga_id"], last[0]["versao"], last[0]["ultima_falha"] or 0) if last else (0, None, 0)
 
 
+def remove_old(spark: SparkSession, root: str, keep: int) -> None:
+    """Delete the files of all published versions but the newest ``keep``; the history keeps its rows."""
+    if keep < 1:
+        raise ValueError("the current version has to stay")
+    loads = _history(spark, root).orderBy("carga_id", ascending=False).select("versao").collect()  # one row per load
+    for row in loads[keep:]:
+        remove(spark, f"{root}/{row['versao']}")
+
+
 def read_version(spark: SparkSession, root: str, table: str, version: str | None) -> DataFrame:
     """A table of one version, empty when there is no version yet."""
     if version is None:

@@ -1,6 +1,7 @@
 """Load, models, checks and the whole flow on the hand-written batches."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -172,10 +173,26 @@ def test_whole_flow(spark, mixed, raw, tmp_path):
     with pytest.raises(checks.QualityError, match="min_volume"):
         flow.build_marts(spark, path, now=NOW)
     assert models.read_marts(spark, f"{path}/marts")["fct_leituras"].inputFiles() == marts["fct_leituras"].inputFiles()
+    flow.build_marts(spark, path, now=NOW, min_readings=7, keep=1)
+    newest = models.read_marts(spark, f"{path}/marts")
+    assert newest["fct_leituras"].count() == 7 and newest["fct_leituras"].inputFiles() != marts["fct_leituras"].inputFiles()
+    assert not any(Path(f.removeprefix("file://")).exists() for f in marts["fct_leituras"].inputFiles())
     with pytest.raises(checks.QualityError, match="stale"):
         flow.build_marts(spark, path, now=NOW + dt.timedelta(hours=49))
 
 
+def test_old_versions_go(spark, batch, tmp_path):
+    root = str(tmp_path)
+    for _ in range(3):
+        load(spark, root, *batch, NOW)
+    with pytest.raises(ValueError):
+        tables.remove_old(spark, root, 0)
+    tables.remove_old(spark, root, 2)
+    assert sorted(p.name[:7] for p in tmp_path.glob("v*")) == ["v000002", "v000003"]
+    assert tables.read_table(spark, root, "leituras").count() == batch[0].count()
+    assert tables.read_history(spark, root).count() == 3
+
+
 def test_marts_missing(spark, tmp_path):
     with pytest.raises(models.MartsMissing):
         models.read_marts(spark, str(tmp_path / "nothing"))
