@@ -516,3 +516,16 @@ def test_pipeline_stages(spark, tmp_path, odd, labels):
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in rows} == ids[4]
     assert Counter(r.doc_id for r in rows if r.piece == 0) == Counter(r.doc_id for r in kept[4].collect())
+
+
+# findings of round 2
+
+
+def test_passages_reach_every_holder(spark):
+    """Texts of 50 words that share a line of 44 (similarity 0.77), so that all meet; the last ones repeat later holders."""
+    rng = random.Random(21)
+    line = prose(rng, 44, 5000)
+    texts = [" ".join([prose(rng, 3, 5000), line, prose(rng, 3, 5000)]) for _ in range(10)]
+    texts += texts[4:]
+    rows = windows.repeated_passages(frame(spark, texts)).collect()
+    assert {(r.doc_id, r.first_doc_id, r.start_word, r.end_word) for r in rows} == {(10 + i, 4 + i, 0, 50) for i in range(6)}
