@@ -529,3 +529,28 @@ def test_passages_reach_every_holder(spark):
     texts += texts[4:]
     rows = windows.repeated_passages(frame(spark, texts)).collect()
     assert {(r.doc_id, r.first_doc_id, r.start_word, r.end_word) for r in rows} == {(10 + i, 4 + i, 0, 50) for i in range(6)}
+
+
+def test_short_passages_with_inner_edits():
+    """Passages of 50 to 90 words with one or two inner edits: found from every equal shingle if brute force says 0.8."""
+    rng, tried = random.Random(22), 0
+    for length in range(50, 91, 2):
+        for edits in (1, 2):
+            own = prose(rng, length, 9000).split()
+            other = list(own)
+            for i in range(edits):
+                at = length * (i + 1) // (edits + 1)
+                change = rng.choice([["changed"], ["put", other[at]], []])
+                other[at : at + 1] = change
+            one, two = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (own, other))
+            if len(one & two) / len(one | two) < 0.8 or len(other) < 50:
+                continue
+            tried += 1
+            a, b = (prose(rng, 30, 9000).split() + w + prose(rng, 30, 9000).split() for w in (own, other))
+            runs = {tuple(a[i : i + 5]): i for i in range(30, 30 + length - 4)}
+            for c in range(30, 30 + len(other) - 4):
+                if (a_c := runs.get(tuple(b[c : c + 5]))) is None:
+                    continue
+                found, missed = windows.verify(" ".join(a).encode(), " ".join(b).encode(), [(len(b) - 5, c, len(a) - 5, a_c)], 50, 0.8)
+                assert not missed and found[0][0] <= 30 and found[0][1] >= 30 + len(other) and found[0][4] >= 0.8
+    assert tried > 20
