@@ -554,3 +554,9 @@ def test_short_passages_with_inner_edits():
                 found, missed = windows.verify(" ".join(a).encode(), " ".join(b).encode(), [(len(b) - 5, c, len(a) - 5, a_c)], 50, 0.8)
                 assert not missed and found[0][0] <= 30 and found[0][1] >= 30 + len(other) and found[0][4] >= 0.8
     assert tried > 20
+
+
+def test_hash_functions_find_near_copies():
+    """Two of the functions must agree with probability 0.97 or more at similarity 0.8."""
+    k, s = windows.HASHES, windows.SIMILARITY
+    assert sum(math.comb(k, i) * s**i * (1 - s) ** (k - i) for i in range(windows.COLLISIONS, k + 1)) >= 0.97
