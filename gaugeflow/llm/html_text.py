@@ -22,7 +22,8 @@ NEVER = frozenset(
     "script style noscript template head title nav footer aside form button select option textarea input iframe svg"
     " canvas object menu dialog datalist audio video map math".split()
 )
-#: Words in class, id or role that mark what isn't the article.
+#: Class, id or role tokens that speak against a subtree. They remove it only if it holds
+#: a small share of the page's text, see SMALL.
 BESIDE = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr"
     " notice notices alert warning popup modal overlay nav navbar navigation menu submenu breadcrumb breadcrumbs sidebar"
@@ -31,6 +32,12 @@ BESIDE = frozenset(
     " login search searchbox form widget widgets toolbar pagination pager skip hidden outbrain taboola".split()
 )
 ARTICLE = frozenset("article main".split())
+#: Of these, words that also name sections of articles: alone they only remove what the path ratios don't choose.
+AMBIGUOUS = frozenset("discussion search notice notices related warning alert social form responses share".split())
+#: An element with a name of BESIDE goes if it holds at most this share of the text that no tag removes.
+SMALL = 0.4
+#: Text outside of article elements goes if those hold at least this share of the chosen text.
+ARTICLES = 0.5
 #: A start of one of these ends an open one of the second.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -48,7 +55,7 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|([^<]+|<)",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _RAW_ENDS = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in RAW}
 _NAME = re.compile(r"[a-z]+")
 _PUNCTUATION = re.compile(r"[,.;:!?…。，、；：！？]")
@@ -56,37 +63,45 @@ _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Element:
-    __slots__ = ("tag", "parent", "label", "beside", "article", "chars")
+    __slots__ = ("tag", "parent", "label", "beside", "named", "article", "chars", "text", "high")
 
-    def __init__(self, tag, parent, label="", beside=False):
+    def __init__(self, tag, parent, label="", beside=False, named=""):
         self.tag, self.parent = tag, parent
         self.label = f"{parent.label}/{label or tag}" if parent else tag
         self.article = tag in ARTICLE or bool(parent and parent.article)
         own = tag in NEVER or (tag == "header" and not self.article) or beside
         self.beside = own or bool(parent and parent.beside)
-        self.chars = 0
+        self.named = named
+        self.chars = self.text = self.high = 0
 
 
-def _marked(tag: str, attributes: str) -> tuple[str, bool]:
-    """Path label of a start tag, and whether its attributes mark it as standing beside the article."""
+def _marked(tag: str, attributes: str) -> tuple[str, bool, str]:
+    """Path label of a start tag, whether its attributes hide it, and whether its names speak against it.
+
+    The last is "beside", "ambiguous" or empty; a name counts if all its parts between hyphens and the like are listed.
+    """
     if not attributes or tag in ("html", "body"):
-        return tag, False
-    label, beside = tag, False
+        return tag, False, ""
+    label, beside, named, seen = tag, False, "", set()
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
+        if name in seen:
+            continue  # the first of a name counts
+        seen.add(name)
         if name in ("class", "id", "role"):
             if name == "class":
                 label += "." + ".".join(value.split())
-            names = _NAME.findall(value)
-            beside |= bool(BESIDE.intersection(names)) and tag not in ARTICLE or value in ("comment", "comments")
-            beside |= tag in ARTICLE and bool({"comment", "comments", "ad", "related", "reply", "teaser"}.intersection(names))
+            for token in value.split():
+                parts = set(_NAME.findall(token))
+                if parts and parts <= (BESIDE if tag not in ARTICLE else {"comment", "comments", "ad", "related", "reply", "teaser"}):
+                    named = "ambiguous" if parts <= AMBIGUOUS and named != "beside" else "beside"
         elif name == "hidden":
             beside = True
         elif name == "aria-hidden":
             beside |= value == "true"
-        else:
+        elif name == "style":
             beside |= bool(_HIDING.search(value))
-    return label, beside
+    return label, beside, "" if re.fullmatch("h[1-6]", tag) else named
 
 
 def text_nodes(page: str):
@@ -119,8 +134,8 @@ def text_nodes(page: str):
             if tag in ("br", "hr"):
                 found.append((stack[-1], block, " "))
             continue
-        label, beside = _marked(tag, attributes)
-        element = Element(tag, stack[-1], label, beside)
+        label, beside, named = _marked(tag, attributes)
+        element = Element(tag, stack[-1], label, beside, named)
         if tag in RAW:
             end = _RAW_ENDS[tag].search(page, at)
             at = end.start() if end else len(page)
@@ -172,21 +187,52 @@ def path_ratios(nodes) -> dict[str, float]:
     return {path: lengths[path] * marks[path] for path in sums}
 
 
+def _chosen(nodes):
+    """(path, characters, marks) of each node, the nodes with text, and those of them whose path is content."""
+    sized = [(e.label, len(" ".join(t.split())), len(_PUNCTUATION.findall(t))) for e, _, t in nodes]
+    full = [i for i, s in enumerate(sized) if s[1]]
+    if not full:
+        return sized, [], []
+    ratios = path_ratios([sized[i] for i in full])
+    bar = THRESHOLD * sum(ratios[sized[i][0]] * sized[i][1] for i in full) / sum(sized[i][1] for i in full)
+    return sized, full, [i for i in full if ratios[sized[i][0]] >= bar]
+
+
+def _without_named(nodes):
+    """The nodes less those of named elements the page speaks against, and _chosen of them.
+
+    Inside an article, and for ambiguous names, nothing in the element may be chosen; elsewhere a small share suffices.
+    """
+    sized, full, chosen = _chosen(nodes)
+    if not any(x.named for e in {nodes[i][0] for i in full} for x in _up(e)):
+        return nodes, sized, full, chosen
+    high, total = set(chosen), sum(sized[i][1] for i in full)
+    for i in full:
+        for element in _up(nodes[i][0]):
+            element.text += sized[i][1]
+            element.high += sized[i][1] * (i in high)
+
+    def out(element):
+        if not element.named:
+            return False
+        small = element.named == "beside" and not (element.parent and element.parent.article) and element.text <= SMALL * total
+        return small or not element.high
+
+    nodes = [n for n in nodes if not any(map(out, _up(n[0])))]
+    return nodes, *_chosen(nodes)
+
+
 def main_text(page: str | None) -> str:
     """The article's text: blocks in page order, joined by one space; empty where there is none."""
     if not page:
         return ""
     nodes = [(e, b, html.unescape(t)) for e, b, t in text_nodes(page) if not e.beside]
-    if any(e.article and t.strip() for e, _, t in nodes):
-        nodes = [n for n in nodes if n[0].article]
-    sized = [(e.label, len(" ".join(t.split())), len(_PUNCTUATION.findall(t))) for e, _, t in nodes]
-    full = [i for i, s in enumerate(sized) if s[1]]
+    nodes, sized, full, chosen = _without_named(nodes)
     if not full:
         return ""
-    ratios = path_ratios([sized[i] for i in full])
-    chars = sum(sized[i][1] for i in full)
-    bar = THRESHOLD * sum(ratios[sized[i][0]] * sized[i][1] for i in full) / chars
-    chosen = [i for i in full if ratios[sized[i][0]] >= bar]
+    within = [i for i in chosen if nodes[i][0].article]
+    if sum(sized[i][1] for i in within) >= ARTICLES * sum(sized[i][1] for i in chosen):
+        chosen = within
     total = 0
     for i in chosen:
         total += sized[i][1]
@@ -230,7 +276,8 @@ def extract(pages: DataFrame) -> DataFrame:
     Each text node of a page belongs to a root-to-leaf tag path, classes included. Text length and punctuation are
     summed per path; their means per node are smoothed over neighbouring nodes, fused, and paths above a share of
     the page's mean are content. The article is what the content's container holds, less subtrees whose
-    element or names say menu, header, footer, sidebar, notice, advert, form or comment. Character references are
+    element says menu, header, footer or form. Names that say so remove a subtree only if it holds a small share of the
+    text outside of articles, or nothing with a chosen path. Character references are
     decoded, white space within a block becomes one space. Null and empty pages, and pages without an article,
     give an empty text. Unclosed and misnested tags are closed as browsers do for paragraphs, lists and tables. Each
     row stands alone: repeated rows repeat, no rows give none, further columns aren't read.

@@ -560,3 +560,19 @@ def test_hash_functions_find_near_copies():
     """Two of the functions must agree with probability 0.97 or more at similarity 0.8."""
     k, s = windows.HASHES, windows.SIMILARITY
     assert sum(math.comb(k, i) * s**i * (1 - s) ** (k - i) for i in range(windows.COLLISIONS, k + 1)) >= 0.97
+
+
+BODY = "".join(f"<p>Paragraph {i}, with a sentence that is long enough, and some marks; it counts here.</p>" for i in range(5))
+
+
+def test_names_do_not_drop_articles():
+    whole = html_text.main_text(f"<article>{BODY}</article>")
+    assert whole.count("Paragraph") == 5
+    for name in ("overflow-hidden", "has-sidebar", "no-sidebar", "social-science", "widget-area-content", "sidebar"):
+        assert html_text.main_text(f'<body><div class="{name}"><article>{BODY}</article></div></body>') == whole
+    for name in ("discussion", "search", "related-work", "notice"):
+        page = f'<article>{BODY}<section id="{name}"><h2 id="{name}">More</h2>{BODY}</section></article>'
+        assert html_text.main_text(page) == f"{whole} More {whole}"
+    assert html_text.main_text(f'<div title="hidden gems" data-class="ad">{BODY}</div>') == whole
+    assert html_text.main_text(f'<div><div>{BODY}</div><article class="card"><p>Short teaser.</p></article></div>').startswith(whole)
+    assert html_text.main_text(f'<div>{BODY}</div><div class="ad"><p>Buy now.</p></div>') == whole
