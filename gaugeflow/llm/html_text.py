@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+ITEMS = frozenset("li dt dd td th caption figcaption blockquote pre".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
 INLINE = frozenset(
@@ -63,7 +65,7 @@ _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Element:
-    __slots__ = ("tag", "parent", "label", "beside", "named", "article", "chars", "text", "high")
+    __slots__ = ("tag", "parent", "label", "beside", "named", "article", "chars", "text", "high", "inner")
 
     def __init__(self, tag, parent, label="", beside=False, named=""):
         self.tag, self.parent = tag, parent
@@ -72,7 +74,7 @@ class Element:
         own = tag in NEVER or (tag == "header" and not self.article) or beside
         self.beside = own or bool(parent and parent.beside)
         self.named = named
-        self.chars = self.text = self.high = 0
+        self.chars = self.text = self.high = self.inner = 0
 
 
 def _marked(tag: str, attributes: str) -> tuple[str, bool, str]:
@@ -201,7 +203,8 @@ def _chosen(nodes):
 def _without_named(nodes):
     """The nodes less those of named elements the page speaks against, and _chosen of them.
 
-    Inside an article, and for ambiguous names, nothing in the element may be chosen; elsewhere a small share suffices.
+    Inside an article, and for ambiguous names, nothing in the element may be chosen; elsewhere a small share suffices, or that all
+    article elements are outside of it.
     """
     sized, full, chosen = _chosen(nodes)
     if not any(x.named for e in {nodes[i][0] for i in full} for x in _up(e)):
@@ -211,12 +214,17 @@ def _without_named(nodes):
         for element in _up(nodes[i][0]):
             element.text += sized[i][1]
             element.high += sized[i][1] * (i in high)
+            element.inner += sized[i][1] * nodes[i][0].article
+
+    articles = sum(sized[i][1] for i in full if nodes[i][0].article)
 
     def out(element):
         if not element.named:
             return False
-        small = element.named == "beside" and not (element.parent and element.parent.article) and element.text <= SMALL * total
-        return small or not element.high
+        if element.named == "beside" and not (element.parent and element.parent.article):
+            if element.text <= SMALL * total or articles and not element.inner:
+                return True
+        return not element.high
 
     nodes = [n for n in nodes if not any(map(out, _up(n[0])))]
     return nodes, *_chosen(nodes)
@@ -247,12 +255,49 @@ def main_text(page: str | None) -> str:
             break
         element = element.parent
     whole = next((e for e in _up(container) if e.tag in ARTICLE), None) or container
-    blocks: dict[int, list[str]] = {}
+    blocks: dict[int, list] = {}
+    picked = {_block_of(nodes[i][0]).label for i in chosen}
     for i, (e, block, text) in enumerate(nodes):
         if whole in _up(e):
-            blocks.setdefault(block, []).append(text)
-    joined = (" ".join("".join(parts).split()) for parts in blocks.values())
-    return " ".join(b for b in joined if b)
+            held = blocks.setdefault(block, [[], 0, 0, e])
+            held[0].append(text)
+            held[1] += sized[i][1] * (1 if _block_of(e).label in picked else -1)
+            held[2] += sized[i][1] * (1 if any(x.tag == "a" for x in _up(e)) else -1)
+    found = [(" ".join("".join(parts).split()), *rest) for parts, *rest in blocks.values()]
+    return " ".join(_smoothed([f for f in found if f[0]]))
+
+
+def _smoothed(blocks) -> list[str]:
+    """Texts of chosen blocks, and of headings, items and cells that lead to or stand between them.
+
+    ``blocks`` has (text, characters on chosen paths less others, characters in links less others, element) each.
+    """
+    kinds = [_kind(element) for *_, element in blocks]
+    kept = [sign >= 0 for _, sign, _, _ in blocks]
+    first, last = (kept.index(True), len(kept) - 1 - kept[::-1].index(True)) if any(kept) else (0, -1)
+    for i, (_, _, links, _) in enumerate(blocks):
+        kept[i] = kept[i] or first < i < last and kinds[i] == "item" and links < 0
+    for i in reversed(range(len(blocks) - 1)):
+        kept[i] = kept[i] or kinds[i] == "heading" and kept[i + 1]
+    return [text for (text, *_), keep in zip(blocks, kept) if keep]
+
+
+def _block_of(element):
+    """The element that inline ones stand in, links aside."""
+    while element.parent is not None and element.tag in INLINE and element.tag != "a":
+        element = element.parent
+    return element
+
+
+def _kind(element) -> str:
+    for e in _up(element):
+        if e.tag in HEADINGS:
+            return "heading"
+        if e.tag in ITEMS:
+            return "item"
+        if e.tag not in INLINE and e.tag != "p":
+            return ""
+    return ""
 
 
 def _up(element):
@@ -275,7 +320,8 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Each text node of a page belongs to a root-to-leaf tag path, classes included. Text length and punctuation are
     summed per path; their means per node are smoothed over neighbouring nodes, fused, and paths above a share of
-    the page's mean are content. The article is what the content's container holds, less subtrees whose
+    the page's mean are content. The article is what the content's container holds on
+    these paths, with headings before them and items and cells between them that aren't mostly links, less subtrees whose
     element says menu, header, footer or form. Names that say so remove a subtree only if it holds a small share of the
     text outside of articles, or nothing with a chosen path. Character references are
     decoded, white space within a block becomes one space. Null and empty pages, and pages without an article,

@@ -576,3 +576,13 @@ def test_names_do_not_drop_articles():
     assert html_text.main_text(f'<div title="hidden gems" data-class="ad">{BODY}</div>') == whole
     assert html_text.main_text(f'<div><div>{BODY}</div><article class="card"><p>Short teaser.</p></article></div>').startswith(whole)
     assert html_text.main_text(f'<div>{BODY}</div><div class="ad"><p>Buy now.</p></div>') == whole
+
+
+def test_output_follows_paths():
+    """Boilerplate without a telling name inside the article goes; short headings and list items of it stay."""
+    links = "".join(f'<div class="x{i % 2}"><a href="/{i}">Go {i}</a></div>' for i in range(6))
+    share = '<div class="q7"><span>Post</span><span>Mail</span></div>'
+    items = "<ul>" + "".join(f"<li>Item {i}</li>" for i in range(3)) + "</ul>"
+    whole = html_text.main_text(f"<article>{BODY}</article>")
+    page = f"<article><h1>Title</h1>{BODY}{links}{share}{items}<h2>Next</h2>{BODY}{links}</article>"
+    assert html_text.main_text(page) == f"Title {whole} Item 0 Item 1 Item 2 Next {whole}"
