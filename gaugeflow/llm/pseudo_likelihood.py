@@ -8,11 +8,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow.llm.common import byte_words
+from gaugeflow.llm.common import byte_words, with_row_id
 from gaugeflow.session import materialize
 
-#: Words are hashed into so many kinds; all corpus statistics are of this size.
+#: The network sees words as so many kinds, by hash; counts are kept for every distinct word.
 KINDS = 1 << 16
+#: So many of the commonest words' counts reach the tasks as they are; all others are joined by word.
+COMMON = 1 << 16
 #: The network predicts classes of kinds: the commonest alone, the rest in bands of like frequency.
 CLASSES = 128
 ALONE = 96
@@ -36,15 +38,16 @@ def _tokens(batches):
                 known.clear()
             for w in words:
                 if w not in known:
-                    known[w] = xxhash.xxh64_intdigest(w) % KINDS
-            rows.append(np.fromiter(map(known.__getitem__, words), "<u2", len(words)).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["doc_id", "kinds"])
+                    known[w] = xxhash.xxh64_intdigest(w)
+            rows.append(np.fromiter(map(known.__getitem__, words), "<u8", len(words)))
+        kinds = pa.array([(r % KINDS).astype("<u2").tobytes() for r in rows], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), kinds, pa.array([r.tobytes() for r in rows], pa.binary())], ["doc_id", "kinds", "words"])
 
 
 def tokenised(docs: DataFrame) -> DataFrame:
-    """doc_id, kinds (two bytes a word) of every row, stored once."""
+    """row (its number), doc_id, kinds (two bytes a word), words (64-bit hashes) of every row, stored once."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return materialize(rows.mapInArrow(_tokens, "doc_id long, kinds binary"), "kinds")
+    return with_row_id(rows.mapInArrow(_tokens, "doc_id long, kinds binary, words binary"), "row", "kinds")
 
 
 def _counted(batches):
@@ -64,8 +67,38 @@ def count_kinds(tokens: DataFrame) -> np.ndarray:
     return counts
 
 
+def _words_counted(batches):
+    for batch in batches:
+        held = [np.frombuffer(r.as_py(), "<u8") for r in batch.column(0)]
+        word, n = np.unique(np.concatenate(held) if held else np.zeros(0, "<u8"), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
+
+
+def count_words(tokens: DataFrame) -> DataFrame:
+    """word, n: occurrences of every distinct word, a table that grows with the corpus."""
+    counted = tokens.select("words").mapInArrow(_words_counted, "word long, n long")
+    return materialize(counted.groupBy("word").agg(F.sum("n").alias("n")), "words")
+
+
+def _rare_words(batches, common):
+    for batch in batches:
+        out = [[np.zeros(0, np.int64)] for _ in range(3)]
+        for row, words in zip(batch.column(0).to_pylist(), batch.column(1)):
+            word, n = np.unique(np.frombuffer(words.as_py(), "<u8").view(np.int64), return_counts=True)
+            rare = np.flatnonzero(~np.isin(word, common, assume_unique=True))
+            for part, values in zip(out, (np.full(len(rare), row), word[rare], n[rare])):
+                part.append(values)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(p)) for p in out], ["row", "word", "times"])
+
+
+def rare_sums(tokens: DataFrame, counts: DataFrame, common: np.ndarray) -> DataFrame:
+    """row, rare: sum of the log counts of a row's words outside ``common``."""
+    listed = tokens.select("row", "words").mapInArrow(lambda batches: _rare_words(batches, common), "row long, word long, times long")
+    return listed.join(counts, "word").groupBy("row").agg(F.sum(F.col("times") * F.log("n")).alias("rare"))
+
+
 class Vocabulary:
-    """Class of each kind, and the log share of a kind in its class; unseen kinds count as half an occurrence."""
+    """Class of each kind, and the log of the occurrences in its class; unseen kinds count as half an occurrence."""
 
     def __init__(self, counts: np.ndarray):
         order = np.argsort(-counts, kind="stable")
@@ -75,8 +108,8 @@ class Vocabulary:
         held = np.cumsum(counts[rest] + 0.5)
         band = np.minimum((held / held[-1] * (CLASSES - ALONE)).astype(int), CLASSES - ALONE - 1)
         self.classes[rest] = ALONE + band
-        smoothed = counts + 0.5
-        self.share = np.log(smoothed / np.bincount(self.classes, smoothed, CLASSES)[self.classes])
+        totals = np.bincount(self.classes, counts, CLASSES)
+        self.held = np.log(np.maximum(totals, 1))
 
 
 SHAPES = {
@@ -190,19 +223,8 @@ def train(tokens: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> np
     return flat
 
 
-def log_probabilities(flat: np.ndarray, vocabulary: Vocabulary, kinds: np.ndarray) -> np.ndarray:
-    """Log-probability of each word of one document, given the words on both sides."""
-    own, p = vocabulary.classes[kinds], unpack(flat)
-    found = np.empty(len(own))
-    context = contexts(own)
-    for start in range(0, len(own), 4 * BATCH):
-        part = slice(start, start + 4 * BATCH)
-        _, _, logits, _, total = forward(p, context[part])
-        found[part] = logits[np.arange(len(logits)), own[part]] - np.log(total[:, 0])
-    return found + vocabulary.share[kinds]
-
-
-def _scored(batches, flat, vocabulary):
+def _scored(batches, flat, vocabulary, common, log_counts):
+    """row, doc_id, n_words, known: the log-probabilities of all words, less the log counts of words not in ``common``."""
     for batch in batches:
         rows = [np.frombuffer(r.as_py(), "<u2") for r in batch.column(1)]
         kinds = np.concatenate(rows) if rows else np.zeros(0, "<u2")
@@ -213,14 +235,17 @@ def _scored(batches, flat, vocabulary):
             part = slice(start, start + 4 * BATCH)
             _, _, logits, _, total = forward(p, context[part])
             logs[:-1][part] = logits[np.arange(len(logits)), own[part]] - np.log(total[:, 0])
-        logs[:-1] += vocabulary.share[kinds]
+        words = np.concatenate([np.frombuffer(w.as_py(), "<u8") for w in batch.column(2)] or [np.zeros(0, "<u8")]).view(np.int64)
+        at = np.minimum(np.searchsorted(common, words), max(len(common) - 1, 0))
+        if len(common):
+            logs[:-1] += np.where(common[at] == words, log_counts[at], 0.0)
+        logs[:-1] -= vocabulary.held[own]
         sizes = np.array([len(r) for r in rows], np.int64)
         ends = np.cumsum(sizes)
         sums = np.array([logs[e - n : e].sum() for e, n in zip(ends, sizes)])
-        means = [float(s / n) if n else None for s, n in zip(sums, sizes)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes), pa.array(sums, pa.float64()), pa.array(means, pa.float64())],
-            ["doc_id", "n_words", "pseudo_log_likelihood", "mean_log_probability"],
+            [batch.column(3), batch.column(0), pa.array(sizes), pa.array(sums, pa.float64())],
+            ["row", "doc_id", "n_words", "known"],
         )
 
 
@@ -229,14 +254,24 @@ def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
     Every word is predicted from the two words on each side of it, itself masked; the document's score is the sum
     of the words' conditional log-probabilities, and their mean. A word's probability is that of its class, from
-    a network trained on all documents, times its share in the class, from counts over all documents. Each task trains
-    on its own documents and Spark averages the parameters, so only counts and parameters of fixed size meet.
+    a network trained on all documents, times its share in the class, from the counts of every distinct word over all
+    documents: a distributed table that grows with them. The commonest words' counts go to all tasks, the others are
+    joined by word. Classes are bands of hashed kinds, so the network itself is of fixed size. Each task trains on
+    its own documents and Spark averages the parameters.
     Null, empty and wordless texts score 0 with a null mean. Repeated rows repeat; no rows give none.
     """
     tokens = tokenised(docs)
     vocabulary = Vocabulary(count_kinds(tokens))
     flat = train(tokens, vocabulary, rounds)
-    return tokens.mapInArrow(
-        lambda batches: _scored(batches, flat, vocabulary),
-        "doc_id long, n_words long, pseudo_log_likelihood double, mean_log_probability double",
+    counts = count_words(tokens)
+    top = counts.orderBy(F.desc("n"), "word").limit(COMMON).toArrow()
+    common, n = top.column("word").to_numpy(), top.column("n").to_numpy()
+    order = np.argsort(common)
+    common, log_counts = common[order], np.log(n[order])
+    known = tokens.select("doc_id", "kinds", "words", "row").mapInArrow(
+        lambda batches: _scored(batches, flat, vocabulary, common, log_counts), "row long, doc_id long, n_words long, known double"
     )
+    total = F.col("known") + F.coalesce("rare", F.lit(0.0))
+    return known.join(rare_sums(tokens, counts, common), "row", "left").select(
+        "doc_id", "n_words", total.alias("pseudo_log_likelihood"), F.when(F.col("n_words") > 0, total / F.col("n_words")).alias("mean_log_probability")
+    )

@@ -586,3 +586,22 @@ def test_output_follows_paths():
     whole = html_text.main_text(f"<article>{BODY}</article>")
     page = f"<article><h1>Title</h1>{BODY}{links}{share}{items}<h2>Next</h2>{BODY}{links}</article>"
     assert html_text.main_text(page) == f"Title {whole} Item 0 Item 1 Item 2 Next {whole}"
+
+
+@pytest.mark.parametrize("common", [None, 3])
+def test_words_of_one_kind_have_their_own_counts(spark, monkeypatch, common):
+    """A rare word that shares its kind with a frequent one is not as probable; common words and joined ones agree."""
+    of_kind, pair = {}, None
+    for i in range(5000):
+        word = f"w{i}"
+        other = of_kind.setdefault(xxhash.xxh64_intdigest(word.encode()) % pseudo_likelihood.KINDS, word)
+        if other != word:
+            pair = other, word
+            break
+    if common:
+        monkeypatch.setattr(pseudo_likelihood, "COMMON", common)
+    often, rare = pair
+    text = f"a b {often} c d"
+    rows = pseudo_likelihood.score(frame(spark, [text] * 100 + [text.replace(often, rare)])).collect()
+    found = {r.doc_id: r.pseudo_log_likelihood for r in rows}
+    assert abs(found[0] - found[100] - math.log(100)) < 1e-6
