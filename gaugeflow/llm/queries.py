@@ -11,6 +11,7 @@ from gaugeflow.llm import (
     mixing,
     nbsvm,
     packing,
+    periodic_runs,
     pseudo_likelihood,
     simhash,
     url_cascade,
@@ -66,11 +67,16 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_cycles(table(spark, sf_dir, "documents"))
+    return periodic_runs.run_digests(periodic_runs.periodic_runs(docs))
+
+
 def registered() -> dict:
     import corpus_pipeline
 
     own = (
         op1_mixing, op2_html_text, op3_quality, op4_packing, op5_passages, op6_line_labels, op7_url_rules,
-        op8_pseudo_likelihood, op9_near_vectors, op10_simhash,
+        op8_pseudo_likelihood, op9_near_vectors, op10_simhash, op13_periodic_runs,
     )
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
