@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gaugeflow.llm import (
     html_text,
     line_crf,
+    merkle,
     mixing,
     nbsvm,
     packing,
@@ -67,6 +68,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(merkle.manifest(table(spark, sf_dir, "documents")))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = periodic_runs.with_cycles(table(spark, sf_dir, "documents"))
     return periodic_runs.run_digests(periodic_runs.periodic_runs(docs))
@@ -77,6 +82,6 @@ def registered() -> dict:
 
     own = (
         op1_mixing, op2_html_text, op3_quality, op4_packing, op5_passages, op6_line_labels, op7_url_rules,
-        op8_pseudo_likelihood, op9_near_vectors, op10_simhash, op13_periodic_runs,
+        op8_pseudo_likelihood, op9_near_vectors, op10_simhash, op12_manifest, op13_periodic_runs,
     )
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
