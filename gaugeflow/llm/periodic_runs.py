@@ -97,27 +97,41 @@ def _agreement(ids: np.ndarray, i: int, j: int) -> int:
 def find_runs(words: list, min_length: int = MIN_LENGTH, min_exponent: int = MIN_EXPONENT) -> list[tuple[int, int, int]]:
     """(start, length, period) of all maximal runs at least as long as both limits ask, by start and period.
 
-    Every run has, under one of an order and its reverse, a longest Lyndon word of its period's length that starts
-    in its first period; ``min_exponent`` is 2 or more. That root and the next one are extended to both sides as far
-    as they agree. Roots that lie in a stretch already found with their period are not extended again.
+    A word of a run occurs in each of its whole periods, so no run holds a word that occurs less than
+    ``min_exponent`` times: those words cut the sequence, and stretches of at least ``min_length`` words are searched.
     """
     if min_exponent < 2:
         raise ValueError("a run has two periods at least")
-    n = len(words)
-    if n < max(min_length, 2):
+    if len(words) < min_length:
         return []
     numbers: dict = {}
-    listed = [numbers.setdefault(w, len(numbers)) for w in words]
-    kinds = len(numbers)
-    ids = np.array(listed, np.int64)
+    ids = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words))
+    often = np.bincount(ids)[ids] >= min_exponent if len(ids) else np.zeros(0, bool)
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], often.view(np.int8), [0]))))
+    found = []
+    for start, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
+        if end - start >= min_length:
+            own = np.unique(ids[start:end], return_inverse=True)[1]
+            found += [(start + at, length, q) for at, length, q in _runs_of(own, min_length, min_exponent)]
+    return sorted(found, key=lambda run: (run[0], run[2]))
+
+
+def _runs_of(ids: np.ndarray, min_length: int, min_exponent: int) -> list[tuple[int, int, int]]:
+    """The runs of a sequence of numbers, all of which from 0 on occur.
+
+    Every run has, under an order or its reverse, a longest Lyndon word of its period's length that starts in its first
+    period. Such a root and what follows one period later are extended to both sides as far as they agree. Roots that lie
+    in a stretch already found with their period are not extended again.
+    """
+    n, kinds = len(ids), int(ids.max()) + 1
     backwards, places = ids[::-1], np.arange(n)
+    reach = 2 if min_exponent >= 3 else 1  # from three periods on a whole second root follows the first
     roots = set()
-    for order in (listed, (kinds - 1 - ids).tolist()):
-        period = np.array(lyndon_array(order, kinds), np.int64)
-        reach = 2 if min_exponent >= 3 else 1  # a first root has a second one behind it from three periods on
+    for order in (ids, kinds - 1 - ids):
+        period = np.array(lyndon_array(order.tolist(), kinds), np.int64)
         whole = places[places + reach * period <= n]
-        q = period[whole]
         if reach == 2:
+            q = period[whole]
             whole = whole[(ids[whole] == ids[whole + q]) & (ids[whole + q - 1] == ids[whole + 2 * q - 1])]
         roots.update(zip(period[whole].tolist(), whole.tolist()))
     found, known = [], (0, 0)  # the period of the latest stretch, and where it ends
@@ -131,7 +145,7 @@ def find_runs(words: list, min_length: int = MIN_LENGTH, min_exponent: int = MIN
         known = (q, end)
         if end - start >= max(min_length, min_exponent * q):
             found.append((start, end - start, q))
-    return sorted(found, key=lambda run: (run[0], run[2]))
+    return found
 
 
 def collapsed(words: list, runs: list[tuple[int, int, int]]) -> list:
