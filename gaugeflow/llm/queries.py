@@ -13,6 +13,7 @@ from gaugeflow.llm import (
     nbsvm,
     packing,
     periodic_runs,
+    personal_data,
     pseudo_likelihood,
     simhash,
     url_cascade,
@@ -68,6 +69,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.span_digests(personal_data.find_spans(table(spark, sf_dir, "documents")))
+
+
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(merkle.manifest(table(spark, sf_dir, "documents")))
 
@@ -82,6 +87,7 @@ def registered() -> dict:
 
     own = (
         op1_mixing, op2_html_text, op3_quality, op4_packing, op5_passages, op6_line_labels, op7_url_rules,
-        op8_pseudo_likelihood, op9_near_vectors, op10_simhash, op12_manifest, op13_periodic_runs,
+        op8_pseudo_likelihood, op9_near_vectors, op10_simhash, op11_personal_data,
+        op12_manifest, op13_periodic_runs,
     )
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
