@@ -105,7 +105,7 @@ PRIOR = {
     "card": -4.0, "card check digit": 6.0, "card check digit wrong": -6.0, "card one stretch": 0.5, "card groups of four": 1.5,
     "card uneven groups": -2.5, "card mixed separators": -2.0, "card odd separators": -0.5, "card tight neighbour": -3.0,
     "card spaced neighbour": 0.0, "card cue": 1.0, "card touches a letter": -3.0,
-    "phone": -4.0, "phone plus": 3.0, "phone brackets": 3.0, "phone three three four": 2.5, "phone prefix three three four": 2.5,
+    "phone": -4.0, "phone plus": 3.0, "phone brackets": 3.0, "phone three three four": 5.0, "phone prefix three three four": 4.5,
     "phone one stretch": -2.0, "phone two stretches": -0.5, "phone many stretches": 0.0, "phone nine digits or less": -1.0,
     "phone over twelve digits": -2.0, "phone mixed separators": -0.5, "phone slashes": -2.5, "phone dots": -0.5,
     "phone date": -6.0, "phone tight neighbour": -4.0, "phone spaced neighbour": -0.5, "phone cue": 2.0,
