@@ -36,6 +36,23 @@ def merge_rows(target: DataFrame, batch: DataFrame, keys: list[str], values: lis
     )
 
 
+def changed_rows(target: DataFrame, batch: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """The batch rows that are new to the target or differ from it, with ``acao`` and the target's other columns.
+
+    As merge_rows tells them, but rows of the target that stay as they are do not come out, so what follows grows with
+    the change and not with the target. Columns of the batch beside keys and values come along.
+    """
+    carried = [c for c in target.columns if c not in batch.columns]
+    t = target.selectExpr(*names_of([*keys, *values, *carried]), "true AS _here").alias("t")
+    on = " AND ".join(f"t.{name(k)} = b.{name(k)}" for k in keys)
+    mine, theirs = (", ".join(f"{side}.{name(v)}" for v in values) for side in "tb")
+    joined = batch.alias("b").join(t, F.expr(on), "left")
+    differs = joined.filter(f"t._here IS NULL OR NOT (struct({mine}) <=> struct({theirs}))")
+    return differs.selectExpr(
+        "b.*", *[f"t.{name(c)}" for c in carried], f"if(t._here IS NULL, '{INSERT}', '{UPDATE}') AS acao"
+    )
+
+
 def names_of(columns: list[str]) -> list[str]:
     return [name(c) for c in columns]
 

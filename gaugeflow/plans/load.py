@@ -6,11 +6,12 @@ import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gaugeflow import contract as C
 from gaugeflow.functions import one_of
 from gaugeflow.operators import merge
-from gaugeflow.operators.indexing import with_ids
+from gaugeflow.operators.indexing import with_ids, with_row_index
 from gaugeflow.session import materialize
 from gaugeflow.sources import tables
 
@@ -69,67 +70,130 @@ def load(
     failures: DataFrame,
     now: dt.datetime | None = None,
     stored: bool = False,
+    attempts: int = 5,
 ) -> dict[str, int]:
     """Merge a batch into the tables under ``root``; returns what changed.
 
-    The batch is checked, the next version is written beside the current one, and only then made
-    current. Loading the same batch again changes nothing but the history. The batch is read several
-    times; unless it comes straight from files (``stored``), it is written once first.
+    The batch is checked, the days it changes are written beside the current ones, and only then made current; days
+    without a change, and days the batch does not mention, are neither read nor written. Loading the same batch again
+    changes nothing but the history. If another load is published meanwhile, this one starts over from its version, at
+    most ``attempts`` times. The batch is read several times; unless it comes straight from files (``stored``), it is
+    written once first.
     """
     now = now or dt.datetime.now(dt.timezone.utc)
     if not stored:
         readings, failures = materialize(readings, "batch"), materialize(failures, "batch")
     enforce(readings, failures)
-    last_id, current, last_failure = tables.last_load(spark, root)
-    version = f"v{last_id + 1:06d}-{uuid.uuid4().hex[:8]}"
-    old = {t: tables.read_version(spark, root, t, current) for t in tables.SCHEMAS}
+    for attempt in range(attempts):
+        version = uuid.uuid4().hex[:8]
+        try:
+            return _merge(spark, root, readings, failures, now, version)
+        except tables.Conflict:
+            if attempt == attempts - 1:
+                raise
+    raise ValueError("no attempt allowed")
+
+
+def _merge(
+    spark: SparkSession, root: str, readings: DataFrame, failures: DataFrame, now: dt.datetime, label: str
+) -> dict[str, int]:
+    old = tables.current(spark, root)
+    version = f"v{old.load_id + 1:06d}-{label}"
+    new = tables.State(old.load_id + 1, version, old.last_reading, old.last_failure)
+    new.parts = {t: dict(parts) for t, parts in old.parts.items()}
+    try:
+        changes = _write_changes(spark, root, readings, failures, now, old, new)
+        tables.publish(spark, root, new, now, changes["leituras_inseridas"], changes["leituras_atualizadas"])
+    except BaseException:
+        tables.discard(spark, root, version)
+        raise
+    return changes
 
-    # Machines: existing rows stay as they are.
-    new_machines = materialize(
-        merge.insert_absent(old["maquinas"], readings, ["maquina_id"], ["fonte"]), "new-machines"
-    )
-    stamped = new_machines.selectExpr("maquina_id", "fonte", f"timestamp_micros({_micros(now)}) AS criada_em")
-    tables.write_version(old["maquinas"].unionByName(stamped), root, "maquinas", version)
 
-    # Readings: one full outer join, stored because the counts, the new ids and the result use it.
+def _write_changes(spark, root, readings, failures, now, old: tables.State, new: tables.State) -> dict[str, int]:
+    """Write the changed partitions of all tables and enter them into ``new``."""
     typed = readings.selectExpr(
-        *C.NATURAL_KEY, *[f"cast({c} AS {C.READINGS[c].dataType.simpleString()}) AS {c}" for c in C.VALUE_COLUMNS]
-    )
-    merged = materialize(merge.merge_rows(old["leituras"], typed, C.NATURAL_KEY, C.VALUE_COLUMNS), "merged")
-    counts = merge.action_counts(merged).collect()[0]
-    columns = C.READINGS.names
-    kept = merged.filter(f"acao <> '{merge.INSERT}'").select(*columns)
-    fresh = merged.filter(f"acao = '{merge.INSERT}'").drop("acao", "leitura_id")
-    numbered = with_ids(fresh, C.NATURAL_KEY, "leitura_id", after=_max_id(old["leituras"], "leitura_id"))
-    new_readings = tables.write_version(
-        kept.unionByName(numbered.select(*columns)), root, "leituras", version
+        *C.NATURAL_KEY,
+        *[f"cast({c} AS {C.READINGS[c].dataType.simpleString()}) AS {c}" for c in C.VALUE_COLUMNS],
+        f"{tables.day_of('ts')} AS {tables.DAY}",
     )
+    days = [r[0] for r in typed.select(tables.DAY).distinct().collect()]  # one row per day
+
+    # Machines: existing rows stay as they are, new ones are files of their own.
+    known = tables.read_parts(spark, root, old, "maquinas")
+    fresh = materialize(merge.insert_absent(known, readings, ["maquina_id"], ["fonte"]), "new-machines")
+    n_machines = fresh.count()
+    if n_machines:
+        stamped = fresh.selectExpr("maquina_id", "fonte", f"timestamp_micros({_micros(now)}) AS criada_em")
+        tables.write_parts(stamped, root, new.version, "maquinas")
+        new.parts["maquinas"][new.version] = tables.Part(tables.folder_of(new.version, "maquinas", ""), n_machines)
+
+    # Readings: only what differs is numbered and stored; insertions come first, in the order of their key.
+    before = tables.read_parts(spark, root, old, "leituras", days)
+    differing = merge.changed_rows(before, typed, C.NATURAL_KEY, C.VALUE_COLUMNS)
+    placed = with_row_index(differing, ["acao", *C.NATURAL_KEY], "_index")
+    inserted_id = f"if(acao = '{merge.INSERT}', _index + {old.last_reading + 1}, leitura_id)"
+    changed = placed.selectExpr(*[c for c in typed.columns], "acao", f"cast({inserted_id} AS bigint) AS leitura_id")
+    inserted, updated = _per_day(changed, merge.INSERT), _per_day(changed, merge.UPDATE)
+    new.last_reading += sum(inserted.values())
+    columns = [*C.READINGS.names, tables.DAY]
+    _rewrite(
+        spark, root, old, new, "leituras", changed.select(*columns), inserted,
+        changed.filter(f"acao = '{merge.UPDATE}'") if updated else None, "leitura_id", updated, {},
+    )
 
     # Failures: modes gone from the batch's readings are removed, new ones added.
     modes = failures.select(*MODE_KEY)
-    gone = materialize(
-        merge.obsolete(old["falhas"], typed, modes, C.NATURAL_KEY, MODE_KEY).select(*MODE_KEY), "obsolete"
-    )
-    ids = new_readings.select("leitura_id", *C.NATURAL_KEY)
-    added = materialize(merge.missing(old["falhas"], modes, MODE_KEY).join(ids, C.NATURAL_KEY), "new-failures")
-    n_added, last_failure = added.count(), max(last_failure, _max_id(old["falhas"], "falha_id"))
-    numbered_modes = with_ids(added, MODE_KEY, "falha_id", after=last_failure)
-    rest = old["falhas"].join(gone, MODE_KEY, "left_anti")
-    names = C.FAILURES.names
-    tables.write_version(rest.select(*names).unionByName(numbered_modes.select(*names)), root, "falhas", version)
-
-    changes = {
-        "maquinas_novas": new_machines.count(),
-        "leituras_inseridas": counts["inseridas"],
-        "leituras_atualizadas": counts["atualizadas"],
-        "falhas_inseridas": n_added,
-        "falhas_removidas": gone.count(),
+    stored_modes = tables.read_parts(spark, root, old, "falhas", days)
+    gone, removed = None, {}
+    if any(d in old.parts["falhas"] for d in days):
+        obsolete = merge.obsolete(stored_modes, typed, modes, C.NATURAL_KEY, MODE_KEY)
+        gone = materialize(obsolete.selectExpr("falha_id", f"{tables.day_of('ts')} AS {tables.DAY}"), "obsolete")
+        removed = _per_day(gone)
+    key_ids = ["leitura_id", *C.NATURAL_KEY]
+    ids = before.select(*key_ids).union(changed.filter(f"acao = '{merge.INSERT}'").select(*key_ids))
+    missing = merge.missing(stored_modes, modes, MODE_KEY).join(ids, C.NATURAL_KEY)
+    missing = missing.withColumn(tables.DAY, F.expr(tables.day_of("ts")))
+    numbered = with_ids(missing, MODE_KEY, "falha_id", after=old.last_failure)
+    added = _per_day(numbered)
+    new.last_failure += sum(added.values())
+    columns = [*C.FAILURES.names, tables.DAY]
+    _rewrite(spark, root, old, new, "falhas", numbered.select(*columns), added, gone, "falha_id", {}, removed)
+    return {
+        "maquinas_novas": n_machines,
+        "leituras_inseridas": sum(inserted.values()),
+        "leituras_atualizadas": sum(updated.values()),
+        "falhas_inseridas": sum(added.values()),
+        "falhas_removidas": sum(removed.values()),
     }
-    tables.publish(
-        spark, root, last_id + 1, version, now,
-        counts["inseridas"], counts["atualizadas"], counts["total"], last_failure + n_added,
-    )
-    return changes
+
+
+def _per_day(rows: DataFrame, action: str | None = None) -> dict[str, int]:
+    """Rows per day: at most one entry per calendar day."""
+    chosen = rows if action is None else rows.filter(f"acao = '{action}'")
+    return {r[0]: r[1] for r in chosen.groupBy(tables.DAY).agg(F.expr("count(*)")).collect()}
+
+
+def _rewrite(
+    spark, root, old: tables.State, new: tables.State, table: str, rows: DataFrame,
+    inserted: dict[str, int], replaced: DataFrame | None, id_column: str, updated: dict[str, int], removed: dict[str, int],
+) -> None:
+    """Write the days that change: their stored rows without the replaced ids, and the new rows."""
+    days = sorted({*inserted, *updated, *removed})
+    if not days:
+        return
+    kept = tables.read_parts(spark, root, old, table, days)
+    if replaced is not None:
+        kept = kept.join(replaced.select(id_column), id_column, "left_anti")
+    kept = kept.withColumn(tables.DAY, F.expr(tables.day_of("ts")))
+    tables.write_parts(kept.select(*rows.columns).union(rows), root, new.version, table)
+    held = old.parts[table]
+    for day in days:
+        n = (held[day].rows if day in held else 0) + inserted.get(day, 0) - removed.get(day, 0)
+        if n:
+            new.parts[table][day] = tables.Part(tables.folder_of(new.version, table, day), n)
+        else:
+            new.parts[table].pop(day, None)
 
 
 def _micros(moment: dt.datetime) -> int:
@@ -137,13 +201,7 @@ def _micros(moment: dt.datetime) -> int:
     return round(aware.timestamp() * 1_000_000)
 
 
-def _max_id(df: DataFrame, column: str) -> int:
-    return df.selectExpr(f"coalesce(max({column}), 0L) AS m").collect()[0]["m"]
-
-
 def table_totals(spark: SparkSession, root: str) -> DataFrame:
-    """Rows (tabela, n) of the current version."""
-    found = [
-        tables.read_table(spark, root, t).selectExpr(f"'{t}' AS tabela", "count(*) AS n") for t in tables.SCHEMAS
-    ]
-    return found[0].union(found[1]).union(found[2])
+    """Rows (tabela, n) of the current version, from its manifest."""
+    state = tables.current(spark, root)
+    return spark.createDataFrame([(t, state.rows(t)) for t in tables.SCHEMAS], "tabela string, n long")

@@ -48,8 +48,7 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder; what is written there goes when the application ends."""
     name = f"{shared_dir(spark)}/gaugeflow/{label}-{uuid.uuid4().hex}"
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
-    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system, path = file_system(spark, name)
     system.mkdirs(path.getParent())
     system.mkdirs(path)
     system.deleteOnExit(path)
@@ -57,10 +56,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return name
 
 
+def file_system(spark: SparkSession, folder: str):
+    """The file system of a path, and the path as it knows it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     """Delete a stored folder, if it is there."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    system, path = file_system(spark, folder)
+    system.delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

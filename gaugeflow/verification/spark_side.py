@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -456,6 +457,52 @@ def load_changes(spark, sf_dir):
     return spark.createDataFrame(rows, f"carga long, {', '.join(f'{c} long' for c in done[0])}")
 
 
+@register
+def load_partitions_written(spark, sf_dir):
+    """A full load, the same again, and one day changed: partitions and rows that each load wrote, and what it carried over."""
+    root = scratch_path(spark, "tables")
+    readings, modes = (materialize(df, "batch") for df in clean_batch(spark, sf_dir))
+    first_day = readings.agg(F.expr("cast(min(ts) AS date) AS d")).collect()[0].d
+    on_day = F.expr(f"cast(ts AS date) = date'{first_day}'")
+    one_day = readings.filter(on_day).withColumn("torque_nm", F.expr("torque_nm + 0.5D")), modes.filter(on_day)
+    rows = []
+    for i, batch in enumerate(((readings, modes), (readings, modes), one_day)):
+        loading.load(spark, root, *batch, NOW, stored=True)
+        state = tables.current(spark, root)
+        for t, parts in state.parts.items():
+            written = [p for p in parts.values() if p.folder.startswith(f"{state.version}/")]
+            rows.append((i + 1, t, len(written), len(parts) - len(written), sum(p.rows for p in written)))
+    return spark.createDataFrame(rows, "carga long, tabela string, escritas long, mantidas long, linhas long")
+
+
+@register
+def load_two_writers(spark, sf_dir):
+    """Two loads of parts of the batch at the same time: whichever commits second starts over; no id is given twice."""
+    root = scratch_path(spark, "tables")
+    readings, modes = (materialize(df, "batch") for df in clean_batch(spark, sf_dir))
+    parts = [readings.filter(test) for test in ("tipo_produto = 'H'", "tipo_produto <> 'H'")]
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda r: loading.load(spark, root, r, modes.join(r, C.NATURAL_KEY, "left_semi"), NOW), parts))
+    ids = {"maquinas": "maquina_id", "leituras": "leitura_id", "falhas": "falha_id"}
+    loads = tables.read_history(spark, root).selectExpr("'cargas' AS tabela", "count(*) AS n", "count(DISTINCT carga_id) AS ids")
+    for t, key in ids.items():
+        own = tables.read_table(spark, root, t)
+        loads = loads.union(own.selectExpr(f"'{t}' AS tabela", "count(*) AS n", f"count(DISTINCT {key}) AS ids"))
+    return loads
+
+
+@register
+def load_instants(spark, sf_dir):
+    """The instants a load stamps on new machines and on its history row, in microseconds."""
+    root = scratch_path(spark, "tables")
+    batch = clean_batch(spark, sf_dir)
+    for days in (0, 1):
+        loading.load(spark, root, *batch, NOW + dt.timedelta(days=days))
+    machines = tables.read_table(spark, root, "maquinas").selectExpr("maquina_id AS chave", "unix_micros(criada_em) AS instante_us")
+    loads = tables.read_history(spark, root)
+    return machines.union(loads.selectExpr("cast(carga_id AS string) AS chave", "unix_micros(carregado_em) AS instante_us"))
+
+
 @register
 def history_row(spark, sf_dir):
     root = scratch_path(spark, "tables")

@@ -413,6 +413,19 @@ def _statements() -> dict[str, str]:
         "load_ids_not_reused": f"""{clean}, first AS (SELECT *, row_number() OVER (ORDER BY maquina_id, ts, modo) AS falha_id FROM modes)
             SELECT falha_id, maquina_id, ts, modo FROM first WHERE modo <> 'PWF'
             UNION ALL SELECT {n_modes} + row_number() OVER (ORDER BY maquina_id, ts), maquina_id, ts, modo FROM modes WHERE modo = 'PWF'""",
+        "load_partitions_written": f"""{clean}, per_day AS (SELECT CAST(ts AS DATE) AS d, count(*) AS n FROM ok GROUP BY 1),
+            days AS (SELECT (SELECT count(*) FROM per_day) AS r, (SELECT count(DISTINCT CAST(ts AS DATE)) FROM modes) AS f)
+            SELECT 1 AS carga, 'maquinas' AS tabela, 1 AS escritas, 0 AS mantidas, {n_machines} AS linhas
+            UNION ALL SELECT 1, 'leituras', r, 0, {n_ok} FROM days UNION ALL SELECT 1, 'falhas', f, 0, {n_modes} FROM days
+            UNION ALL SELECT c, 'maquinas', 0, 1, 0 FROM range(2, 4) t(c)
+            UNION ALL SELECT c, 'falhas', 0, f, 0 FROM days, range(2, 4) t(c)
+            UNION ALL SELECT 2, 'leituras', 0, r, 0 FROM days
+            UNION ALL SELECT 3, 'leituras', 1, r - 1, (SELECT n FROM per_day ORDER BY d LIMIT 1) FROM days""",
+        "load_two_writers": f"""{clean} SELECT 'cargas' AS tabela, 2 AS n, 2 AS ids UNION ALL SELECT 'maquinas', {n_machines}, {n_machines}
+            UNION ALL SELECT 'leituras', {n_ok}, {n_ok} UNION ALL SELECT 'falhas', {n_modes}, {n_modes}""",
+        "load_instants": f"""{clean}, t AS (SELECT epoch_us(TIMESTAMP '2026-01-01 00:00:00') AS us)
+            SELECT maquina_id AS chave, us AS instante_us FROM (SELECT DISTINCT maquina_id FROM ok), t
+            UNION ALL SELECT '1', us FROM t UNION ALL SELECT '2', us + 86400000000 FROM t""",
         "history_row": f"""{clean} SELECT 1 AS carga_id, {n_ok} AS leituras_inseridas, 0 AS leituras_atualizadas, {n_ok} AS total_leituras
             UNION ALL SELECT 2, 0, 0, {n_ok}""",
         "table_totals": f"""{clean} SELECT 'maquinas' AS tabela, {n_machines} AS n UNION ALL SELECT 'leituras', {n_ok}

@@ -181,15 +181,106 @@ def test_whole_flow(spark, mixed, raw, tmp_path):
         flow.build_marts(spark, path, now=NOW + dt.timedelta(hours=49))
 
 
+def files_of(tmp_path, table):
+    return {p for p in tmp_path.glob(f"v*/{table}/**/*.parquet")}
+
+
+def test_a_load_writes_only_the_days_it_changes(spark, batch, tmp_path):
+    """Days: 2031-05-20 (five readings, three failures) and 2031-05-22 (one of each)."""
+    root = str(tmp_path)
+    readings, modes = batch
+    load(spark, root, readings, modes, NOW)
+    first = {t: files_of(tmp_path, t) for t in tables.SCHEMAS}
+    assert {p.parent.name for p in first["leituras"]} == {"dia=2031-05-20", "dia=2031-05-22"}
+    load(spark, root, readings, modes, NOW)
+    assert {t: files_of(tmp_path, t) for t in tables.SCHEMAS} == first
+    late = readings.filter("ts > timestamp_ntz'2031-05-21 00:00:00'")
+    warmer = late.withColumn("torque_nm", F.lit(12.5))
+    assert load(spark, root, warmer, modes.join(late, C.NATURAL_KEY, "left_semi"), NOW)["leituras_atualizadas"] == 1
+    added = {t: files_of(tmp_path, t) - first[t] for t in tables.SCHEMAS}
+    assert {t: [p.parent.name for p in found] for t, found in added.items()} == {
+        "maquinas": [], "leituras": ["dia=2031-05-22"], "falhas": [],
+    }
+    state = tables.current(spark, root)
+    assert {d: p.folder[:7] for d, p in state.parts["leituras"].items()} == {"2031-05-20": "v000001", "2031-05-22": "v000003"}
+    assert totals(spark, root) == {t: tables.read_table(spark, root, t).count() for t in tables.SCHEMAS}
+    plan = tables.read_parts(spark, root, state, "leituras", ["2031-05-22"]).inputFiles()
+    assert len(plan) == 1 and "v000003" in plan[0]
+
+
+def test_a_day_whose_failures_all_went(spark, batch, tmp_path):
+    root = str(tmp_path)
+    readings, modes = batch
+    load(spark, root, readings, modes, NOW)
+    done = load(spark, root, readings, modes.filter("ts < timestamp_ntz'2031-05-21 00:00:00'"), NOW)
+    assert list(done.values()) == [0, 0, 0, 0, 1]
+    assert set(tables.current(spark, root).parts["falhas"]) == {"2031-05-20"}
+    assert totals(spark, root)["falhas"] == tables.read_table(spark, root, "falhas").count() == 3
+    load(spark, root, readings, modes.limit(0), NOW)
+    assert tables.read_table(spark, root, "falhas").collect() == [] and totals(spark, root)["falhas"] == 0
+
+
+def test_the_later_of_two_writers_starts_over(spark, batch, tmp_path, monkeypatch):
+    """Both start from no version; the one that commits second merges into what the first has published."""
+    root, publish, others = str(tmp_path), tables.publish, []
+    readings, modes = batch
+
+    def interrupted(*args):
+        if not others:
+            others.append(True)
+            load(spark, root, readings.filter("maquina_id <> 'P-9'"), modes.filter("maquina_id <> 'P-9'"), NOW)
+        publish(*args)
+
+    monkeypatch.setattr(tables, "publish", interrupted)
+    done = load(spark, root, readings, modes, NOW)
+    assert list(done.values()) == [1, 2, 0, 1, 0]  # only P-9 is new by then
+    assert totals(spark, root) == {"maquinas": 3, "leituras": 6, "falhas": 4}
+    assert sorted(r.leitura_id for r in stored(spark, root, "leituras")) == list(range(1, 7))
+    assert sorted(r.falha_id for r in stored(spark, root, "falhas")) == list(range(1, 5))
+    assert [r.carga_id for r in tables.read_history(spark, root).orderBy("carga_id").collect()] == [1, 2]
+    assert tables.unpublished(spark, root, dt.timedelta(0)) == []  # what the refused attempt wrote is gone
+    others.clear()
+    with pytest.raises(tables.Conflict):
+        load(spark, root, readings.filter("maquina_id = 'P-7'"), modes.limit(0), NOW, attempts=1)
+
+
+def test_a_commit_is_created_once(spark, tmp_path):
+    file = str(tmp_path / "cargas" / "1.json")
+    assert tables.create_once(spark, file, "a") and not tables.create_once(spark, file, "b")
+    assert Path(file).read_text() == "a" and [p.name for p in Path(file).parent.iterdir() if not p.name.endswith(".crc")] == ["1.json"]
+
+
+def test_leftovers_are_found_and_removed(spark, batch, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    load(spark, root, *batch, NOW)
+    monkeypatch.setattr(tables, "discard", lambda *args: None)  # a writer that was killed
+    monkeypatch.setattr(tables, "publish", lambda *args: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        load(spark, root, batch[0].withColumn("torque_nm", F.lit(3.5)), batch[1], NOW)
+    monkeypatch.undo()
+    assert tables.unpublished(spark, root) == []  # too young to be a leftover
+    found = tables.remove_unpublished(spark, root, dt.timedelta(0))
+    assert [v[:7] for v in found] == ["v000002"] and [p.name[:7] for p in tmp_path.glob("v*")] == ["v000001"]
+    assert totals(spark, root) == {"maquinas": 3, "leituras": 6, "falhas": 4}
+
+
 def test_old_versions_go(spark, batch, tmp_path):
+    """Files that a kept version refers to stay, whichever version wrote them."""
     root = str(tmp_path)
-    for _ in range(3):
-        load(spark, root, *batch, NOW)
+    readings, modes = batch
+    for i in range(3):
+        day = "2031-05-22" if i else "2031-05-20"
+        load(spark, root, readings.withColumn("torque_nm", F.expr(f"if(cast(ts AS date) = date'{day}', {i}.5D, torque_nm)")), modes, NOW)
     with pytest.raises(ValueError):
         tables.remove_old(spark, root, 0)
-    tables.remove_old(spark, root, 2)
-    assert sorted(p.name[:7] for p in tmp_path.glob("v*")) == ["v000002", "v000003"]
+    written = [{p.parts[-4][:7] + p.parent.name for p in files_of(tmp_path, "leituras")}]
+    tables.remove_old(spark, root, 1)
+    tables.remove_old(spark, root, 1)
+    written.append({p.parts[-4][:7] + p.parent.name for p in files_of(tmp_path, "leituras")})
+    held = {p.folder[:7] + f"dia={d}" for d, p in tables.current(spark, root).parts["leituras"].items()}
+    assert written[1] == held < written[0]
     assert tables.read_table(spark, root, "leituras").count() == batch[0].count()
+    assert tables.read_table(spark, root, "maquinas").count() == 3
     assert tables.read_history(spark, root).count() == 3
 
 
