@@ -83,7 +83,17 @@ NA_TOKENS = [
 # --- Schemas --------------------------------------------------------------------------------
 
 ARRIVAL = "chegada"  # arrival ordinal we add to raw rows: DataFrames have no row order
+# As scans and the raw layer give it: source, file, place of the split in the file, row; it orders by itself.
+ORDINAL = T.StructType(
+    [
+        T.StructField("fonte", T.IntegerType()),
+        T.StructField("arquivo", T.StringType()),
+        T.StructField("trecho", T.LongType()),
+        T.StructField("linha", T.LongType()),
+    ]
+)
 
+# Rows numbered by hand have whole numbers for ordinals.
 RAW_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType()) for c in RAW_COLUMNS] + [T.StructField(ARRIVAL, T.LongType())]
 )

@@ -9,8 +9,9 @@ from gaugeflow.functions import one_of, quote
 from gaugeflow.functions.numbers import NUMBER_CHARACTERS, parse_number, round_to_long
 from gaugeflow.functions.text import VISIBLE_ASCII, all_match, is_blank, known_modes, strip
 from gaugeflow.functions.times import parse_timestamp
-from gaugeflow.operators.dedup import mark_repeats, with_arrival
+from gaugeflow.operators.dedup import mark_repeats
 from gaugeflow.session import materialize
+from gaugeflow.sources.arrival import with_arrival
 
 
 IDENTITY = ["fonte", "maquina_id"]

@@ -5,23 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow import contract as C
 from gaugeflow.functions import name
 
 
-def with_arrival(df: DataFrame, column: str = C.ARRIVAL) -> DataFrame:
-    """Make sure every row has an arrival ordinal; existing ordinals, which are below 2^59, are kept.
-
-    Rows without one arrive after all others. For rows read from files see ``sources.arrival``.
-    """
-    if column in df.columns:
-        kept = [c for c in df.columns if c != column]
-        return df.selectExpr(
-            *map(name, kept), f"coalesce({column}, {2**59}L + monotonically_increasing_id()) AS {column}"
-        )
-    return df.selectExpr("*", f"monotonically_increasing_id() AS {column}")
-
-
 def mark_repeats(
     df: DataFrame,
     key: list[str],

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from gaugeflow import contract as C
 from gaugeflow.functions import one_of
 from gaugeflow.operators import merge
-from gaugeflow.operators.indexing import with_ids, with_row_index
+from gaugeflow.operators.indexing import with_ids
 from gaugeflow.session import materialize
 from gaugeflow.sources import tables
 
@@ -128,19 +128,19 @@ def _write_changes(spark, root, readings, failures, now, old: tables.State, new:
         tables.write_parts(stamped, root, new.version, "maquinas")
         new.parts["maquinas"][new.version] = tables.Part(tables.folder_of(new.version, "maquinas", ""), n_machines)
 
-    # Readings: only what differs is numbered and stored; insertions come first, in the order of their key.
+    # Readings: only what differs is stored; new rows are numbered in the order of their key.
     before = tables.read_parts(spark, root, old, "leituras", days)
-    differing = merge.changed_rows(before, typed, C.NATURAL_KEY, C.VALUE_COLUMNS)
-    placed = with_row_index(differing, ["acao", *C.NATURAL_KEY], "_index")
-    inserted_id = f"if(acao = '{merge.INSERT}', _index + {old.last_reading + 1}, leitura_id)"
-    changed = placed.selectExpr(*[c for c in typed.columns], "acao", f"cast({inserted_id} AS bigint) AS leitura_id")
-    inserted, updated = _per_day(changed, merge.INSERT), _per_day(changed, merge.UPDATE)
-    new.last_reading += sum(inserted.values())
+    differing = materialize(merge.changed_rows(before, typed, C.NATURAL_KEY, C.VALUE_COLUMNS), "changed")
+    per_day = differing.groupBy("acao", tables.DAY).agg(F.expr("count(*)")).collect()  # two rows per day at most
+    inserted, updated = ({d: n for a, d, n in per_day if a == action} for action in (merge.INSERT, merge.UPDATE))
+    fresh, replaced = (differing.filter(f"acao = '{action}'") for action in (merge.INSERT, merge.UPDATE))
     columns = [*C.READINGS.names, tables.DAY]
-    _rewrite(
-        spark, root, old, new, "leituras", changed.select(*columns), inserted,
-        changed.filter(f"acao = '{merge.UPDATE}'") if updated else None, "leitura_id", updated, {},
-    )
+    numbered = fresh.drop("leitura_id").where("false").withColumn("leitura_id", F.lit(0).cast("long"))
+    if inserted:
+        numbered = with_ids(fresh.drop("leitura_id"), C.NATURAL_KEY, "leitura_id", after=old.last_reading)
+    new.last_reading += sum(inserted.values())
+    rows = numbered.select(*columns).union(replaced.select(*columns))
+    _rewrite(spark, root, old, new, "leituras", rows, inserted, replaced if updated else None, "leitura_id", updated, {})
 
     # Failures: modes gone from the batch's readings are removed, new ones added.
     modes = failures.select(*MODE_KEY)
@@ -151,14 +151,14 @@ def _write_changes(spark, root, readings, failures, now, old: tables.State, new:
         gone = materialize(obsolete.selectExpr("falha_id", f"{tables.day_of('ts')} AS {tables.DAY}"), "obsolete")
         removed = _per_day(gone)
     key_ids = ["leitura_id", *C.NATURAL_KEY]
-    ids = before.select(*key_ids).union(changed.filter(f"acao = '{merge.INSERT}'").select(*key_ids))
+    ids = before.select(*key_ids).union(numbered.select(*key_ids))
     missing = merge.missing(stored_modes, modes, MODE_KEY).join(ids, C.NATURAL_KEY)
     missing = missing.withColumn(tables.DAY, F.expr(tables.day_of("ts")))
-    numbered = with_ids(missing, MODE_KEY, "falha_id", after=old.last_failure)
-    added = _per_day(numbered)
+    new_modes = with_ids(missing, MODE_KEY, "falha_id", after=old.last_failure)
+    added = _per_day(new_modes)
     new.last_failure += sum(added.values())
     columns = [*C.FAILURES.names, tables.DAY]
-    _rewrite(spark, root, old, new, "falhas", numbered.select(*columns), added, gone, "falha_id", {}, removed)
+    _rewrite(spark, root, old, new, "falhas", new_modes.select(*columns), added, gone, "falha_id", {}, removed)
     return {
         "maquinas_novas": n_machines,
         "leituras_inseridas": sum(inserted.values()),
@@ -168,10 +168,9 @@ def _write_changes(spark, root, readings, failures, now, old: tables.State, new:
     }
 
 
-def _per_day(rows: DataFrame, action: str | None = None) -> dict[str, int]:
+def _per_day(rows: DataFrame) -> dict[str, int]:
     """Rows per day: at most one entry per calendar day."""
-    chosen = rows if action is None else rows.filter(f"acao = '{action}'")
-    return {r[0]: r[1] for r in chosen.groupBy(tables.DAY).agg(F.expr("count(*)")).collect()}
+    return {r[0]: r[1] for r in rows.groupBy(tables.DAY).agg(F.expr("count(*)")).collect()}
 
 
 def _rewrite(

@@ -8,8 +8,7 @@ from pyspark.sql import types as T
 from gaugeflow import contract as C
 from gaugeflow.functions import name, quote
 from gaugeflow.functions.text import day_text
-from gaugeflow.operators.dedup import with_arrival
-from gaugeflow.sources.arrival import by_file
+from gaugeflow.sources.arrival import by_file, with_arrival
 
 PARTITIONS = ["data", "maquina_id"]
 # A directory name cannot tell null, empty and the sentinel's own text apart: the true machine text
@@ -17,7 +16,8 @@ PARTITIONS = ["data", "maquina_id"]
 _MACHINE_TEXT = "maquina_texto"
 
 _STORED = T.StructType(
-    [f for f in C.RAW_SCHEMA if f.name != "maquina_id"]
+    [T.StructField(c, T.StringType()) for c in C.RAW_COLUMNS if c != "maquina_id"]
+    + [T.StructField(C.ARRIVAL, C.ORDINAL)]
     + [T.StructField(c, T.StringType()) for c in (_MACHINE_TEXT, *PARTITIONS)]
 )
 
@@ -59,5 +59,7 @@ def read_raw(spark: SparkSession, path: str, where: str = "true", numbered: bool
     scan = _scan(spark, path)
     if numbered:
         return scan.filter(where).selectExpr(*columns, C.ARRIVAL)
-    placed = scan.filter(where).selectExpr(*columns, "input_file_name() AS _file", "_metadata.row_index AS _place")
+    placed = scan.filter(where).selectExpr(
+        *columns, "input_file_name() AS _file", "0L AS _split", "_metadata.row_index AS _seq"
+    )
     return by_file(placed, scan.inputFiles())

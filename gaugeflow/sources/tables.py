@@ -165,8 +165,9 @@ def read_parts(spark: SparkSession, root: str, state: State, table: str, values:
     """The partitions with these values (all, if None) of a table; empty where there are none."""
     held = state.parts[table]
     folders = [f"{root}/{held[v].folder}" for v in (held if values is None else values) if v in held]
-    if not folders:
-        return spark.createDataFrame([], SCHEMAS[table])
+    if not folders:  # known to be empty while the plan is made, so joins with it go
+        nulls = [f"cast(NULL AS {f.dataType.simpleString()}) AS {name(f.name)}" for f in SCHEMAS[table]]
+        return spark.range(1).selectExpr(*nulls).where("false")
     return spark.read.schema(SCHEMAS[table]).parquet(*folders)
 
 

@@ -11,8 +11,8 @@ from gaugeflow import contract as C
 from gaugeflow.functions import name, quote
 from gaugeflow.functions.text import flags_to_text, null_tokens, padded_id
 from gaugeflow.functions.times import format_timestamp, plus_minutes
-from gaugeflow.operators.dedup import with_arrival
-from gaugeflow.sources.arrival import SCAN_PLACE, by_file, in_source_order, in_split
+from gaugeflow.sources import csv_records
+from gaugeflow.sources.arrival import SCAN_PLACE, by_file, in_source_order, with_arrival
 
 _RAGGED = "_ragged_record"
 
@@ -22,16 +22,17 @@ class SourceError(ValueError):
 
 
 def read_text_csv(
-    spark: SparkSession, path: str | list[str], columns: list[str], multi_line: bool = False
+    spark: SparkSession, path: str | list[str], columns: list[str], multi_line: bool | None = None
 ) -> DataFrame:
     """The named columns of CSV files with header, every cell as text, and the rows' arrival ordinal.
 
     Missing-value tokens become null; nothing else is interpreted. Cells missing at the end of a record are
-    null, a record with more cells than the header is an error. Files count in the order of their names.
-    By default a record is one line, so a large file is read by many tasks. ``multi_line`` also takes line
-    breaks inside quotes; each file is then read by one task.
+    null, a record with more cells than the header is an error. Files count in the order of their names. Every file is
+    read by many tasks. A record may hold line breaks inside quotes: a first pass over the lines with quotes tells
+    whether there are any, and where a split starts inside a cell. Without any, and with ``multi_line=False``, which
+    saves that pass where it is known that there are none, each line is a record.
     """
-    options = {"header": True, "escape": '"', "enforceSchema": False, "multiLine": multi_line}
+    options = {"header": True, "escape": '"', "enforceSchema": False}
     header = spark.read.options(**options).csv(path).schema
     absent = [c for c in columns if c not in header.names]
     if absent:
@@ -39,25 +40,37 @@ def read_text_csv(
     # The reader hands over the text of a record whose cells do not match the header in number; it counts
     # them only where it is not told to skip columns.
     schema = T.StructType([*header, T.StructField(_RAGGED, T.StringType())])
-    cells = spark.read.options(columnNameOfCorruptRecord=_RAGGED, columnPruning=False, **options).schema(schema).csv(path)
+    broken, states = (False, []) if multi_line is False else csv_records.open_splits(spark, path)
+    if broken:
+        lines = csv_records.records(spark, path, header.names, states)
+        parsing = "map('escape', '\"', 'columnNameOfCorruptRecord', '{}')".format(_RAGGED)
+        fields = ", ".join(f"{name(f.name)} STRING" for f in schema)
+        parsed = f"from_csv(rtrim('\r', _line), {quote(fields)}, {parsing}) AS _cells"
+        files = spark.read.text(path).inputFiles()
+        cells = lines.selectExpr(parsed, "_file", "_split", "_seq").selectExpr("_cells.*", "_file", "_split", "_seq")
+        place = ["_file", "_split", "_seq"]
+    else:
+        cells = spark.read.options(columnNameOfCorruptRecord=_RAGGED, columnPruning=False, **options).schema(schema).csv(path)
+        files, place = cells.inputFiles(), SCAN_PLACE
     commas = f"length(regexp_replace({_RAGGED}, '\"([^\"]|\"\")*\"|[^,]', ''))"
     surplus = f"CASE WHEN {commas} >= {len(header)} THEN raise_error('a record has more cells than the header')"
     scanned = cells.selectExpr(
         *[f"{null_tokens(name(c))} AS {name(c)}" for c in columns],
         f"coalesce({surplus} END, true) AS _whole",
-        *SCAN_PLACE,
+        *place,
     )
-    return by_file(in_split(scanned.filter("_whole").drop("_whole")), cells.inputFiles())
+    return by_file(scanned.filter("_whole").drop("_whole"), files)
 
 
-def read_raw_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str | list[str], multi_line: bool | None = None) -> DataFrame:
     """A source that already has the raw columns."""
     return read_text_csv(spark, path, C.RAW_COLUMNS, multi_line)
 
 
-def read_ai4i(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_ai4i(spark: SparkSession, path: str | list[str], multi_line: bool | None = None) -> DataFrame:
     """The public AI4I file in the raw contract."""
-    return ai4i_to_raw(read_text_csv(spark, path, ["UDI", *C.AI4I_COLUMNS.values(), *C.FAILURE_MODES]))
+    columns = ["UDI", *C.AI4I_COLUMNS.values(), *C.FAILURE_MODES]
+    return ai4i_to_raw(read_text_csv(spark, path, columns, multi_line))
 
 
 def ai4i_to_raw(wide: DataFrame) -> DataFrame:

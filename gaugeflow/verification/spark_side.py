@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow import contract as C
 from gaugeflow.functions.numbers import celsius
+from gaugeflow.functions.text import day_text
 from gaugeflow.functions.times import epoch_micros
 from gaugeflow.operators import audit, cleaning, indexing, merge, quality
 from gaugeflow.operators.dedup import mark_repeats
@@ -119,7 +120,41 @@ def union_sources(spark, sf_dir):
 def raw_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "raw")
     raw_layer.write_raw(S.in_spark(spark, sf_dir, S.RAW), path)
-    return raw_layer.read_raw(spark, path)
+    return raw_layer.read_raw(spark, path).withColumn("chegada", F.col("chegada.linha"))
+
+
+@register
+def raw_written_elsewhere(spark, sf_dir):
+    """A raw layer without ordinals, one sorted file a folder: read in file order, with each row's place in its folder."""
+    path = scratch_path(spark, "raw")
+    rows = S.in_spark(spark, sf_dir, S.RAW).withColumns(
+        {"data": F.expr(day_text("timestamp")), "maquina_id": F.expr(f"coalesce(nullif(maquina_id, ''), '{C.NO_MACHINE}')")}
+    )
+    laid_out = rows.repartition("data", "maquina_id").sortWithinPartitions("data", "maquina_id", "chegada").drop("chegada")
+    laid_out.write.partitionBy("data", "maquina_id").parquet(path)
+    back = raw_layer.read_raw(spark, path, numbered=False)
+    folder = f"PARTITION BY {day_text('timestamp')}, maquina_id ORDER BY {C.ARRIVAL}"
+    return back.selectExpr(*C.RAW_COLUMNS, f"row_number() OVER ({folder}) AS posicao")
+
+
+@register
+def csv_quoted_breaks(spark, sf_dir):
+    """Cells with line breaks, quotes and commas, in files cut into small and into large splits: their rows in order."""
+    path, setting = scratch_path(spark, "csv"), "spark.sql.files.maxPartitionBytes"
+    rows = S.in_spark(spark, sf_dir, S.NOTES)
+    by_key = F.expr("cast(k AS bigint)")
+    ordered = rows.repartitionByRange(3, by_key).sortWithinPartitions(by_key)
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    ordered.write.options(escape='"', **kept).csv(path, header=True)
+    found, before = [], spark.conf.get(setting)
+    for size in (300_000, 8_000_000):
+        try:
+            spark.conf.set(setting, size)
+            read = text_files.read_text_csv(spark, path, ["k", "nota"]).withColumn("trecho", F.lit(size))
+            found.append(indexing.with_row_index(read, [C.ARRIVAL], "posicao").drop(C.ARRIVAL))
+        finally:
+            spark.conf.set(setting, before)
+    return found[0].union(found[1])
 
 
 @register

@@ -319,6 +319,11 @@ def _statements() -> dict[str, str]:
         "ai4i_mapping": ai4i,
         "union_sources": f"""SELECT {raw_columns} FROM ({ai4i}) UNION ALL SELECT {raw_columns} FROM {raw}""",
         "raw_roundtrip": f"SELECT * FROM {raw}",
+        "raw_written_elsewhere": f"""SELECT * EXCLUDE (chegada, d), row_number() OVER (PARTITION BY d, maquina_id ORDER BY chegada) AS posicao
+            FROM (SELECT * REPLACE (nullif(maquina_id, '') AS maquina_id), coalesce(CASE WHEN length("timestamp") >= 10
+                  THEN substring("timestamp", 1, 10) END, 'sem_data') AS d FROM {raw})""",
+        "csv_quoted_breaks": f"""SELECT k, nullif(nota, 'NA') AS nota, row_number() OVER (PARTITION BY trecho ORDER BY CAST(k AS BIGINT)) - 1 AS posicao, trecho
+            FROM ({S.in_sql(S.NOTES)}), (VALUES (300000), (8000000)) t(trecho)""",
         "raw_partitions": f"""SELECT count(*) AS particoes FROM (SELECT DISTINCT
             CASE WHEN length(substring("timestamp", 1, 10)) = 10 THEN substring("timestamp", 1, 10) ELSE 'sem_data' END AS data,
             coalesce(nullif(maquina_id, ''), 'sem_maquina') AS maquina FROM {raw})""",

@@ -134,6 +134,15 @@ WEAR = (
     },
 )
 
+NOTES = (
+    "orders",
+    {
+        "k": "cast(o_orderkey AS string)",
+        "nota": "CASE WHEN o_custkey % 4 = 0 THEN o_orderpriority || chr(10) || chr(34) || o_orderstatus || chr(34) || ',' || chr(10)"
+        " WHEN o_custkey % 4 = 1 THEN chr(10) || chr(10) WHEN o_custkey % 4 = 2 THEN 'NA' ELSE chr(34) || o_orderpriority END",
+    },
+)
+
 AI4I = (
     "orders",
     {

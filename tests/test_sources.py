@@ -1,9 +1,12 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from gaugeflow import contract as C
 from gaugeflow.operators import cleaning
-from gaugeflow.sources import raw_layer, text_files
+from gaugeflow.sources import csv_records, raw_layer, text_files
+from gaugeflow.sources.arrival import in_source_order, ordinal, with_arrival
 
 from conftest import DEFAULT
 
@@ -78,8 +81,50 @@ def test_records_of_other_lengths(spark, tmp_path):
 
 def test_line_breaks_inside_quotes(spark, tmp_path):
     (tmp_path / "a.csv").write_text('k,v\n1,"two\nlines"\n2,one\n')
-    rows = text_files.read_text_csv(spark, str(tmp_path / "a.csv"), ["k", "v"], multi_line=True)
-    assert [(r.k, r.v) for r in rows.orderBy(C.ARRIVAL).collect()] == [("1", "two\nlines"), ("2", "one")]
+    for multi_line in (None, True):
+        rows = text_files.read_text_csv(spark, str(tmp_path / "a.csv"), ["k", "v"], multi_line)
+        assert [(r.k, r.v) for r in rows.orderBy(C.ARRIVAL).collect()] == [("1", "two\nlines"), ("2", "one")]
+
+
+def test_state_at_the_end_of_a_line():
+    states = {'a,b': (0, 1), 'a,"b"': (0, 0), '"b': (1, 0), 'b"': (0, 0), '5" pipe,x': (0, 0), 'a,"say ""x""",c': (0, 0), '""': (0, 1),
+              'x,"""': (1, 0), '","': (0, 1), ',"': (1, 0), '"",""': (0, 1), "": (0, 1)}
+    for line, (outside, inside) in states.items():
+        assert (csv_records.ends_inside(line, False), csv_records.ends_inside(line, True)) == (bool(outside), bool(inside)), line
+
+
+@pytest.mark.parametrize("split_bytes", ["7", "64", "500", "100000"])
+def test_quoted_line_breaks_across_splits(spark, tmp_path, split_bytes):
+    """Cells longer than a split, quotes at its edges, blank lines, commas and doubled quotes, Windows line ends, two files."""
+    rng = random.Random(int(split_bytes))
+    pieces = ["x", "a b", "\n", "\n\n", ",", '"', '""', "é", "9" * 40, "", "z\n" * 30, ' "q",\n"']
+    expected = []
+    for f in ("a", "b"):
+        rows = [[f"{f}{i}", "".join(rng.choice(pieces) for _ in range(rng.randrange(5))), rng.choice(["t", "u\nv"])] for i in range(25)]
+        with open(tmp_path / f"{f}.csv", "w", newline="") as out:
+            end = "\r\n" if f == "b" else "\n"
+            out.write(f"k,v,w{end}{end}")
+            out.write(end.join(",".join('"' + c.replace('"', '""') + '"' if set(c) & set('",\n') else c for c in r) for r in rows))
+        expected += [tuple(c or None for c in r) for r in rows]
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, split_bytes)
+        rows = text_files.read_text_csv(spark, [str(tmp_path / "b.csv"), str(tmp_path / "a.csv")], ["k", "v", "w"])
+        found = [(r.k, r.v, r.w) for r in rows.orderBy(C.ARRIVAL).collect()]
+    finally:
+        spark.conf.set(setting, before)
+    assert found == expected
+
+
+def test_quotes_that_do_not_end(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('k,v\n1,"two\n3,4\n')
+    with pytest.raises(csv_records.CsvError, match="does not end"):
+        text_files.read_text_csv(spark, str(tmp_path / "a.csv"), ["k"])
+    (tmp_path / "b.csv").write_text('k,v\n1,"two\nlines"\n')
+    (tmp_path / "c.csv").write_text('v,k\n1,"two\nlines"\n')
+    with pytest.raises(Exception, match="the header is"):
+        text_files.read_text_csv(spark, [str(tmp_path / "b.csv"), str(tmp_path / "c.csv")], ["k"]).collect()
 
 
 @pytest.mark.parametrize("split_bytes", [None, "2000", "100000"])
@@ -116,6 +161,27 @@ def test_rows_without_an_ordinal_arrive_last(spark, raw):
         cleaning.classify(late).collect()
 
 
+def test_ordinals_of_many_files_and_sources(spark):
+    """The order holds beyond 2^20 files, 2^40 bytes a file and 2^31 rows; late rows and the next source come after."""
+    rows = [(0, f"/f{i:09}", s, n) for i in (0, 2**20 - 1, 2**20, 10**8) for s, n in ((0, 2**31), (2**50, 0), (2**50, 7))]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "at int, s int, f string, p long, n long")
+    own = df.selectExpr("at", f"{ordinal('s', 'f', 'p', 'n')} AS {C.ARRIVAL}")
+    late = with_arrival(spark.createDataFrame([(50,), (51,)], "at int").coalesce(1).withColumn(C.ARRIVAL, F.lit(None).cast("long")))
+    both = own.union(late).repartition(3)
+    other = in_source_order(own.withColumn("at", F.col("at") + 100), 1)
+    found = [r.at for r in both.union(other).orderBy(C.ARRIVAL).collect()]
+    assert found == [*range(len(rows)), 50, 51, *range(100, 100 + len(rows))]
+
+
+def test_rows_from_files_are_not_shuffled_before_they_are_classified(spark, tmp_path):
+    path = write_raw_csv(tmp_path / "a.csv", [{"maquina_id": "K"}, {"maquina_id": "L"}])
+    plan = text_files.union_sources({"simulado": text_files.read_raw_csv(spark, path)})
+    assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+    raw_layer.write_raw(plan, str(tmp_path / "b"))
+    again = raw_layer.read_raw(spark, str(tmp_path / "b"), numbered=False)
+    assert "Exchange" not in again._jdf.queryExecution().executedPlan().toString()
+
+
 def test_union_keeps_order_and_validates_names(spark, raw):
     both = {"simulado": raw({"torque_nm": "8"}, {"torque_nm": "9"}), "ai4i": raw({"fonte": "ai4i"})}
     rows = text_files.union_sources(both).orderBy(C.ARRIVAL).collect()
@@ -144,7 +210,7 @@ def test_raw_round_trip_keeps_everything(spark, raw, tmp_path):
     back = raw_layer.read_raw(spark, path)
     assert back.columns == df.columns
     key = lambda r: r[C.ARRIVAL]
-    assert sorted(back.collect(), key=key) == sorted(df.collect(), key=key)
+    assert sorted(back.collect(), key=key) == sorted(with_arrival(df).collect(), key=key)
     assert (tmp_path / "b" / "data=0123456789" / "maquina_id=K").is_dir()
     # Text too short to hold a day counts as no day.
     assert raw_layer.read_raw(spark, path, "data = 'sem_data'").filter("timestamp IS NULL").count() == len(machines)
