@@ -149,7 +149,8 @@ def manifest(docs: DataFrame) -> DataFrame:
     hash on the way up, with the digests to the left and to the right of the node. Nulls are values of their own;
     repeated rows are leaves of their own; no rows give none.
     """
-    leaves, sources = ranked(with_leaves(docs))
+    # Stored before they are ordered: range partitions sample their input, which would hash every text twice.
+    leaves, sources = ranked(materialize(with_leaves(docs), "leaves"))
     payload = ["doc_id", "source", "claimed"]
     levels = grow(leaves.withColumnRenamed("leaf", "digest"), payload)
     subroots = sources.select("tree").join(tops(levels), "tree").selectExpr("tree AS source_tree", "digest")
