@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gaugeflow import contract as C
 from gaugeflow.functions import quote
 from gaugeflow.functions.text import is_blank, strip
+from gaugeflow.operators.cleaning import TYPED
 
 # Sections and keys that are reported even when their count is zero.
 FIXED_ROWS = [
@@ -37,7 +38,7 @@ def audit(classified: DataFrame, failures: DataFrame) -> DataFrame:
     on those few cells. Rows, not one nested value, because sources are not checked at this stage
     and there may be any number of them.
     """
-    failed, has_mode = f"{strip('falha')} = '1'", f"NOT {is_blank(strip('modo_falha'))}"
+    failed, has_mode = f"{TYPED}.falha", f"NOT {is_blank(strip('modo_falha'))}"
     cells = classified.groupBy(F.expr(f"{strip('fonte')} AS fonte"), "motivo").agg(
         F.expr("count(*) AS n"),
         F.expr(f"count_if(motivo IS NULL AND {failed}) AS com_falha"),

@@ -75,8 +75,26 @@ def first_defect() -> str:
     return f"CASE {by_row} ELSE {by_sensor} END"
 
 
+#: Beside the text of a classified row: its values as parsed, null if the row has a defect.
+TYPED = "lido"
+
+
+def _typed_values() -> str:
+    """The parsed values as one struct, read by column from stored rows, so that no text is parsed twice."""
+    values = {
+        "fonte": "_s_fonte",
+        "maquina_id": "_s_maquina_id",
+        "ts": "_ts",
+        "tipo_produto": "_s_tipo",
+        **{c: round_to_long(f"_n_{c}") if c in C.INTEGER_SENSORS else f"_n_{c}" for c in C.SENSORS},
+        "falha": "_s_falha = '1'",
+        "modos": f"if(_s_falha = '1', {known_modes('_s_modo_falha')}, NULL)",
+    }
+    return f"named_struct({', '.join(f'{quote(c)}, {e}' for c, e in values.items())})"
+
+
 def classify(raw: DataFrame) -> DataFrame:
-    """Raw rows as they came, plus ``motivo``: the first reject reason that applies, or null.
+    """Raw rows as they came, plus ``motivo``: the first reject reason that applies, or null; and the parsed values.
 
     A repeat is rejected whatever became of the first copy, so repeats are marked over all rows
     that have a machine and a valid instant, before any other reason is looked at. "First" is the
@@ -91,10 +109,14 @@ def classify(raw: DataFrame) -> DataFrame:
         arrival,
         *key,
         f"{first_defect()} AS _defeito",
+        f"{_typed_values()} AS _values",
         f"NOT {is_blank('_s_maquina_id')} AND _ts IS NOT NULL AS _com_chave",
     )
     return mark_repeats(rows, key=key, arrival=C.ARRIVAL, eligible="_com_chave").selectExpr(
-        *C.RAW_COLUMNS, C.ARRIVAL, "CASE WHEN repetida THEN 'duplicada' ELSE _defeito END AS motivo"
+        *C.RAW_COLUMNS,
+        C.ARRIVAL,
+        "CASE WHEN repetida THEN 'duplicada' ELSE _defeito END AS motivo",
+        f"if(repetida OR _defeito IS NOT NULL, NULL, _values) AS {TYPED}",
     )
 
 
@@ -103,34 +125,14 @@ def rejected(classified: DataFrame) -> DataFrame:
     return classified.filter("motivo IS NOT NULL").select(*C.RAW_COLUMNS, "motivo")
 
 
-def _accepted(classified: DataFrame) -> DataFrame:
-    return _parsed(classified.filter("motivo IS NULL"))
-
-
 def readings(classified: DataFrame) -> DataFrame:
     """Accepted rows with their types."""
-    numbers = {
-        c: round_to_long(f"_n_{c}") if c in C.INTEGER_SENSORS else f"_n_{c}" for c in C.SENSORS
-    }
-    return _accepted(classified).selectExpr(
-        "_s_fonte AS fonte",
-        "_s_maquina_id AS maquina_id",
-        "_ts AS ts",
-        "_s_tipo AS tipo_produto",
-        *[f"{expr} AS {c}" for c, expr in numbers.items()],
-        "_s_falha = '1' AS falha",
-    )
+    return classified.filter("motivo IS NULL").selectExpr(*[f"{TYPED}.{c} AS {c}" for c in C.CLEAN_READINGS.names])
 
 
 def failures(classified: DataFrame) -> DataFrame:
     """One row per (machine, instant, mode) of the accepted readings that failed."""
-    return (
-        _accepted(classified)
-        .filter("_s_falha = '1'")
-        .selectExpr(
-            "_s_maquina_id AS maquina_id",
-            "_ts AS ts",
-            f"explode({known_modes('_s_modo_falha')}) AS modo",
-        )
-        .distinct()
-    )
+    failing = classified.filter(f"motivo IS NULL AND {TYPED}.falha")
+    return failing.selectExpr(
+        f"{TYPED}.maquina_id AS maquina_id", f"{TYPED}.ts AS ts", f"explode({TYPED}.modos) AS modo"
+    ).distinct()

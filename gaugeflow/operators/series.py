@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow.functions import name, names
+from gaugeflow.functions import name
 from gaugeflow.functions.times import epoch_minute
 
 #: A series is cut at weeks. The contract's instants are whole seconds and unique within a machine, so no
@@ -25,43 +25,26 @@ def series_window(
 
     ``columns`` maps a new name to an expression in which ``{over}`` stands for the partitioning and
     ordering, e.g. ``lag(x) OVER ({over})``. (key, time) must be unique. Every series is cut at fixed
-    instants, ``bucket_minutes`` apart, and each piece is given the last ``reach`` rows before it, so the
-    result does not depend on the cuts. The plan is the same for all sizes: nothing is counted first, no
-    task holds a whole series, and rows without a key are cut like any other series.
-    """
-    cut = df.selectExpr("*", f"{epoch_minute(name(time))} div {bucket_minutes} AS _bucket")
-    padded = cut.selectExpr("*", "false AS _before").unionByName(_rows_before(cut, key, time, reach))
-    over = f"PARTITION BY {name(key)}, _bucket ORDER BY {name(time)}"
-    return (
-        padded.selectExpr("*", *[f"{expr.format(over=over)} AS {name(c)}" for c, expr in columns.items()])
-        .filter("NOT _before")
-        .drop("_bucket", "_before")
-    )
-
-
-def _rows_before(cut: DataFrame, key: str, time: str, reach: int) -> DataFrame:
-    """For each piece, the last ``reach`` rows of its series that lie before it.
-
-    The window over a whole series sees one row per piece: its size follows the time span, not the rows.
+    instants, ``bucket_minutes`` apart. Only the first ``reach`` rows of a piece see rows of earlier ones; they are
+    windowed again beside the last ``reach`` rows of each piece, so the result does not depend on the cuts. The plan is
+    the same for all sizes: nothing is counted first, no task holds a whole series but the few rows at its cuts, and
+    rows without a key are cut like any other series.
     """
     k, t = name(key), name(time)
-    row = f"struct({names([time, *[c for c in cut.columns if c not in (key, time, '_bucket')]])})"
-    if reach == 1:  # the latest row is an aggregate that combines before its shuffle
-        tails = cut.groupBy(key, "_bucket").agg(F.expr(f"array(max_by({row}, {t})) AS _tail"))
-    else:
-        tails = (
-            cut.selectExpr("*", f"row_number() OVER (PARTITION BY {k}, _bucket ORDER BY {t} DESC) AS _back")
-            .filter(f"_back <= {reach}")
-            .groupBy(key, "_bucket")
-            .agg(F.expr(f"array_sort(collect_list({row}), (a, b) -> CASE WHEN a.{t} < b.{t} THEN -1"
-                        f" WHEN a.{t} > b.{t} THEN 1 ELSE 0 END) AS _tail"))
-        )
-    earlier = (
-        f"flatten(collect_list(_tail) OVER (PARTITION BY {k} ORDER BY _bucket"
-        f" ROWS BETWEEN {reach} PRECEDING AND 1 PRECEDING))"
-    )
-    return (
-        tails.selectExpr(k, "_bucket", f"{earlier} AS _earlier")
-        .selectExpr(k, "_bucket", f"inline(slice(_earlier, greatest(size(_earlier) - {reach - 1}, 1), {reach}))")
-        .selectExpr("*", "true AS _before")
-    )
+    # Other names below the shuffle: the optimizer then leaves its plan alike in both branches, which read it once.
+    below = df.selectExpr(*[f"{name(c)} AS {name('_in_' + c)}" for c in df.columns], f"{epoch_minute(t)} div {bucket_minutes} AS _bucket")
+    dealt = below.repartition(F.col(name(f"_in_{key}")), F.col("_bucket"))
+    cut = dealt.selectExpr(*[f"{name('_in_' + c)} AS {name(c)}" for c in df.columns], "_bucket")
+    of_piece, of_series = f"PARTITION BY {k}, _bucket ORDER BY {t}", f"PARTITION BY {k} ORDER BY {t}"
+
+    def windowed(rows: DataFrame, over: str, *more: str) -> DataFrame:
+        return rows.selectExpr("*", *[f"{expr.format(over=over)} AS {name(c)}" for c, expr in columns.items()], *more)
+
+    place = f"row_number() OVER ({of_piece}) AS _place"
+    near_end = f"lead({t}, {reach}) OVER ({of_piece}) IS NULL AS _near_end"
+    inner = windowed(cut, of_piece, place).filter(f"_place > {reach}")
+    # Both branches read the one shuffle of the rows. Before a piece's first rows lie exactly the last ones of the pieces
+    # before it, so among these edges alone the windows over a whole series see what they would among all rows.
+    edges = cut.selectExpr("*", place, near_end).filter(f"_place <= {reach} OR _near_end")
+    heads = windowed(edges, of_series).filter(f"_place <= {reach}").drop("_near_end")
+    return inner.unionByName(heads).drop("_bucket", "_place")

@@ -59,8 +59,9 @@ def moving_average(
     Summed as decimals: the mean is exact before it is rounded to two places, half away from zero.
     """
     frame = f"OVER ({{over}} ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW)"
-    series = leituras.selectExpr("maquina_id", "ts", name(value))
-    mean = {"_mean": f"avg({exact(name(value))}) {frame}"}
+    # A column before the cut: both branches of the series then read one shuffle.
+    series = leituras.selectExpr("maquina_id", "ts", name(value), f"{exact(name(value))} AS _exact")
+    mean = {"_mean": f"avg(_exact) {frame}"}
     averaged = series_window(series, "maquina_id", "ts", mean, rows - 1, bucket_minutes)
     return averaged.selectExpr("maquina_id", "ts", name(value), "cast(round(_mean, 2) AS double) AS media_movel")
 

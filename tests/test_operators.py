@@ -53,6 +53,18 @@ def test_windows_do_not_depend_on_the_cuts(series, minutes):
     assert out.count() == len(rows)
 
 
+def test_a_series_is_read_and_shuffled_once(spark, tmp_path):
+    """One scan and one shuffle of all rows; the second shuffle holds the rows next to cuts only."""
+    spark.range(5000).selectExpr(
+        "concat('U-', id % 7) AS maquina_id", "timestamp_ntz'2031-01-01 00:00:00' + id * INTERVAL '3' MINUTE AS ts", "id / 7 AS temp_processo_k"
+    ).write.parquet(str(tmp_path / "s"))
+    df = queries.moving_average(spark.read.parquet(str(tmp_path / "s")))
+    assert df.count() == 5000
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Scan parquet") == 1 and plan.count("ReusedExchange") == 1 and plan.count("- Exchange hash") == 2
+
+
 def test_first_moving_averages_equal_the_full_ones(spark, series):
     _, df = series
     readings = df.withColumnRenamed("v", "temp_processo_k")
