@@ -21,7 +21,7 @@ INLINE = frozenset(
 )
 #: Elements that never hold the article.
 NEVER = frozenset(
-    "script style noscript template head title nav footer aside form button select option textarea input iframe svg"
+    "script style noscript template head title nav footer aside button select option textarea input iframe svg"
     " canvas object menu dialog datalist audio video map math".split()
 )
 #: Class, id or role tokens that speak against a subtree. They remove it only if it holds
@@ -40,6 +40,12 @@ AMBIGUOUS = frozenset("discussion search notice notices related warning alert so
 SMALL = 0.4
 #: Text outside of article elements goes if those hold at least this share of the chosen text.
 ARTICLES = 0.5
+#: Names of reader comments: parts that say so, and parts that may stand beside them in one token.
+COMMENTS = frozenset("comment comments commentlist disqus replies respond".split())
+_COMMENT_PARTS = COMMENTS | frozenset(
+    "user users reader readers list listing section area thread threads wrapper wrap container box block item items body content"
+    " post page the count form author meta reply child children nested feed stream tree wp fb main inner outer group".split()
+)
 #: A start of one of these ends an open one of the second.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -54,7 +60,8 @@ HELD = 0.75
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|([^<]+|<)",
+    # A tag that is not closed ends at the next one, or with the page: no part of it is searched again.
+    r"|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|(?=<)|\Z)|([^<]+|<)",
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -64,23 +71,45 @@ _PUNCTUATION = re.compile(r"[,.;:!?…。，、；：！？]")
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+class Paths:
+    """Numbers for the root-to-leaf tag paths of one page: a path is its parent's number and the last label."""
+
+    def __init__(self):
+        self.known: dict[tuple[int, str], int] = {}
+
+    def number(self, parent: int, label: str) -> int:
+        return self.known.setdefault((parent, label), len(self.known) + 1)
+
+
 class Element:
-    __slots__ = ("tag", "parent", "label", "beside", "named", "article", "chars", "text", "high", "inner")
+    """An element of the page; what a node needs of its ancestors is known when it is made."""
+
+    __slots__ = ("tag", "parent", "path", "beside", "named", "article", "block", "link", "kind", "chars", "text", "high", "inner", "mark")
 
-    def __init__(self, tag, parent, label="", beside=False, named=""):
-        self.tag, self.parent = tag, parent
-        self.label = f"{parent.label}/{label or tag}" if parent else tag
+    def __init__(self, tag, parent, path=0, beside=False, named=""):
+        self.tag, self.parent, self.path = tag, parent, path
         self.article = tag in ARTICLE or bool(parent and parent.article)
         own = tag in NEVER or (tag == "header" and not self.article) or beside
         self.beside = own or bool(parent and parent.beside)
-        self.named = named
+        self.named = named or ("beside" if tag == "form" else "")
+        inline = parent is not None and tag in INLINE
+        self.block = parent.block if inline and tag != "a" else self  # what inline elements stand in, links aside
+        self.link = tag == "a" or bool(parent and parent.link)
+        if tag in HEADINGS:
+            self.kind = "heading"
+        elif tag in ITEMS:
+            self.kind = "item"
+        else:
+            self.kind = parent.kind if parent and (tag in INLINE or tag == "p") else ""
         self.chars = self.text = self.high = self.inner = 0
+        self.mark = False
 
 
 def _marked(tag: str, attributes: str) -> tuple[str, bool, str]:
     """Path label of a start tag, whether its attributes hide it, and whether its names speak against it.
 
-    The last is "beside", "ambiguous" or empty; a name counts if all its parts between hyphens and the like are listed.
+    The last is "comments", "beside", "ambiguous" or empty; a name counts if all its parts between hyphens and the like are
+    listed, one of comments also beside some plain words.
     """
     if not attributes or tag in ("html", "body"):
         return tag, False, ""
@@ -95,7 +124,9 @@ def _marked(tag: str, attributes: str) -> tuple[str, bool, str]:
                 label += "." + ".".join(value.split())
             for token in value.split():
                 parts = set(_NAME.findall(token))
-                if parts and parts <= (BESIDE if tag not in ARTICLE else {"comment", "comments", "ad", "related", "reply", "teaser"}):
+                if parts & COMMENTS and parts <= _COMMENT_PARTS:
+                    named = "comments"
+                elif named != "comments" and parts and parts <= (BESIDE if tag not in ARTICLE else {"comment", "comments", "ad", "related", "reply", "teaser"}):
                     named = "ambiguous" if parts <= AMBIGUOUS and named != "beside" else "beside"
         elif name == "hidden":
             beside = True
@@ -107,9 +138,16 @@ def _marked(tag: str, attributes: str) -> tuple[str, bool, str]:
 
 
 def text_nodes(page: str):
-    """(element, block number, text, in a link) of each text node, in page order."""
-    root = Element("", None)
-    stack, block, found, at = [root], 0, [], 0
+    """(element, block number, text) of each text node, in page order, and all elements, parents first."""
+    root, paths = Element("", None), Paths()
+    stack, block, found, at, elements = [root], 0, [], 0, [root]
+    opened: dict[str, int] = defaultdict(int)  # open elements by tag, so that a stray end isn't searched in the stack
+
+    def cut(i):
+        for element in stack[i:]:
+            opened[element.tag] -= 1
+        del stack[i:]
+
     while match := _TOKEN.match(page, at):
         at = match.end()
         closing, name, attributes, text = match.groups()
@@ -120,9 +158,9 @@ def text_nodes(page: str):
             continue
         tag = name.lower()
         if closing:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                 if stack[i].tag == tag:
-                    del stack[i:]
+                    cut(i)
                     break
                 if tag in INLINE and stack[i].tag not in INLINE or tag not in INLINE and tag == "p" and stack[i].tag in SCOPES:
                     break
@@ -131,13 +169,16 @@ def text_nodes(page: str):
         if tag not in INLINE and tag not in RAW:
             block += tag not in VOID or tag == "hr"
             if tag not in VOID:
-                _end_open(stack, {"p"} | CLOSES.get(tag, set()))
+                ends = {"p"} | CLOSES.get(tag, set())
+                if any(opened[t] for t in ends):
+                    _end_open(stack, ends, cut)
         if tag in VOID:
             if tag in ("br", "hr"):
                 found.append((stack[-1], block, " "))
             continue
         label, beside, named = _marked(tag, attributes)
-        element = Element(tag, stack[-1], label, beside, named)
+        element = Element(tag, stack[-1], paths.number(stack[-1].path, label), beside, named)
+        elements.append(element)
         if tag in RAW:
             end = _RAW_ENDS[tag].search(page, at)
             at = end.start() if end else len(page)
@@ -146,19 +187,20 @@ def text_nodes(page: str):
             continue
         if not attributes.rstrip().endswith("/"):
             stack.append(element)
-    return found
+            opened[tag] += 1
+    return found, elements
 
 
-def _end_open(stack, tags):
+def _end_open(stack, tags, cut):
     for at in range(len(stack) - 1, 0, -1):
         if stack[at].tag in tags:
-            del stack[at:]
+            cut(at)
             return
         if stack[at].tag in SCOPES:
             return
 
 
-def path_ratios(nodes) -> dict[str, float]:
+def path_ratios(nodes) -> dict:
     """Fused ratio of each tag path: mean text length times mean punctuation, each smoothed over the page's nodes.
 
     ``nodes`` has (path, characters, punctuation marks) in page order.
@@ -191,7 +233,7 @@ def path_ratios(nodes) -> dict[str, float]:
 
 def _chosen(nodes):
     """(path, characters, marks) of each node, the nodes with text, and those of them whose path is content."""
-    sized = [(e.label, len(" ".join(t.split())), len(_PUNCTUATION.findall(t))) for e, _, t in nodes]
+    sized = [(e.path, len(" ".join(t.split())), len(_PUNCTUATION.findall(t))) for e, _, t in nodes]
     full = [i for i, s in enumerate(sized) if s[1]]
     if not full:
         return sized, [], []
@@ -200,33 +242,43 @@ def _chosen(nodes):
     return sized, full, [i for i in full if ratios[sized[i][0]] >= bar]
 
 
-def _without_named(nodes):
+def _summed(elements, *names) -> None:
+    """Add each element's counts to its ancestors; ``elements`` lists parents first."""
+    for element in reversed(elements):
+        if element.parent is not None:
+            for n in names:
+                setattr(element.parent, n, getattr(element.parent, n) + getattr(element, n))
+
+
+def _without_named(nodes, elements):
     """The nodes less those of named elements the page speaks against, and _chosen of them.
 
-    Inside an article, and for ambiguous names, nothing in the element may be chosen; elsewhere a small share suffices, or that all
-    article elements are outside of it.
+    Comments go wherever they stand, if other text is chosen. Other names remove an element that holds a small share of the
+    text, or outside of which all article elements lie; ambiguous ones one that holds nothing chosen.
     """
     sized, full, chosen = _chosen(nodes)
-    if not any(x.named for e in {nodes[i][0] for i in full} for x in _up(e)):
+    if not any(e.named for e in elements):
         return nodes, sized, full, chosen
     high, total = set(chosen), sum(sized[i][1] for i in full)
     for i in full:
-        for element in _up(nodes[i][0]):
-            element.text += sized[i][1]
-            element.high += sized[i][1] * (i in high)
-            element.inner += sized[i][1] * nodes[i][0].article
-
-    articles = sum(sized[i][1] for i in full if nodes[i][0].article)
+        element = nodes[i][0]
+        element.text += sized[i][1]
+        element.high += sized[i][1] * (i in high)
+        element.inner += sized[i][1] * element.article
+    _summed(elements, "text", "high", "inner")
+    articles, selected = elements[0].inner, elements[0].high
 
     def out(element):
-        if not element.named:
-            return False
-        if element.named == "beside" and not (element.parent and element.parent.article):
+        if element.named == "comments":
+            return element.high < selected or not element.high
+        if element.named == "beside":
             if element.text <= SMALL * total or articles and not element.inner:
                 return True
-        return not element.high
+        return bool(element.named) and not element.high
 
-    nodes = [n for n in nodes if not any(map(out, _up(n[0])))]
+    for element in elements:
+        element.mark = out(element) or bool(element.parent and element.parent.mark)
+    nodes = [n for n in nodes if not n[0].mark]
     return nodes, *_chosen(nodes)
 
 
@@ -234,20 +286,18 @@ def main_text(page: str | None) -> str:
     """The article's text: blocks in page order, joined by one space; empty where there is none."""
     if not page:
         return ""
-    nodes = [(e, b, html.unescape(t)) for e, b, t in text_nodes(page) if not e.beside]
-    nodes, sized, full, chosen = _without_named(nodes)
+    nodes, elements = text_nodes(page)
+    nodes = [(e, b, html.unescape(t)) for e, b, t in nodes if not e.beside]
+    nodes, sized, full, chosen = _without_named(nodes, elements)
     if not full:
         return ""
     within = [i for i in chosen if nodes[i][0].article]
     if sum(sized[i][1] for i in within) >= ARTICLES * sum(sized[i][1] for i in chosen):
         chosen = within
-    total = 0
+    total = sum(sized[i][1] for i in chosen)
     for i in chosen:
-        total += sized[i][1]
-        element = nodes[i][0]
-        while element is not None:
-            element.chars += sized[i][1]
-            element = element.parent
+        nodes[i][0].chars += sized[i][1]
+    _summed(elements, "chars")
     element = container = nodes[max(chosen, key=lambda i: sized[i][1])][0]
     while element is not None:
         container = element
@@ -255,14 +305,16 @@ def main_text(page: str | None) -> str:
             break
         element = element.parent
     whole = next((e for e in _up(container) if e.tag in ARTICLE), None) or container
+    for element in elements:
+        element.mark = element is whole or bool(element.parent and element.parent.mark)
     blocks: dict[int, list] = {}
-    picked = {_block_of(nodes[i][0]).label for i in chosen}
+    picked = {nodes[i][0].block.path for i in chosen}
     for i, (e, block, text) in enumerate(nodes):
-        if whole in _up(e):
+        if e.mark:
             held = blocks.setdefault(block, [[], 0, 0, e])
             held[0].append(text)
-            held[1] += sized[i][1] * (1 if _block_of(e).label in picked else -1)
-            held[2] += sized[i][1] * (1 if any(x.tag == "a" for x in _up(e)) else -1)
+            held[1] += sized[i][1] * (1 if e.block.path in picked else -1)
+            held[2] += sized[i][1] * (1 if e.link else -1)
     found = [(" ".join("".join(parts).split()), *rest) for parts, *rest in blocks.values()]
     return " ".join(_smoothed([f for f in found if f[0]]))
 
@@ -272,7 +324,7 @@ def _smoothed(blocks) -> list[str]:
 
     ``blocks`` has (text, characters on chosen paths less others, characters in links less others, element) each.
     """
-    kinds = [_kind(element) for *_, element in blocks]
+    kinds = [element.kind for *_, element in blocks]
     kept = [sign >= 0 for _, sign, _, _ in blocks]
     first, last = (kept.index(True), len(kept) - 1 - kept[::-1].index(True)) if any(kept) else (0, -1)
     for i, (_, _, links, _) in enumerate(blocks):
@@ -282,24 +334,6 @@ def _smoothed(blocks) -> list[str]:
     return [text for (text, *_), keep in zip(blocks, kept) if keep]
 
 
-def _block_of(element):
-    """The element that inline ones stand in, links aside."""
-    while element.parent is not None and element.tag in INLINE and element.tag != "a":
-        element = element.parent
-    return element
-
-
-def _kind(element) -> str:
-    for e in _up(element):
-        if e.tag in HEADINGS:
-            return "heading"
-        if e.tag in ITEMS:
-            return "item"
-        if e.tag not in INLINE and e.tag != "p":
-            return ""
-    return ""
-
-
 def _up(element):
     while element is not None:
         yield element

@@ -7,6 +7,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -605,3 +606,55 @@ def test_words_of_one_kind_have_their_own_counts(spark, monkeypatch, common):
     rows = pseudo_likelihood.score(frame(spark, [text] * 100 + [text.replace(often, rare)])).collect()
     found = {r.doc_id: r.pseudo_log_likelihood for r in rows}
     assert abs(found[0] - found[100] - math.log(100)) < 1e-6
+
+
+COMMENTS = "".join(f"<p>Comment {i}, I like this a lot, dear author; thanks, really.</p>" for i in range(4))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<main><article>{BODY}</article><section id="comments">{COMMENTS}</section></main>',
+        f'<article>{BODY}<div class="comments">{COMMENTS}</div></article>',
+        f'<main>{BODY}<div class="sidebar"><p>Side text, which is here, too.</p></div></main>',
+        f'<main><div class="cookie-notice"><p>We use cookies, as you know, and more.</p></div>{BODY}</main>',
+        f'<div>{BODY}</div><div class="comment-list">{COMMENTS}</div>',
+        f'<div>{BODY}</div><div class="user-comments">{COMMENTS}{COMMENTS}{COMMENTS}</div>',
+        f'<body><form action="x"><div>{BODY}</div><input name="q"><button>Go</button></form></body>',
+        f"<body><div>{BODY}</div><form><label>Name, please</label><input></form></body>",
+        f"<div class=a <p>{BODY}",
+    ],
+)
+def test_boilerplate_inside_and_outside_of_articles(page):
+    """Comments, sidebars and notices go wherever they stand; a form around the page is none."""
+    assert html_text.main_text(page) == html_text.main_text(f"<article>{BODY}</article>")
+
+
+def test_time_follows_the_size_of_a_page():
+    pages = ["<a " * 100_000, "<div>" * 50_000 + "x", "<div>text, more. " * 20_000, '<a "' * 50_001, "<div>" * 15_000 + "</section>" * 15_000 + "t"]
+    pages += ["<b>" * 15_000 + "x", "<!-- " * 50_000, "<font>" * 10_000 + "<p>x" * 10_000, "<div class=ad><p>text, x.</p>" * 10_000, "x, y. " * 100_000]
+    for page in pages:
+        start = time.perf_counter()
+        html_text.main_text(page)
+        assert time.perf_counter() - start < 10, page[:20]
+
+
+def test_path_ratios_equal_plain_ones():
+    """Mean length times mean punctuation of each path, each averaged with its neighbours under a bell curve."""
+    rng = random.Random(12)
+    for _ in range(30):
+        nodes = [(rng.choice("abcd"), rng.randrange(1, 90), rng.randrange(4)) for _ in range(rng.randrange(1, 25))]
+        found = html_text.path_ratios(nodes)
+        plain = {}
+        for which in (lambda n: n[1], lambda n: 1 + n[2]):
+            mean = {p: sum(which(n) for n in nodes if n[0] == p) / sum(n[0] == p for n in nodes) for p, *_ in nodes}
+            row = [mean[p] for p, *_ in nodes]
+            near = [
+                sum(math.exp(-((i - j) ** 2) / 2) * row[j] for j in range(len(row)) if abs(i - j) <= 2)
+                / sum(math.exp(-((i - j) ** 2) / 2) for j in range(len(row)) if abs(i - j) <= 2)
+                for i in range(len(row))
+            ]
+            for p in mean:
+                own = [near[i] for i, n in enumerate(nodes) if n[0] == p]
+                plain[p] = plain.get(p, 1.0) * (mean[p] + sum(own) / len(own)) / 2
+        assert found.keys() == plain.keys() and all(abs(found[p] - plain[p]) < 1e-9 * plain[p] for p in plain)
