@@ -141,12 +141,19 @@ def run_checks(
     readings = {m: models[m] for m in ("stg_leituras", "int_leituras_enriquecidas", "fct_leituras", "stg_falhas")}
     by_machine = family("id_maquina", machines, True)
     others = family("id_leitura", readings, False).unionAll(family("id_falha", {"stg_falhas": models["stg_falhas"]}, True))
+    return with_derived(by_machine, others, history, list(machines), min_readings, max_drop)
+
+
+def with_derived(
+    by_machine: DataFrame, others: DataFrame, history: DataFrame, counted: list[str], min_readings: int, max_drop: float
+) -> DataFrame:
+    """All results: those given, and what follows from the sizes of the ``counted`` models and from the history."""
     dropped = quality.volume_drop(history, max_drop).selectExpr(
         "'cargas' AS modelo", "'volume_drop' AS teste", "'total_leituras' AS coluna", "count(*) AS violacoes"
     )
 
     # From here on it is one row per check.
-    size = {m: f"_sizes[{quote(m)}]" for m in machines}
+    size = {m: f"_sizes[{quote(m)}]" for m in counted}
     derived = [
         *[(actual, "row_parity", expected, f"{size[expected]} <> {size[actual]}") for expected, actual in PARITY],
         ("fct_leituras", "min_volume", "", f"{size['fct_leituras']} < {min_readings}"),

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugeflow.operators import cleaning, quality
 from gaugeflow.operators.audit import check_accounting
-from gaugeflow.plans import checks, models
+from gaugeflow.plans import checks, marts
 from gaugeflow.plans.load import load
 from gaugeflow.session import materialize
 from gaugeflow.sources import clean_layer, raw_layer, tables, text_files
@@ -54,26 +53,19 @@ def build_marts(
     now: dt.datetime | None = None,
     min_readings: int | None = None,
     keep: int | None = None,
+    full: bool = False,
 ) -> DataFrame:
-    """Check that the tables are fresh, build all models, run the suite; returns its results.
+    """Check that the tables are fresh, build the models of the days that changed, run the suite; returns its results.
 
-    Stale tables stop the build before any model is written. The marts are written beside the current ones and
-    published after the suite, so a failed check raises and leaves those as they were. With ``keep`` only so many
-    published versions stay on disk, else all do.
+    Stale tables stop the build before any model is written. What is made is written beside the current marts and
+    published after the suite, so a failed check raises and leaves those as they were. With ``full`` all days are made
+    anew; with ``keep`` only the files of so many published versions stay on disk, else all do.
     """
     root = f"{path}/tabelas"
-    history = tables.read_history(spark, root)
-    fresh = quality.freshness(history, now or dt.datetime.now(dt.timezone.utc)).collect()[0]
+    fresh = quality.freshness(tables.read_history(spark, root), now or dt.datetime.now(dt.timezone.utc)).collect()[0]
     if fresh["situacao"] == "error":
         raise checks.QualityError(f"tables are stale: last load {fresh['ultima_carga']}")
-    version = f"v-{uuid.uuid4().hex}"
-    built = models.build_models(
-        *[tables.read_table(spark, root, t) for t in ("maquinas", "leituras", "falhas")], f"{path}/marts/{version}"
-    )
-    limit = {} if min_readings is None else {"min_readings": min_readings}
-    results = materialize(checks.run_checks(built, history, **limit), "checks")
-    checks.require(results)
-    models.publish_marts(spark, f"{path}/marts", version)
+    results, _ = marts.build(spark, root, f"{path}/marts", min_readings, full)
     if keep is not None:
-        models.remove_old_marts(spark, f"{path}/marts", keep)
+        marts.remove_old(spark, f"{path}/marts", keep)
     return results

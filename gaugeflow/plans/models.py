@@ -1,21 +1,17 @@
 """Staging, enriched and mart models as functions from DataFrames to DataFrames.
 
 Staging and enriched stay lazy, so one plan reaches from the mart down to the scan; only marts are
-written.
+written, see ``plans.marts``.
 """
 
 from __future__ import annotations
 
-import time
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.numbers import celsius
 from gaugeflow.operators.grouping import ordered_text
 from gaugeflow.contract import FACT_COLUMNS
-from gaugeflow.session import materialize, remove
-from gaugeflow.sources.tables import exists
 
 
 def stg_maquinas(maquinas: DataFrame) -> DataFrame:
@@ -40,8 +36,8 @@ def stg_leituras(leituras: DataFrame) -> DataFrame:
     )
 
 
-def stg_falhas(falhas: DataFrame) -> DataFrame:
-    return falhas.selectExpr("falha_id AS id_falha", "leitura_id AS id_leitura", "modo AS modo_falha")
+def stg_falhas(falhas: DataFrame, *more: str) -> DataFrame:
+    return falhas.selectExpr("falha_id AS id_falha", "leitura_id AS id_leitura", "modo AS modo_falha", *more)
 
 
 def int_leituras_enriquecidas(leituras: DataFrame, maquinas: DataFrame, falhas: DataFrame) -> DataFrame:
@@ -103,69 +99,3 @@ def fct_falhas_diarias(fato: DataFrame) -> DataFrame:
     return ordered_text(
         failing, ["id_maquina", "data_ref"], "modos_falha", "; ", "modos_falha", "qtd_falhas", distinct=True
     ).select("id_maquina", "data_ref", "qtd_falhas", "modos_falha")
-
-
-MARTS = ("dim_maquina", "fct_leituras", "fct_falhas_diarias")
-CURRENT = "publicadas"
-_PUBLISHED = "ordem long, versao string"
-
-
-def build_models(
-    maquinas: DataFrame, leituras: DataFrame, falhas: DataFrame, path: str
-) -> dict[str, DataFrame]:
-    """Write the marts under ``path``, a new folder; returns all seven models by name.
-
-    The enriched model is materialised, because the fact and several checks read it, and the other
-    two marts start from the written fact; so the joins run once. The fact is laid out in order of
-    time and machine, which its readers filter by.
-    """
-    spark = leituras.sparkSession
-    m, lt, f = stg_maquinas(maquinas), stg_leituras(leituras), stg_falhas(falhas)
-    enriched = materialize(int_leituras_enriquecidas(lt, m, f), "enriched")
-
-    fact = fct_leituras(enriched)
-    ordered = fact.repartitionByRange("medido_em", "id_maquina").sortWithinPartitions("medido_em", "id_maquina")
-    ordered.write.parquet(f"{path}/fct_leituras")
-    fact = spark.read.schema(fact.schema).parquet(f"{path}/fct_leituras")
-
-    def mart(name: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(f"{path}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{path}/{name}")
-
-    return {
-        "stg_maquinas": m,
-        "stg_leituras": lt,
-        "stg_falhas": f,
-        "int_leituras_enriquecidas": enriched,
-        "dim_maquina": mart("dim_maquina", dim_maquina(m, fact)),
-        "fct_leituras": fact,
-        "fct_falhas_diarias": mart("fct_falhas_diarias", fct_falhas_diarias(fact)),
-    }
-
-
-class MartsMissing(RuntimeError):
-    """The marts have not been built yet."""
-
-
-def publish_marts(spark: SparkSession, path: str, version: str) -> None:
-    """Make the marts under ``path/version`` the current ones, by one small file that appears at once or not at all."""
-    order = spark.createDataFrame([(time.time_ns(), version)], _PUBLISHED)
-    order.coalesce(1).write.mode("append").parquet(f"{path}/{CURRENT}")
-
-
-def remove_old_marts(spark: SparkSession, path: str, keep: int) -> None:
-    """Delete the files of all published versions of the marts but the newest ``keep``."""
-    if keep < 1:
-        raise ValueError("the current version has to stay")
-    published = spark.read.schema(_PUBLISHED).parquet(f"{path}/{CURRENT}")
-    for row in published.orderBy("ordem", ascending=False).collect()[keep:]:  # one row per build
-        remove(spark, f"{path}/{row['versao']}")
-
-
-def read_marts(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """The current marts by name, after checking that there are any."""
-    if not exists(spark, f"{path}/{CURRENT}"):
-        raise MartsMissing(f"build the models first: nothing was published under {path}")
-    published = spark.read.schema(_PUBLISHED).parquet(f"{path}/{CURRENT}")
-    version = published.agg(F.expr("max_by(versao, ordem) AS versao")).collect()[0]["versao"]
-    return {m: spark.read.parquet(f"{path}/{version}/{m}") for m in MARTS}

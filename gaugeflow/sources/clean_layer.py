@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gaugeflow import contract as C
 from gaugeflow.contract import EXPORT_FAILURES, EXPORT_READINGS  # noqa: F401
@@ -31,6 +32,20 @@ def write_clean(classified: DataFrame, path: str) -> DataFrame:
     return write_report(report, f"{path}/relatorio")
 
 
+def order_breaks(spark: SparkSession, path: str, order: list[str]) -> DataFrame:
+    """Places where stored rows are not in order: rows (arquivo, posicao, anterior, atual), none if all are.
+
+    Files count in the order of their names. Inside a file each row is compared with the one before, by a window that
+    holds one file; the first row of a file with the last one of the file before, by a window over one row per file.
+    """
+    key = f"struct({', '.join(map(name, order))}) AS atual"
+    rows = spark.read.parquet(path).selectExpr("_metadata.file_path AS arquivo", "_metadata.row_index AS posicao", key)
+    inner = rows.selectExpr("*", "lag(atual) OVER (PARTITION BY arquivo ORDER BY posicao) AS anterior")
+    edges = rows.groupBy("arquivo").agg(F.expr("min_by(atual, posicao) AS atual"), F.expr("max_by(atual, posicao) AS ultimo"))
+    between = edges.selectExpr("arquivo", "0L AS posicao", "atual", "lag(ultimo) OVER (ORDER BY arquivo) AS anterior")
+    return inner.unionByName(between).filter("anterior > atual").select("arquivo", "posicao", "anterior", "atual")
+
+
 def write_report(report: DataFrame, path: str) -> DataFrame:
     """The report as rows, and as lines of JSON beside them."""
     spark = report.sparkSession

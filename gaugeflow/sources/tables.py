@@ -82,7 +82,7 @@ def exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def _read_text(spark: SparkSession, file: str) -> str:
+def read_text(spark: SparkSession, file: str) -> str:
     system, path = file_system(spark, file)
     stream = system.open(path)
     try:
@@ -91,7 +91,7 @@ def _read_text(spark: SparkSession, file: str) -> str:
         stream.close()
 
 
-def _write_text(spark: SparkSession, file: str, text: str) -> None:
+def write_text(spark: SparkSession, file: str, text: str) -> None:
     system, path = file_system(spark, file)
     stream = system.create(path, False)
     try:
@@ -109,7 +109,7 @@ def create_once(spark: SparkSession, file: str, text: str) -> bool:
     folder, _, last = file.rpartition("/")
     beside = f"{folder}/.{last}-{uuid.uuid4().hex}"
     system, path = file_system(spark, file)
-    _write_text(spark, beside, text)
+    write_text(spark, beside, text)
     _, source = file_system(spark, beside)
     try:
         if system.getUri().getScheme() == "file":
@@ -138,9 +138,9 @@ def _commits(spark: SparkSession, root: str) -> list[str]:
 
 
 def _committed(spark: SparkSession, root: str, commit: str) -> State:
-    row = json.loads(_read_text(spark, f"{root}/cargas/{commit}"))
+    row = json.loads(read_text(spark, f"{root}/cargas/{commit}"))
     state = State(row["carga_id"], row["versao"], row["ultima_leitura"], row["ultima_falha"])
-    for line in _read_text(spark, f"{root}/manifestos/{row['versao']}.json").splitlines():
+    for line in read_text(spark, f"{root}/manifestos/{row['versao']}.json").splitlines():
         part = json.loads(line)
         state.parts[part["tabela"]][part["particao"]] = Part(part["pasta"], part["linhas"])
     return state
@@ -204,7 +204,7 @@ def publish(spark: SparkSession, root: str, state: State, now: dt.datetime, inse
         for t, parts in state.parts.items()
         for v, p in sorted(parts.items())
     ]
-    _write_text(spark, f"{root}/manifestos/{state.version}.json", "\n".join(lines))
+    write_text(spark, f"{root}/manifestos/{state.version}.json", "\n".join(lines))
     aware = now if now.tzinfo else now.replace(tzinfo=dt.timezone.utc)
     row = (
         state.load_id, inserted, updated, state.rows("leituras"), round(aware.timestamp() * 1_000_000),
@@ -229,7 +229,7 @@ def remove_old(spark: SparkSession, root: str, keep: int) -> None:
     held = [_committed(spark, root, c) for c in commits[-keep:]]
     needed = {p.folder for s in held for parts in s.parts.values() for p in parts.values()}
     for commit in commits[:-keep]:
-        version = json.loads(_read_text(spark, f"{root}/cargas/{commit}"))["versao"]
+        version = json.loads(read_text(spark, f"{root}/cargas/{commit}"))["versao"]
         system, manifest = file_system(spark, f"{root}/manifestos/{version}.json")
         if not system.exists(manifest):
             continue  # went before
@@ -244,7 +244,7 @@ def unpublished(spark: SparkSession, root: str, older_than: dt.timedelta = dt.ti
     system, path = file_system(spark, root)
     if not system.exists(path):
         return []
-    named = {json.loads(_read_text(spark, f"{root}/cargas/{c}"))["versao"] for c in _commits(spark, root)}
+    named = {json.loads(read_text(spark, f"{root}/cargas/{c}"))["versao"] for c in _commits(spark, root)}
     before = (dt.datetime.now(dt.timezone.utc) - older_than).timestamp() * 1000
     found = [(s.getPath().getName(), s.getModificationTime()) for s in system.listStatus(path) if s.isDirectory()]
     return sorted(n for n, touched in found if n.startswith("v") and n not in named and touched <= before)

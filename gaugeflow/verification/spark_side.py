@@ -15,7 +15,7 @@ from gaugeflow.functions.text import day_text
 from gaugeflow.functions.times import epoch_micros
 from gaugeflow.operators import audit, cleaning, indexing, merge, quality
 from gaugeflow.operators.dedup import mark_repeats
-from gaugeflow.plans import checks, dashboard, flow, labels, models, queries
+from gaugeflow.plans import checks, dashboard, flow, labels, marts, models, queries
 from gaugeflow.plans import load as loading
 from gaugeflow.session import materialize, scratch_path
 from gaugeflow.sources import clean_layer, raw_layer, tables, text_files
@@ -101,6 +101,19 @@ def csv_export_lines(spark, sf_dir):
     return fields.selectExpr(f"concat_ws(',', {', '.join(fields.columns)}) AS linha")
 
 
+@register
+def clean_layer_order(spark, sf_dir):
+    """Stored readings and failures: their rows, and how many of them are out of order."""
+    path = scratch_path(spark, "clean")
+    clean_layer.write_clean(materialize(classified(spark, sf_dir), "classified"), path)
+    found = []
+    for t, order in (("leituras", ["maquina_id", "ts"]), ("falhas", ["maquina_id", "ts", "modo"])):
+        rows = spark.read.parquet(f"{path}/{t}").selectExpr(f"'{t}' AS tabela", "count(*) AS linhas")
+        breaks = clean_layer.order_breaks(spark, f"{path}/{t}", order).selectExpr("count(*) AS fora_de_ordem")
+        found.append(rows.crossJoin(breaks))  # one row each
+    return found[0].union(found[1])
+
+
 # --- Sources and the raw layer ------------------------------------------------------------------
 
 
@@ -575,7 +588,49 @@ def whole_flow_daily_fact(spark, sf_dir):
     raw = S.in_spark(spark, sf_dir, S.RAW).orderBy(C.ARRIVAL)
     flow.run_etl(spark, {"simulado": raw}, path, now=NOW)
     flow.build_marts(spark, path, now=NOW, min_readings=1)
-    return models.read_marts(spark, f"{path}/marts")["fct_falhas_diarias"]
+    return marts.read_marts(spark, f"{path}/marts")["fct_falhas_diarias"]
+
+
+def three_builds(spark: SparkSession, sf_dir: str) -> tuple[str, list[tuple[DataFrame, int]]]:
+    """Marts kept up over three loads: everything, the same again, and the first day with another torque."""
+    path = scratch_path(spark, "flow")
+    readings, modes = (materialize(df, "batch") for df in clean_batch(spark, sf_dir))
+    first_day = readings.agg(F.expr("cast(min(ts) AS date) AS d")).collect()[0].d
+    on_day = F.expr(f"cast(ts AS date) = date'{first_day}'")
+    one_day = readings.filter(on_day).withColumn("torque_nm", F.expr("torque_nm + 0.5D")), modes.filter(on_day)
+    done = []
+    for batch in ((readings, modes), (readings, modes), one_day):
+        loading.load(spark, f"{path}/tabelas", *batch, NOW, stored=True)
+        done.append(marts.build(spark, f"{path}/tabelas", f"{path}/marts", min_readings=1))
+    return f"{path}/marts", done
+
+
+@register
+def marts_by_day(spark, sf_dir):
+    """The fact after three loads and builds, of which the last two made no day and one day."""
+    path, _ = three_builds(spark, sf_dir)
+    return marts.read_marts(spark, path)["fct_leituras"]
+
+
+@register
+def marts_by_day_totals(spark, sf_dir):
+    """The dimension put together from the states of all days."""
+    path, _ = three_builds(spark, sf_dir)
+    return marts.read_marts(spark, path)["dim_maquina"].drop("criada_em")
+
+
+@register
+def marts_days_made(spark, sf_dir):
+    """Days that each of three builds made."""
+    _, done = three_builds(spark, sf_dir)
+    return spark.createDataFrame([(i + 1, days) for i, (_, days) in enumerate(done)], "construcao long, dias long")
+
+
+@register
+def dq_suite_by_day(spark, sf_dir):
+    """The suite after the third build, from the states of the days."""
+    _, done = three_builds(spark, sf_dir)
+    return done[-1][0]
 
 
 # --- Quality -------------------------------------------------------------------------------------

@@ -319,6 +319,8 @@ def _statements() -> dict[str, str]:
         "ai4i_mapping": ai4i,
         "union_sources": f"""SELECT {raw_columns} FROM ({ai4i}) UNION ALL SELECT {raw_columns} FROM {raw}""",
         "raw_roundtrip": f"SELECT * FROM {raw}",
+        "clean_layer_order": f"""{clean} SELECT 'leituras' AS tabela, {n_ok} AS linhas, 0 AS fora_de_ordem
+            UNION ALL SELECT 'falhas', {n_modes}, 0""",
         "raw_written_elsewhere": f"""SELECT * EXCLUDE (chegada, d), row_number() OVER (PARTITION BY d, maquina_id ORDER BY chegada) AS posicao
             FROM (SELECT * REPLACE (nullif(maquina_id, '') AS maquina_id), coalesce(CASE WHEN length("timestamp") >= 10
                   THEN substring("timestamp", 1, 10) END, 'sem_data') AS d FROM {raw})""",
@@ -438,6 +440,22 @@ def _statements() -> dict[str, str]:
         "published_readings": f"{published} SELECT * FROM leituras",
         "published_failures": f"{published} SELECT * FROM falhas",
         "whole_flow_daily_fact": f"{flow} SELECT * FROM daily",
+        "marts_by_day": f"""{flow} SELECT * REPLACE (CASE WHEN CAST(medido_em AS DATE) = (SELECT min(CAST(ts AS DATE)) FROM ok)
+            THEN torque_nm + 0.5 ELSE torque_nm END AS torque_nm) FROM fact""",
+        "marts_by_day_totals": f"{flow} SELECT id_maquina, fonte, total_leituras, total_falhas FROM dim",
+        "marts_days_made": f"""{clean} SELECT 1 AS construcao, count(DISTINCT CAST(ts AS DATE)) AS dias FROM ok
+            UNION ALL SELECT 2, 0 UNION ALL SELECT 3, 1""",
+        "dq_suite_by_day": " UNION ALL ".join(
+            f"SELECT '{model}' AS modelo, '{test}' AS teste, '{column}' AS coluna, 0 AS violacoes"
+            for model, test, column in [
+                *[(m, "not_null", c) for m, columns in checks.NOT_NULL.items() for c in columns],
+                *[(m, "accepted_values", c) for m, (c, _) in checks.ACCEPTED.items()],
+                *[(m, "unique", c) for m, c in checks.UNIQUE],
+                *[(m, "relationships", c) for m, c, _ in checks.REFERENCES],
+                *[(actual, "row_parity", expected) for expected, actual in checks.PARITY],
+                ("fct_leituras", "min_volume", ""), ("fct_falhas_diarias", "min_volume", ""), ("cargas", "volume_drop", "total_leituras"),
+            ]
+        ),
         "dq_unique": "SELECT l_orderkey, count(*) AS n_registros FROM lineitem GROUP BY 1 HAVING count(*) > 1",
         "dq_composite_key": "SELECT l_orderkey, l_linenumber, count(*) AS n_registros FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
         "dq_not_null": " UNION ALL ".join(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gaugeflow import contract as C
 from gaugeflow.operators import cleaning, quality
 from gaugeflow.plans import checks, dashboard, flow, models
+from gaugeflow.plans import marts as building
 from gaugeflow.plans.load import ContractError, load, table_totals
 from gaugeflow.sources import clean_layer, tables
 
@@ -139,6 +140,29 @@ def test_export_lines(spark, batch, tmp_path):
     assert [r.value for r in spark.read.text(out).collect()] == ["P-8,2031-05-20 06:30:00,TWF"]
 
 
+def test_order_of_stored_files(spark, tmp_path):
+    """Rows swapped inside a file, and two files that changed places, are found; equal keys are in order."""
+    path = tmp_path / "t"
+    rows = spark.range(400).selectExpr("concat('P-', id div 100) AS maquina_id", "id div 2 AS ts")
+    rows.repartitionByRange(4, "maquina_id", "ts").sortWithinPartitions("maquina_id", "ts").write.parquet(str(path))
+    breaks = lambda: clean_layer.order_breaks(spark, str(path), ["maquina_id", "ts"]).collect()
+    assert breaks() == []
+    files = sorted(path.glob("part-*.parquet"))
+    (path / "_x").write_bytes(files[1].read_bytes())
+    files[1].write_bytes(files[2].read_bytes())
+    files[2].write_bytes((path / "_x").read_bytes())
+    for f in (files[1], files[2]):
+        (path / f".{f.name}.crc").unlink()
+    found = breaks()
+    assert {r.arquivo.rpartition("/")[2] for r in found} == {files[2].name} or len(found) == 1 and found[0].posicao == 0
+    rows.coalesce(1).sortWithinPartitions("ts", F.desc("maquina_id")).write.parquet(str(tmp_path / "u"))
+    swapped = clean_layer.order_breaks(spark, str(tmp_path / "u"), ["ts", "maquina_id"]).collect()
+    assert all(r.anterior.ts == r.atual.ts and r.anterior.maquina_id > r.atual.maquina_id for r in swapped)
+    down = rows.coalesce(1).sortWithinPartitions(F.desc("ts"))
+    down.write.parquet(str(tmp_path / "v"))
+    assert len(clean_layer.order_breaks(spark, str(tmp_path / "v"), ["ts"]).collect()) == 199
+
+
 def test_whole_flow(spark, mixed, raw, tmp_path):
     """Four good rows of conftest beside three of the other source."""
     path = str(tmp_path)
@@ -157,7 +181,7 @@ def test_whole_flow(spark, mixed, raw, tmp_path):
     assert len(results) == 56
     assert {r.violacoes for r in results} == {0}
 
-    marts = models.read_marts(spark, f"{path}/marts")
+    marts = building.read_marts(spark, f"{path}/marts")
     daily = {(r.id_maquina, str(r.data_ref)): (r.qtd_falhas, r.modos_falha) for r in marts["fct_falhas_diarias"].collect()}
     assert daily == {
         ("AI4I-04", "2031-05-20"): (2, "HDF, PWF; PWF"),
@@ -172,9 +196,9 @@ def test_whole_flow(spark, mixed, raw, tmp_path):
 
     with pytest.raises(checks.QualityError, match="min_volume"):
         flow.build_marts(spark, path, now=NOW)
-    assert models.read_marts(spark, f"{path}/marts")["fct_leituras"].inputFiles() == marts["fct_leituras"].inputFiles()
-    flow.build_marts(spark, path, now=NOW, min_readings=7, keep=1)
-    newest = models.read_marts(spark, f"{path}/marts")
+    assert building.read_marts(spark, f"{path}/marts")["fct_leituras"].inputFiles() == marts["fct_leituras"].inputFiles()
+    flow.build_marts(spark, path, now=NOW, min_readings=7, keep=1, full=True)
+    newest = building.read_marts(spark, f"{path}/marts")
     assert newest["fct_leituras"].count() == 7 and newest["fct_leituras"].inputFiles() != marts["fct_leituras"].inputFiles()
     assert not any(Path(f.removeprefix("file://")).exists() for f in marts["fct_leituras"].inputFiles())
     with pytest.raises(checks.QualityError, match="stale"):
@@ -285,8 +309,76 @@ def test_old_versions_go(spark, batch, tmp_path):
 
 
 def test_marts_missing(spark, tmp_path):
-    with pytest.raises(models.MartsMissing):
-        models.read_marts(spark, str(tmp_path / "nothing"))
+    with pytest.raises(building.MartsMissing):
+        building.read_marts(spark, str(tmp_path / "nothing"))
+
+
+def all_rows(marts):
+    return {m: sorted(map(str, df.collect())) for m, df in marts.items()}
+
+
+def test_builds_make_only_the_days_that_changed(spark, batch, tmp_path):
+    """After each of four loads the marts equal those of a full build; the suite has the same rows, all zero."""
+    root, path = str(tmp_path / "t"), str(tmp_path / "m")
+    readings, modes = batch
+    day = readings.filter("ts > timestamp_ntz'2031-05-21 00:00:00'")
+    new = day.selectExpr(*["ts + INTERVAL '3' DAY AS ts" if c == "ts" else "'P-11' AS maquina_id" if c == "maquina_id" else c for c in day.columns])
+    batches = [(readings, modes), batch, (day.withColumn("falha", F.lit(False)), modes.limit(0)), (new, modes.limit(0))]
+    made = []
+    for one in batches:
+        load(spark, root, *one, NOW)
+        results, days = building.build(spark, root, path, min_readings=1)
+        made.append(days)
+        whole, _ = building.build(spark, root, str(tmp_path / "whole"), min_readings=1, full=True)
+        assert sorted(map(tuple, results.collect())) == sorted(map(tuple, whole.collect()))
+        assert results.count() == 56 and all(r.violacoes == 0 for r in results.collect())
+        assert all_rows(building.read_marts(spark, path)) == all_rows(building.read_marts(spark, str(tmp_path / "whole")))
+    assert made == [2, 0, 1, 1]
+    assert {f.split("/")[0][:7] for f in building.current(spark, path).folders["fct_leituras"].values()} == {"v000001", "v000003", "v000004"}
+    before = all_rows(building.read_marts(spark, path))
+    building.remove_old(spark, path, 1)
+    assert all_rows(building.read_marts(spark, path)) == before
+
+
+def test_the_later_of_two_builds_is_refused(spark, batch, tmp_path, monkeypatch):
+    root, path, make = str(tmp_path / "t"), str(tmp_path / "m"), building._make
+    load(spark, root, *batch, NOW)
+
+    def interrupted(*args):
+        monkeypatch.setattr(building, "_make", make)
+        building.build(spark, root, path, min_readings=1)
+        return make(*args)
+
+    monkeypatch.setattr(building, "_make", interrupted)
+    with pytest.raises(tables.Conflict):
+        building.build(spark, root, path, min_readings=1)
+    assert len(list((tmp_path / "m" / "publicadas").glob("[0-9]*.json"))) == 1 and len(list((tmp_path / "m").glob("v*"))) == 1
+
+
+def test_states_find_what_the_whole_suite_finds(spark):
+    """Ids repeated within and across days and blocks, nulls, wrong values, orphans, repeated machine days."""
+    rows = [
+        ("A", "2031-01-01", 1, "L"), ("A", "2031-01-01", 2, "L"), ("A", "2031-01-02", 2, "L"), ("B", "2031-01-02", None, "X"),
+        ("Z", "2031-01-03", building.ID_BLOCK, "L"), ("Z", "2031-01-03", building.ID_BLOCK, "L"), (None, "2031-01-03", building.ID_BLOCK + 1, None),
+        ("B", "2031-01-04", 2, "M"), ("B", "2031-01-04", 7, "M"), ("B", "2031-01-04", 9, "M"),
+    ]
+    lt = spark.createDataFrame(rows, "id_maquina string, dia string, id_leitura long, tipo_produto string").selectExpr(
+        "*", "cast(dia AS timestamp_ntz) + INTERVAL '5' HOUR AS medido_em", "300D AS temperatura_ar_k", "27D AS temperatura_ar_c",
+        "310D AS temperatura_processo_k", "37D AS temperatura_processo_c", "1500 AS rotacao_rpm", "40D AS torque_nm",
+        "cast(NULL AS int) AS desgaste_min", "id_leitura < 3 AS houve_falha", "'ai4i' AS fonte", "'TWF' AS modos_falha", "1L AS qtd_modos_falha",
+    )
+    machines = spark.createDataFrame([("A", "ai4i"), ("B", "x"), ("B", None)], "id_maquina string, fonte string").selectExpr("*", "cast(NULL AS timestamp) AS criada_em")
+    f = spark.createDataFrame([("2031-01-01", 1, 1, "TWF"), ("2031-01-01", 1, 50, "?"), ("2031-01-02", 2, None, None)], "dia string, id_falha long, id_leitura long, modo_falha string")
+    daily = spark.createDataFrame([("A", "2031-01-01", 1), ("A", "2031-01-01", 2), ("Q", "2031-01-02", None)], "id_maquina string, dia string, qtd_falhas long")
+    daily = daily.selectExpr("*", "cast(dia AS date) AS data_ref", "'TWF' AS modos_falha")
+    dated = {"stg_leituras": lt, "stg_falhas": f, "int_leituras_enriquecidas": lt, "fct_leituras": lt, "fct_falhas_diarias": daily}
+    states = building.day_states(dated)
+    dim = building.dimension(machines, states["por_maquina"])
+    history = spark.createDataFrame([(1, NOW, 0, 0, 100), (2, NOW, 0, 0, 50)], C.LOADS)
+    whole = {m: df.drop("dia") for m, df in dated.items()} | {"stg_maquinas": machines, "dim_maquina": dim}
+    expected = {tuple(r) for r in checks.run_checks(whole, history, min_readings=20).collect()}
+    found = {tuple(r) for r in building.run_checks(machines, dim, states, history, min_readings=20).collect()}
+    assert found == expected and len(found) == 56 and sum(r[3] > 0 for r in found) > 15
 
 
 def test_enriched_model_does_not_repeat_readings(spark):
