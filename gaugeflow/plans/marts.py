@@ -34,11 +34,16 @@ _IDS = {m: c for m, c in checks.UNIQUE if c in ("id_leitura", "id_falha")}
 
 @dataclass
 class Build:
-    """One version of the marts: per day the files of the tables it was made from, and its own; and schemas by name."""
+    """One version of the marts.
+
+    ``sources`` has the files of the tables each day was made from, ``made`` the version that made it, ``folders`` the files
+    of each fact by day; ``schemas`` those of facts, states and dimension. A version's states are one folder each.
+    """
 
     number: int = 0
     version: str | None = None
     sources: dict[str, list] = field(default_factory=dict)
+    made: dict[str, str] = field(default_factory=dict)
     folders: dict[str, dict[str, str]] = field(default_factory=dict)
     dim: str | None = None
     schemas: dict[str, str] = field(default_factory=dict)
@@ -84,6 +89,22 @@ def read_marts(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return {DIM: dim, **{m: _read(spark, path, build, m) for m in FACTS}}
 
 
+def _write_state(df: DataFrame, path: str, build: Build, name: str) -> None:
+    rows = df.withColumn("versao", F.lit(build.version))
+    build.schemas[name] = rows.schema.json()
+    rows.write.parquet(f"{path}/{build.version}/{name}")
+
+
+def _read_state(spark: SparkSession, path: str, build: Build, name: str) -> DataFrame:
+    """A state of all days, each from the version that made it."""
+    schema = T.StructType.fromJson(json.loads(build.schemas[name]))
+    if not build.made:
+        return spark.createDataFrame([], schema).drop("versao")
+    rows = spark.read.schema(schema).parquet(*[f"{path}/{v}/{name}" for v in sorted(set(build.made.values()))])
+    held = spark.createDataFrame(list(build.made.items()), f"{tables.DAY} string, versao string")  # one row per day
+    return rows.join(F.broadcast(held), [tables.DAY, "versao"], "left_semi").drop("versao")
+
+
 def _with_day(df: DataFrame, instant: str) -> DataFrame:
     return df.withColumn(tables.DAY, F.expr(tables.day_of(instant)))
 
@@ -225,8 +246,9 @@ def build(
     }
     days = [d for d in files if full or old.sources.get(d) != files[d]]
     number = old.number + 1
-    new = Build(number, f"v{number:06d}-{uuid.uuid4().hex[:8]}", files, {}, None, dict(old.schemas))
-    for name in (*FACTS, *STATES):
+    new = Build(number, f"v{number:06d}-{uuid.uuid4().hex[:8]}", files, {}, {}, None, dict(old.schemas))
+    new.made = {d: v for d, v in old.made.items() if d in files} | {d: new.version for d in days}
+    for name in FACTS:
         new.folders[name] = {d: f for d, f in old.folders.get(name, {}).items() if d in files and d not in days}
     try:
         results = _make(spark, root, path, source, new, days, min_readings)
@@ -261,8 +283,8 @@ def _make(spark, root, path, source: tables.State, new: Build, days: list[str],
             "fct_falhas_diarias": _with_day(_read(spark, path, new, "fct_falhas_diarias", days), "data_ref"),
         }
         for name, rows in day_states(dated).items():
-            _write_days(rows, path, new, name, [])
-    states = {name: _read(spark, path, new, name) for name in STATES}
+            _write_state(rows, path, new, name)
+    states = {name: _read_state(spark, path, new, name) for name in STATES}
     new.dim = f"{new.version}/{DIM}"
     dim = dimension(machines, states["por_maquina"])
     new.schemas[DIM] = dim.schema.json()
@@ -279,7 +301,8 @@ def remove_old(spark: SparkSession, path: str, keep: int) -> None:
         raise ValueError("the current version has to stay")
 
     def held(build: Build) -> set[str]:
-        return {f for parts in build.folders.values() for f in parts.values()} | {build.dim}
+        states = {f"{v}/{name}" for v in build.made.values() for name in STATES}
+        return {f for parts in build.folders.values() for f in parts.values()} | states | {build.dim}
 
     builds = _builds(spark, path)
     needed = set().union(*[held(_load(spark, path, b)) for b in builds[-keep:]])
