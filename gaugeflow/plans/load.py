@@ -42,18 +42,30 @@ def failure_rules() -> dict[str, str]:
 
 
 def contract_violations(readings: DataFrame, failures: DataFrame) -> DataFrame:
-    """Rows (regra, n) for every rule: values in one pass, then keys."""
+    """Rows (regra, n) for every rule: values in one pass, then keys.
+
+    Rows meet once by their natural key: repeated readings, repeated modes and failures without a reading are counted in
+    one aggregate. A null key is equal to none.
+    """
+    present = " AND ".join(f"{k} IS NOT NULL" for k in C.NATURAL_KEY)
+    modes = failures.groupBy(*MODE_KEY).agg(F.expr("count(*) AS _rows")).selectExpr(
+        *C.NATURAL_KEY, "0L AS _readings", "_rows", "if(modo IS NOT NULL AND _rows > 1, 1L, 0L) AS _again"
+    )
+    per_key = (
+        readings.selectExpr(*C.NATURAL_KEY, "1L AS _readings", "0L AS _rows", "0L AS _again")
+        .unionAll(modes)
+        .groupBy(*C.NATURAL_KEY)
+        .agg(*[F.expr(f"sum({c}) AS {c}") for c in ("_readings", "_rows", "_again")])
+    )
+    of_keys = per_key.selectExpr(
+        f"count_if({present} AND _readings > 1) AS a",
+        f"coalesce(sum(if({present}, _again, 0L)), 0L) AS b",
+        f"coalesce(sum(if({present} AND _readings > 0, 0L, _rows)), 0L) AS c",
+    ).selectExpr("stack(3, 'chave_repetida', a, 'falha_repetida', b, 'falha_sem_leitura', c) AS (regra, n)")
     machines = readings.filter("maquina_id IS NOT NULL").select("maquina_id", "fonte").distinct()
-    keys = [
-        ("chave_repetida", merge.repeated(readings, C.NATURAL_KEY)),
-        ("maquina_com_duas_fontes", merge.repeated(machines, ["maquina_id"])),
-        ("falha_repetida", merge.repeated(failures, MODE_KEY)),
-        ("falha_sem_leitura", failures.select(*C.NATURAL_KEY).join(readings.select(*C.NATURAL_KEY), C.NATURAL_KEY, "left_anti")),
-    ]
+    mixed = merge.repeated(machines, ["maquina_id"]).selectExpr("'maquina_com_duas_fontes' AS regra", "count(*) AS n")
     found = merge.violations(readings, reading_rules()).union(merge.violations(failures, failure_rules()))
-    for rule, offenders in keys:
-        found = found.union(offenders.selectExpr(f"'{rule}' AS regra", "count(*) AS n"))
-    return found
+    return found.union(of_keys).union(mixed)
 
 
 def enforce(readings: DataFrame, failures: DataFrame) -> None:
