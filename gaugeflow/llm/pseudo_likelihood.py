@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,23 +23,60 @@ SIDE = 2
 WIDTH = 8
 HIDDEN = 24
 BATCH = 1024
+#: Words that a task holds at once, whole documents of them; one longer document is held alone.
+HELD = 1 << 18
 ROUNDS = 2
 RATE = 0.05
 SEED = 11
 PAD = CLASSES
+#: Logits up to here have exponentials, and sums of them, that single precision holds.
+SAFE = 60
 
 
-def _tokens(batches):
-    known: dict = {}
+class _Digests(dict):
+    """64-bit hash of a word."""
+
+    def __missing__(self, word):
+        self[word] = found = xxhash.xxh64_intdigest(word)
+        return found
+
+
+def _portions(batches, column: int, width: int):
+    """Batches cut between rows, so that a portion has at most HELD words of ``width`` bytes in a column, or one row."""
     for batch in batches:
+        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64) // width
+        start, held = 0, 0
+        for i, size in enumerate(sizes.tolist()):
+            if held and held + size > HELD:
+                yield batch.slice(start, i - start)
+                start, held = i, 0
+            held += size
+        yield batch.slice(start)
+
+
+def _joined(column) -> tuple[np.ndarray, np.ndarray]:
+    """The words of a column's rows one after another, and how many each row has."""
+    rows = [np.frombuffer(r.as_py(), "<u8") for r in column]
+    sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+    return np.concatenate([*rows, np.zeros(0, "<u8")]).view(np.int64), sizes
+
+
+def _places(words: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word is or would be in the ordered ``common``, and whether it is there."""
+    if not len(common):
+        return np.zeros(len(words), np.int64), np.zeros(len(words), bool)
+    at = np.minimum(np.searchsorted(common, words), len(common) - 1)
+    return at, common[at] == words
+
+
+def _tokens(batches):
+    known = _Digests()
+    for batch in _portions(batches, 1, 6):  # a word and its space take some six bytes
         rows = []
         for text in batch.column(1).cast(pa.binary()):
             words = byte_words((text.as_py() or b"").lower())
             if len(known) > 200_000:
                 known.clear()
-            for w in words:
-                if w not in known:
-                    known[w] = xxhash.xxh64_intdigest(w)
             rows.append(np.fromiter(map(known.__getitem__, words), "<u8", len(words)))
         kinds = pa.array([(r % KINDS).astype("<u2").tobytes() for r in rows], pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column(0), kinds, pa.array([r.tobytes() for r in rows], pa.binary())], ["doc_id", "kinds", "words"])
@@ -68,10 +106,9 @@ def count_kinds(tokens: DataFrame) -> np.ndarray:
 
 
 def _words_counted(batches):
-    for batch in batches:
-        held = [np.frombuffer(r.as_py(), "<u8") for r in batch.column(0)]
-        word, n = np.unique(np.concatenate(held) if held else np.zeros(0, "<u8"), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
+    for batch in _portions(batches, 0, 8):
+        word, n = np.unique(_joined(batch.column(0))[0], return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(n.astype(np.int64))], ["word", "n"])
 
 
 def count_words(tokens: DataFrame) -> DataFrame:
@@ -80,21 +117,10 @@ def count_words(tokens: DataFrame) -> DataFrame:
     return materialize(counted.groupBy("word").agg(F.sum("n").alias("n")), "words")
 
 
-def _rare_words(batches, common):
-    for batch in batches:
-        out = [[np.zeros(0, np.int64)] for _ in range(3)]
-        for row, words in zip(batch.column(0).to_pylist(), batch.column(1)):
-            word, n = np.unique(np.frombuffer(words.as_py(), "<u8").view(np.int64), return_counts=True)
-            rare = np.flatnonzero(~np.isin(word, common, assume_unique=True))
-            for part, values in zip(out, (np.full(len(rare), row), word[rare], n[rare])):
-                part.append(values)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(p)) for p in out], ["row", "word", "times"])
-
-
-def rare_sums(tokens: DataFrame, counts: DataFrame, common: np.ndarray) -> DataFrame:
-    """row, rare: sum of the log counts of a row's words outside ``common``."""
-    listed = tokens.select("row", "words").mapInArrow(lambda batches: _rare_words(batches, common), "row long, word long, times long")
-    return listed.join(counts, "word").groupBy("row").agg(F.sum(F.col("times") * F.log("n")).alias("rare"))
+def rare_sums(scored: DataFrame, counts: DataFrame) -> DataFrame:
+    """row, rare: sum of the log counts of a row's words that it lists as rare."""
+    listed = scored.select("row", F.explode("rare").alias("word"))
+    return listed.join(counts, "word").groupBy("row").agg(F.sum(F.log("n")).alias("rare"))
 
 
 class Vocabulary:
@@ -145,31 +171,44 @@ def contexts(classes: np.ndarray) -> np.ndarray:
     return np.stack([padded[i : i + count] for i in range(2 * SIDE + 1) if i != SIDE], axis=1)
 
 
-def forward(p: dict, context: np.ndarray):
-    joined = p["embedding"][context].reshape(len(context), -1)
-    hidden = np.tanh(joined @ p["inner"] + p["inner_bias"])
-    logits = hidden @ p["outer"] + p["outer_bias"]
-    logits -= logits.max(axis=1, keepdims=True)
-    chance = np.exp(logits)
-    total = chance.sum(axis=1, keepdims=True)
-    return joined, hidden, logits, chance, total
+def _row_max(values: np.ndarray) -> np.ndarray:
+    """Largest value of each row, by halves: whole columns at once instead of row by row."""
+    while (width := values.shape[1]) > 1:
+        half = (width + 1) // 2
+        values = np.maximum(values[:, :half], values[:, width - half :])
+    return values
+
+
+def forward(p: dict, context: np.ndarray, target: np.ndarray):
+    """Inputs and values of the hidden layer, and per row the target's logit, all exponentials and their sum."""
+    joined = p["embedding"].take(context, axis=0).reshape(len(context), -1)
+    hidden = joined @ p["inner"]
+    hidden += p["inner_bias"]
+    np.tanh(hidden, out=hidden)
+    logits = hidden @ p["outer"]
+    logits += p["outer_bias"]
+    # hidden values lie in -1 to 1, so the weights bound the logits: only large ones need shifting before the exponential
+    if (np.abs(p["outer"]).sum(axis=0) + np.abs(p["outer_bias"])).max() > SAFE:
+        logits -= _row_max(logits)
+    own = logits[np.arange(len(target)), target]
+    chance = np.exp(logits, out=logits)
+    return joined, hidden, own, chance, chance @ np.ones((CLASSES, 1), chance.dtype)
 
 
 def loss_and_slope(flat: np.ndarray, context: np.ndarray, target: np.ndarray) -> tuple[float, np.ndarray]:
     """Mean negative log-probability of the masked classes, and its gradient."""
     p, rows = unpack(flat), np.arange(len(target))
-    joined, hidden, logits, chance, total = forward(p, context)
-    loss = float((np.log(total[:, 0]) - logits[rows, target]).mean())
-    error = chance / total
-    error[rows, target] -= 1
-    error /= len(target)
+    joined, hidden, own, error, total = forward(p, context, target)
+    loss = float((np.log(total[:, 0]) - own).mean())
+    error *= 1 / (total * len(target))
+    error[rows, target] -= 1 / len(target)
     back = (error @ p["outer"].T) * (1 - hidden * hidden)
     spread = (back @ p["inner"].T).reshape(-1, WIDTH)
     embedding = np.empty((CLASSES + 1, WIDTH), flat.dtype)
     places = context.ravel()
     for i in range(WIDTH):
         embedding[:, i] = np.bincount(places, spread[:, i], CLASSES + 1)
-    slope = [embedding, joined.T @ back, back.sum(axis=0), hidden.T @ error, error.sum(axis=0)]
+    slope = [embedding, joined.T @ back, back.sum(axis=0), hidden.T @ error, np.ones(len(target), error.dtype) @ error]
     return loss, np.concatenate([s.ravel() for s in slope]).astype(flat.dtype)
 
 
@@ -224,28 +263,29 @@ def train(tokens: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> np
 
 
 def _scored(batches, flat, vocabulary, common, log_counts):
-    """row, doc_id, n_words, known: the log-probabilities of all words, less the log counts of words not in ``common``."""
-    for batch in batches:
+    """row, doc_id, n_words, known: the log-probabilities of all words, less the log counts of ``rare`` ones, not in ``common``."""
+    p = unpack(flat)
+    for batch in _portions(batches, 2, 8):
         rows = [np.frombuffer(r.as_py(), "<u2") for r in batch.column(1)]
         kinds = np.concatenate(rows) if rows else np.zeros(0, "<u2")
-        own, p = vocabulary.classes[kinds], unpack(flat)
+        own = vocabulary.classes[kinds]
         logs = np.zeros(len(kinds) + 1)
         context = np.concatenate([contexts(vocabulary.classes[r]) for r in rows]) if rows else np.zeros((0, 2 * SIDE), np.uint8)
-        for start in range(0, len(own), 4 * BATCH):
-            part = slice(start, start + 4 * BATCH)
-            _, _, logits, _, total = forward(p, context[part])
-            logs[:-1][part] = logits[np.arange(len(logits)), own[part]] - np.log(total[:, 0])
-        words = np.concatenate([np.frombuffer(w.as_py(), "<u8") for w in batch.column(2)] or [np.zeros(0, "<u8")]).view(np.int64)
-        at = np.minimum(np.searchsorted(common, words), max(len(common) - 1, 0))
-        if len(common):
-            logs[:-1] += np.where(common[at] == words, log_counts[at], 0.0)
+        for start in range(0, len(own), BATCH):
+            part = slice(start, start + BATCH)
+            _, _, chosen, _, total = forward(p, context[part], own[part])
+            logs[:-1][part] = chosen - np.log(total[:, 0])
+        words, sizes = _joined(batch.column(2))
+        at, held = _places(words, common)
+        logs[:-1][held] += log_counts[at[held]]
         logs[:-1] -= vocabulary.held[own]
-        sizes = np.array([len(r) for r in rows], np.int64)
         ends = np.cumsum(sizes)
         sums = np.array([logs[e - n : e].sum() for e, n in zip(ends, sizes)])
+        offsets = np.concatenate(([0], np.cumsum(~held)))[np.concatenate(([0], ends))]
+        rare = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(words[~held]))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(3), batch.column(0), pa.array(sizes), pa.array(sums, pa.float64())],
-            ["row", "doc_id", "n_words", "known"],
+            [batch.column(3), batch.column(0), pa.array(sizes), pa.array(sums, pa.float64()), rare],
+            ["row", "doc_id", "n_words", "known", "rare"],
         )
 
 
@@ -268,10 +308,12 @@ def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     common, n = top.column("word").to_numpy(), top.column("n").to_numpy()
     order = np.argsort(common)
     common, log_counts = common[order], np.log(n[order])
-    known = tokens.select("doc_id", "kinds", "words", "row").mapInArrow(
-        lambda batches: _scored(batches, flat, vocabulary, common, log_counts), "row long, doc_id long, n_words long, known double"
+    scored = tokens.select("doc_id", "kinds", "words", "row").mapInArrow(
+        lambda batches: _scored(batches, flat, vocabulary, common, log_counts),
+        "row long, doc_id long, n_words long, known double, rare array<long>",
     )
-    total = F.col("known") + F.coalesce("rare", F.lit(0.0))
-    return known.join(rare_sums(tokens, counts, common), "row", "left").select(
+    scored = materialize(scored, "scored")
+    total = F.col("known") + F.coalesce("sums.rare", F.lit(0.0))
+    return scored.drop("rare").join(rare_sums(scored, counts).alias("sums"), "row", "left").select(
         "doc_id", "n_words", total.alias("pseudo_log_likelihood"), F.when(F.col("n_words") > 0, total / F.col("n_words")).alias("mean_log_probability")
     )

@@ -8,10 +8,12 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -391,6 +393,46 @@ def test_network_gradient():
         assert abs((near[0] - near[1]) / 2e-5 - slope[i]) < 1e-5
 
 
+def test_scoring_holds_a_bounded_number_of_words():
+    rng = np.random.default_rng(15)
+    held = rng.integers(0, 1 << 62, 5000)
+    words = [rng.choice(held, 1000) for _ in range(1000)]
+    columns = [[w.astype("<u8").tobytes() for w in words], [(w % pseudo_likelihood.KINDS).astype("<u2").tobytes() for w in words]]
+    ids, words_of, kinds_of = pa.array(range(1000), pa.int64()), *(pa.array(c, pa.binary()) for c in columns)
+    vocabulary = pseudo_likelihood.Vocabulary(np.bincount(np.concatenate(words) % pseudo_likelihood.KINDS, minlength=pseudo_likelihood.KINDS))
+    common = np.sort(held[:100])
+    batches = {
+        "scored": lambda: pseudo_likelihood._scored(
+            [pa.RecordBatch.from_arrays([ids, kinds_of, words_of, ids], ["doc_id", "kinds", "words", "row"])],
+            pseudo_likelihood.first_parameters(), vocabulary, common, np.ones(100),
+        ),
+        "counted": lambda: pseudo_likelihood._words_counted([pa.RecordBatch.from_arrays([words_of], ["words"])]),
+    }
+    found = {}
+    for name, run in batches.items():
+        tracemalloc.start()
+        found[name] = list(run())
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 40_000_000, (name, peak)  # all words at once: 8 MB a copy, and several copies
+    scored = pa.Table.from_batches(found["scored"]).to_pylist()
+    assert [r["row"] for r in scored] == list(range(1000))
+    assert [r["rare"] for r in scored] == [w[~np.isin(w, common)].tolist() for w in words]
+    assert sum(pa.Table.from_batches(found["counted"]).column("n").to_pylist()) == 1_000_000
+
+
+def test_large_weights_are_shifted_before_the_exponential():
+    rng = np.random.default_rng(16)
+    p = pseudo_likelihood.unpack(pseudo_likelihood.first_parameters() * 40)
+    context, target = rng.integers(0, 129, (50, 4)).astype(np.uint8), rng.integers(0, 128, 50)
+    joined, hidden, own, chance, total = pseudo_likelihood.forward(p, context, target)
+    exact = {n: v.astype(np.float64) for n, v in p.items()}
+    logits = np.tanh(exact["embedding"][context].reshape(50, -1) @ exact["inner"] + exact["inner_bias"]) @ exact["outer"] + exact["outer_bias"]
+    logits -= logits.max(axis=1, keepdims=True)
+    logs = logits[np.arange(50), target] - np.log(np.exp(logits).sum(axis=1))
+    assert np.allclose(own - np.log(total[:, 0]), logs, rtol=1e-3, atol=1e-2)
+
+
 def test_scores_use_both_sides(spark, odd, empty):
     rng = random.Random(14)
     words = [f"w{i}" for i in range(12)]
